@@ -115,12 +115,23 @@ def scale_by_max(features: DataFrame, idx: str = "idx") -> DataFrame:
             .select("patient_id", idx, "value"))
 
 
-def labels(events: DataFrame, index: DataFrame, longest: int = WINDOW_DAYS) -> DataFrame:
-    """(patient, label) of patients with an event in the window."""
-    days = (events.where(is_present("value")).select("patient_id", "etimestamp").distinct()
-            .join(index, "patient_id")
-            .where(in_window(days_between("index_date", "etimestamp"), longest)))
-    return days.select("patient_id", "label").distinct()
+def indexed_and_scaled(features: DataFrame, code: str = "event_id") -> tuple[DataFrame, DataFrame]:
+    """(scaled rows by id, dictionary with each code's maximum) in one join.
+
+    Both come from one pass over ``features``, which should be checkpointed when
+    it is costly to compute.
+    """
+    stats = features.groupBy(code).agg(F.max("value").alias("max_value"))
+    dictionary = (with_row_number(stats, [code], "idx")
+                  .select((F.col("idx") - 1).alias("idx"), code, "max_value"))
+    scaled = (features.join(dictionary, code)
+              .select("patient_id", "idx", F.try_divide("value", "max_value").alias("value")))
+    return scaled, dictionary
+
+
+def labels(features: DataFrame, index: DataFrame) -> DataFrame:
+    """(patient, label) of the patients that have a feature in the window."""
+    return features.select("patient_id").distinct().join(index.select("patient_id", "label"), "patient_id")
 
 
 def dense_rows(features: DataFrame, width: int, entity: str = "patient_id",

@@ -12,6 +12,7 @@ from cohortlens.session import checkpointed
 CODE_KINDS = ("diagnostic", "lab", "medication")
 EDGES_PER_SPLIT = 1_000_000
 ROUNDS_PER_CHECKPOINT = 5
+SIGNATURE_WORDS = 4
 
 
 # --- graph construction ---------------------------------------------------
@@ -82,11 +83,10 @@ def rank_by(df: DataFrame, score: str, tiebreak: str) -> DataFrame:
 
 
 def code_sets(pairs: DataFrame) -> DataFrame:
-    """Distinct code sets: (set_id, tokens, size, n_members).
+    """(patient_id, tokens, size): each patient's codes as sorted numbers.
 
-    Codes become numbers from the rarest to the most common, so the head of
-    ``tokens`` is each set's rarest codes. ``set_id`` is the smallest patient
-    that has the set; patients with equal sets collapse here.
+    Codes are numbered from the rarest to the most common, so the head of
+    ``tokens`` is the set's rarest codes.
     """
     frequency = pairs.groupBy("code").agg(F.count(F.lit(1)).alias("n"))
     tokens = with_row_number(frequency, ["n", "code"], "token").select("code", "token")
@@ -96,10 +96,20 @@ def code_sets(pairs: DataFrame) -> DataFrame:
 
 
 def distinct_sets(sets: DataFrame) -> DataFrame:
+    """Each code set once, named by the smallest patient that has it."""
     return sets.groupBy("tokens", "size").agg(F.min("patient_id").alias("set_id"),
                                               F.count(F.lit(1)).alias("n_members"))
 
 
+def _signature_word(word: int) -> Column:
+    """Bits of the tokens that fall into one 64-bit word of the set's signature."""
+    def put(acc: Column, token: Column) -> Column:
+        here = F.floor(F.pmod(token, F.lit(64 * SIGNATURE_WORDS)) / 64) == word
+        bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod(token, F.lit(64)).cast("int"))
+        return F.when(here, acc.bitwiseOR(bit)).otherwise(acc)
+    return F.aggregate("tokens", F.lit(0).cast("bigint"), put)
+
+
 def similar_sets(distinct: DataFrame, min_similarity: float) -> DataFrame:
     """All pairs of distinct sets with Jaccard similarity >= ``min_similarity`` > 0.
 
@@ -108,50 +118,55 @@ def similar_sets(distinct: DataFrame, min_similarity: float) -> DataFrame:
     a-o+1 of the one and b-o+1 of the other. Only those prefixes are joined,
     within bands of comparable size. The most common code is last in its set,
     so it is joined on only where one shared code already makes a result.
+    What is left of either set after the shared code, and the bits in which the
+    signatures differ, bound the overlap before the sets are intersected.
     """
     if not 0 < min_similarity <= 1:
         raise ValueError("min_similarity must lie in (0, 1]")
     t = float(min_similarity)
-    share = t / (1 + t)
+    words = range(SIGNATURE_WORDS)
 
     def overlap_needed(a: Column, b: Column) -> Column:
-        return F.greatest(F.ceil(F.lit(share) * (a + b) - 1e-9), F.lit(1))
+        return F.greatest(F.ceil(F.lit(t / (1 + t)) * (a + b) - 1e-9), F.lit(1))
 
     # bands [2^k, 2^(k+1)): a set meets partners from its own band down to t*size
     def band(size: Column) -> Column:
         return F.length(F.bin(size)) - 1
 
+    def side(name: str, sets: DataFrame, keep: Column) -> DataFrame:
+        prefix = F.slice("tokens", F.lit(1), keep.cast("int"))
+        return sets.select(
+            F.col("set_id").alias(f"{name}_id"), F.col("tokens").alias(f"{name}_tokens"),
+            F.col("size").alias(f"{name}_size"), "band",
+            *[F.col(f"w{w}").alias(f"{name}_w{w}") for w in words],
+            F.posexplode(prefix).alias(f"{name}_pos", "token"))
+
     size = F.col("size")
     smallest = F.greatest(F.ceil(F.lit(t) * size - 1e-9), F.lit(1)).cast("int")
-
-    # index side: partners are at least as large, so o is least at equal size
-    index = (distinct.withColumn("keep", size - overlap_needed(size, size) + 1)
-             .select(F.col("set_id").alias("b_id"), F.col("tokens").alias("b_tokens"),
-                     size.alias("b_size"), band(size).alias("band"),
-                     F.explode(F.slice("tokens", F.lit(1), F.col("keep").cast("int"))).alias("token")))
-    # probe side: one prefix per band of smaller or equal partners
-    reach = (distinct.withColumn("band", F.explode(F.sequence(band(smallest), band(size))))
-             .withColumn("partner", F.greatest(F.pow(F.lit(2.0), F.col("band")).cast("int"), smallest)))
-    probe = (reach.withColumn("keep", size - overlap_needed(size, F.col("partner")) + 1)
-             .select(F.col("set_id").alias("a_id"), F.col("tokens").alias("a_tokens"),
-                     size.alias("a_size"), "band",
-                     F.explode(F.slice("tokens", F.lit(1), F.col("keep").cast("int"))).alias("token")))
-
-    smaller = (F.col("b_size") < F.col("a_size")) | (
-        (F.col("b_size") == F.col("a_size")) & (F.col("b_id") < F.col("a_id")))
-    candidates = (probe.join(index, ["token", "band"])
-                  .where(smaller & (F.col("b_size") >= F.lit(t) * F.col("a_size") - 1e-9))
-                  .withColumn("common", F.array_intersect("a_tokens", "b_tokens")))
-    shared = F.size("common")
-    similarity = shared / (F.col("a_size") + F.col("b_size") - shared)
-    return (candidates
-            # the rarest common code lies in both prefixes: report the pair there only
-            .where(F.col("token") == F.element_at("common", 1))
-            .withColumn("similarity", similarity)
-            .where(F.col("similarity") >= t)
-            .select(F.least("a_id", "b_id").alias("patient_a"),
-                    F.greatest("a_id", "b_id").alias("patient_b"),
-                    F.size("common").alias("n_shared"), "similarity"))
+    signed = checkpointed(distinct.select("set_id", "tokens", "size",
+                                          *[_signature_word(w).alias(f"w{w}") for w in words]))
+    # partners of the b side are at least as large, so o is least at equal size
+    index = side("b", signed.withColumn("band", band(size)), size - overlap_needed(size, size) + 1)
+    # the a side takes one prefix for each band of smaller or equal partners
+    reach = (signed.withColumn("band", F.explode(F.sequence(band(smallest), band(size))))
+             .withColumn("partner", F.greatest(F.call_function("shiftleft", F.lit(1), F.col("band")), smallest)))
+    probe = side("a", reach, size - overlap_needed(size, F.col("partner")) + 1)
+
+    a, b = F.col("a_size"), F.col("b_size")
+    smaller = (b < a) | ((b == a) & (F.col("b_id") < F.col("a_id")))
+    needed = overlap_needed(a, b)
+    differing = sum((F.bit_count(F.col(f"a_w{w}").bitwiseXOR(F.col(f"b_w{w}"))) for w in words), F.lit(0))
+    possible = (F.least(a - F.col("a_pos"), b - F.col("b_pos")) >= needed) & (
+        (a + b - differing) / 2 >= needed)
+    common = F.array_intersect("a_tokens", "b_tokens")
+    shared = F.size(common)
+    # one condition, cheapest parts first: sets are intersected only if the bounds allow.
+    # The rarest common code lies in both prefixes; the pair is reported there only.
+    found = (smaller & (b >= F.lit(t) * a - 1e-9) & possible & (shared / (a + b - shared) >= t)
+             & (F.col("token") == F.element_at(common, 1)))
+    return (probe.join(index, ["token", "band"]).where(found)
+            .select(F.least("a_id", "b_id").alias("patient_a"), F.greatest("a_id", "b_id").alias("patient_b"),
+                    shared.alias("n_shared"), (shared / (a + b - shared)).alias("similarity")))
 
 
 def jaccard_pairs(pairs: DataFrame, min_similarity: float) -> DataFrame:
@@ -198,6 +213,7 @@ def random_walk(edges: DataFrame, source: int, steps: int = 100, restart: float
     ranks = (known.join(degree.select("id", "splits"), "id", "left")
              .select("id", F.coalesce("splits", F.lit(0)).alias("splits"), start.alias("rank")))
     ranks = checkpointed(ranks)
+    held: list[DataFrame] = []
     for step in range(1, steps + 1):
         sent = (ranks.where((F.col("splits") > 0) & (F.col("rank") > 0))
                 .select(F.col("id").alias("src"), "rank",
@@ -208,10 +224,15 @@ def random_walk(edges: DataFrame, source: int, steps: int = 100, restart: float
         ranks = (ranks.join(inbox, "id", "left")
                  .select("id", "splits", F.coalesce(jump + (1.0 - restart) * F.col("received"),
                                                     F.col("rank")).alias("rank")))
-        if step % ROUNDS_PER_CHECKPOINT == 0:
+        if step % ROUNDS_PER_CHECKPOINT == 0 or step == steps:
             ranks = checkpointed(ranks)
-    if steps % ROUNDS_PER_CHECKPOINT:
-        ranks = checkpointed(ranks)
+            for old in held:
+                old.unpersist()
+            held = []
+        else:
+            # read twice by the next round, so kept; the checkpoint bounds its lineage
+            ranks = ranks.persist()
+            held.append(ranks)
     links.unpersist()
     return ranks.select("id", "rank")
 

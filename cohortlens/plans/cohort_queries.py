@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlens.operators import cohort, features, phenotype
-from cohortlens.plans import tables as t
+from cohortlens.plans import tables as t, workloads
 from cohortlens.plans.tables import with_tables
+from cohortlens.session import checkpointed
 from cohortlens.sources import svmlight
 
 
@@ -22,10 +23,22 @@ def _counted(spark: SparkSession, d: str) -> DataFrame:
     return features.window_features(t.clinical_events(spark, d), _index(spark, d))
 
 
+def _stored(spark: SparkSession, d: str) -> DataFrame:
+    """The counted features as a stored stage, read by several later ones."""
+    return checkpointed(_counted(spark, d))
+
+
 def _scaled(spark: SparkSession, d: str) -> DataFrame:
-    counted = _counted(spark, d)
-    mapped = features.map_to_ids(counted, features.feature_dictionary(counted))
-    return features.scale_by_max(mapped)
+    return features.indexed_and_scaled(_stored(spark, d))[0]
+
+
+def _mapped(spark: SparkSession, d: str) -> DataFrame:
+    counted = _stored(spark, d)
+    return features.map_to_ids(counted, features.feature_dictionary(counted), keep_unmapped=True)
+
+
+def _scaled_by_id(spark: SparkSession, d: str) -> DataFrame:
+    return features.scale_by_max(_mapped(spark, d))
 
 
 def _rounded(df: DataFrame, *columns: str, digits: int = 9) -> DataFrame:
@@ -47,22 +60,13 @@ def _stats_sql(measure: str) -> str:
         GROUP BY cohort""")
 
 
-def _svmlight(spark: SparkSession, d: str) -> DataFrame:
-    lines = svmlight.sparse_text(_scaled(spark, d))
-    labels = features.labels(t.clinical_events(spark, d), _index(spark, d))
-    return svmlight.labelled_lines(lines, labels)
-
-
-def _svmlight_ids(spark: SparkSession, d: str) -> DataFrame:
-    lines = svmlight.sparse_text(_scaled(spark, d))
-    labels = features.labels(t.clinical_events(spark, d), _index(spark, d))
-    return svmlight.labelled_lines(lines, labels, with_id=True)
+def _svmlight(spark: SparkSession, d: str, with_id: bool = False) -> DataFrame:
+    return workloads.mortality_svmlight(*_both(spark, d), with_id=with_id)
 
 
 def _unlabelled(spark: SparkSession, d: str) -> DataFrame:
-    found = features.unwindowed_features(t.clinical_events(spark, d))
-    mapped = features.map_to_ids(found, features.feature_dictionary(found))
-    return svmlight.unlabelled_lines(svmlight.sparse_text(features.scale_by_max(mapped)))
+    found = checkpointed(features.unwindowed_features(t.clinical_events(spark, d)))
+    return svmlight.unlabelled_lines(svmlight.sparse_text(features.indexed_and_scaled(found)[0]))
 
 
 def _feature_tuples(spark: SparkSession, d: str) -> DataFrame:
@@ -137,14 +141,13 @@ QUERIES = {
         t.labs(s, d), "patient_id", "test_name", "value"), "value"),
     "feature_tuples": _feature_tuples,
     "feature_dictionary": lambda s, d: features.feature_dictionary(_counted(s, d)),
-    "features_mapped": lambda s, d: features.map_to_ids(
-        _counted(s, d), features.feature_dictionary(_counted(s, d)), keep_unmapped=True),
-    "features_scaled": lambda s, d: _rounded(_scaled(s, d), "value"),
+    "features_mapped": _mapped,
+    "features_scaled": lambda s, d: _rounded(_scaled_by_id(s, d), "value"),
     "svmlight_rows": _svmlight,
-    "svmlight_rows_with_id": _svmlight_ids,
+    "svmlight_rows_with_id": lambda s, d: _svmlight(s, d, with_id=True),
     "svmlight_unlabelled": _unlabelled,
     "dense_feature_rows": _dense,
-    "window_labels": lambda s, d: features.labels(t.clinical_events(s, d), _index(s, d)),
+    "window_labels": lambda s, d: features.labels(_counted(s, d), _index(s, d)),
     "candidate_code_filter": _candidates,
     "candidate_literal_filter": lambda s, d: features.count_per_code(
         features.keep_candidates(t.medications(s, d), "medicine", ["DRUG3", "DRUG7", "DRUG11"]),

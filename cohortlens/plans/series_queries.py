@@ -32,8 +32,7 @@ def _account_orders(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _panel(spark: SparkSession, d: str) -> DataFrame:
-    panel = price_panel(t.prices(spark, d), ["N1", "N2", "N3"], MARKET, "1995-06-01", "1997-12-31")
-    return _round(panel, 6, "price")
+    return price_panel(t.prices(spark, d), ["N1", "N2", "N3"], MARKET, "1995-06-01", "1997-12-31")
 
 
 def _range(spark: SparkSession, d: str) -> DataFrame:
@@ -66,9 +65,9 @@ QUERIES = {
     "order_shares": lambda s, d: ts.order_shares(ts.thin_signals(_signals(s, d))),
     "order_list": _orders,
     "ledger": lambda s, d: _round(ts.ledger(_account_orders(s, d), t.prices(s, d), START), 3,
-                                  "cash", "equity", "total_value"),
+                                  "cash", "equity"),
     "ledger_leverage_cap": lambda s, d: _round(ts.capped_ledger(
-        _account_orders(s, d), t.prices(s, d), START), 3, "cash", "equity", "total_value"),
+        _account_orders(s, d), t.prices(s, d), START), 3, "cash", "equity"),
     "buy_hold": lambda s, d: _round(ts.buy_and_hold(t.prices(s, d)), 5, "buy_hold_value").drop("price"),
     "rebased": lambda s, d: _round(ts.rebase(ts.buy_and_hold(t.prices(s, d)), "buy_hold_value", "rebased"),
                                    9, "rebased").select("symbol", "trade_date", "rebased"),
@@ -93,7 +92,7 @@ _DAYS = """
 
 ORACLES = {
     "price_panel": with_tables("prices", """
-        SELECT trade_date, s.symbol, round(p.price, 6) AS price
+        SELECT trade_date, s.symbol, p.price
         FROM (SELECT trade_date FROM prices WHERE symbol = 'ALL'
               AND trade_date BETWEEN DATE '1995-06-01' AND DATE '1997-12-31') m
         CROSS JOIN (VALUES ('ALL'), ('N1'), ('N2'), ('N3')) s(symbol)
@@ -135,7 +134,7 @@ ORACLES = {
         run AS (SELECT *, 100000 - sum(s * price) OVER w AS cash, price * sum(s) OVER w AS equity
                 FROM days WINDOW w AS (PARTITION BY symbol ORDER BY trade_date))
         SELECT symbol AS account, trade_date, round(cash, 3) AS cash, round(equity, 3) AS equity,
-               round(round(cash + equity, 4), 3) AS total_value FROM run"""),
+               round(cash + equity, 4) AS total_value FROM run"""),
     "ledger_leverage_cap": with_tables("order_list prices", _DAYS + """
         , rows_of AS (SELECT p.symbol, p.trade_date, coalesce(o.seq, 0) AS seq, p.price,
                              CASE o.side WHEN 'BUY' THEN o.shares WHEN 'SELL' THEN -o.shares ELSE 0 END AS s,
@@ -153,7 +152,7 @@ ORACLES = {
                  / nullif(abs((f.position + r.s) * r.price) + f.cash - r.price * r.s, 0), 0) < 3 AS ok) t)
         SELECT r.symbol AS account, r.trade_date, CAST(r.seq AS INT) AS seq, round(f.cash, 3) AS cash,
                round(f.position * r.price, 3) AS equity,
-               round(round(f.cash + f.position * r.price, 4), 3) AS total_value, f.accepted
+               round(f.cash + f.position * r.price, 4) AS total_value, f.accepted
         FROM fold f JOIN rows_of r ON r.symbol = f.symbol AND r.n = f.n"""),
     "buy_hold": with_tables("numbered", """
         SELECT symbol, trade_date, round(price * 500 + (100000 - 500 * first(price) OVER (

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cohortlens.operators.phenotype import PhenotypeRules
 
 MARKET = "ALL"
+# Prices in about thousands; a prime, so that no price ends on a rounding tie.
+PRICE_UNIT = 997
 
 # Trial sets of the phenotype on derived codes.
 RULES = PhenotypeRules(
@@ -101,7 +103,7 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     market = sums.groupBy("trade_date").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     both = sums.unionByName(market.withColumn("symbol", F.lit(MARKET)))
     return both.select("symbol", "trade_date",
-                       (F.col("total").cast("double") / F.col("n") / 1000).alias("price"))
+                       (F.col("total").cast("double") / F.col("n") / PRICE_UNIT).alias("price"))
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -198,9 +200,9 @@ SQL = {
                sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total, count(*) AS n
         FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""",
     "prices": """
-        SELECT symbol, trade_date, CAST(total AS DOUBLE) / n / 1000 AS price FROM nation_sums
+        SELECT symbol, trade_date, CAST(total AS DOUBLE) / n / 997 AS price FROM nation_sums
         UNION ALL
-        SELECT 'ALL', trade_date, CAST(sum(total) AS DOUBLE) / sum(n) / 1000
+        SELECT 'ALL', trade_date, CAST(sum(total) AS DOUBLE) / sum(n) / 997
         FROM nation_sums GROUP BY trade_date""",
     "numbered": """
         SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY trade_date) - 1 AS ix FROM prices""",
