@@ -68,14 +68,23 @@ def gaussian_mixture(df: DataFrame, k: int = 3, max_rounds: int = 20, seed: int
 
 def mixture_bic(df: DataFrame, ks: Sequence[int], max_rounds: int = 20, seed: int = 0,
                 source: str = "features") -> DataFrame:
-    """2 * log likelihood - parameters * ln(n) per number of components; larger is better."""
+    """2 * log likelihood - parameters * ln(n) per number of components; larger is better.
+
+    One component is a plain Gaussian, so its likelihood is in closed form.
+    """
     rows = _vectors(df, source).select("__v").persist()
-    n, d = rows.count(), len(rows.first()["__v"])
+    n, _, cov = moments(df, source)
+    d = len(cov)
     out = []
     for k in ks:
-        model = GaussianMixture(k=k, maxIter=max_rounds, seed=seed, featuresCol="__v").fit(rows)
+        if k == 1:
+            spread = np.linalg.slogdet(cov * (n - 1) / n)[1]
+            likelihood = -n / 2 * (d * np.log(2 * np.pi) + spread + d)
+        else:
+            fit = GaussianMixture(k=k, maxIter=max_rounds, seed=seed, featuresCol="__v").fit(rows)
+            likelihood = fit.summary.logLikelihood
         parameters = (k - 1) + k * d + k * d * (d + 1) // 2
-        out.append((int(k), float(2 * model.summary.logLikelihood - parameters * np.log(n))))
+        out.append((int(k), float(2 * likelihood - parameters * np.log(n))))
     rows.unpersist()
     return df.sparkSession.createDataFrame(out, "k int, bic double").orderBy(F.desc("bic"))
 

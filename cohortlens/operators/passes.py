@@ -43,8 +43,8 @@ def summed(df: DataFrame, columns: list[str], part: Callable[[pd.DataFrame], Mat
 def mapped(df: DataFrame, keep: list[str], source: str, rule: Callable[[Matrix], Matrix],
            out: str = "features") -> DataFrame:
     """Replace array column ``source`` by ``rule`` applied to whole batches of rows."""
-    kept = df.select(*keep).schema
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + f", `{out}` array<double>"
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema]
+    schema = ", ".join([*kept, f"`{out}` array<double>"])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:

@@ -8,7 +8,8 @@ from cohortlens.operators import clustering, graph
 from cohortlens.plans import tables as t
 from cohortlens.plans.tables import with_tables
 
-SIMILAR = 0.3
+# three shared parts out of two sets of forty
+SIMILAR = 0.03
 
 
 def _source(spark: SparkSession, d: str) -> int:
@@ -22,7 +23,7 @@ def _one_vs_all(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
-    found = graph.jaccard_pairs(t.patient_codes(spark, d), SIMILAR)
+    found = graph.jaccard_pairs(t.patient_parts(spark, d), SIMILAR)
     return found.withColumn("similarity", F.round("similarity", 9))
 
 
@@ -42,7 +43,7 @@ def _ranked(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pic(spark: SparkSession, d: str) -> DataFrame:
-    found = graph.jaccard_pairs(t.patient_codes(spark, d), SIMILAR)
+    found = graph.jaccard_pairs(t.patient_parts(spark, d), SIMILAR)
     return clustering.power_iteration(found, k=3, max_rounds=10)
 
 
@@ -83,11 +84,11 @@ ORACLES = {
                    WHERE c_custkey <> (SELECT src FROM source))
         SELECT patient_id, round(s, 9) AS similarity,
                row_number() OVER (ORDER BY s DESC, patient_id) AS rank FROM scores"""),
-    "jaccard_all_pairs": with_tables("patient_codes", f"""
-        , sets AS (SELECT patient_id, count(*) AS size, string_agg(code, ',' ORDER BY code) AS codes
-                   FROM patient_codes GROUP BY patient_id),
+    "jaccard_all_pairs": with_tables("patient_parts", f"""
+        , sets AS (SELECT patient_id, count(*) AS size, list(code ORDER BY code) AS codes
+                   FROM patient_parts GROUP BY patient_id),
         firsts AS (SELECT min(patient_id) AS set_id, size, codes FROM sets GROUP BY size, codes),
-        members AS (SELECT f.set_id, p.code FROM firsts f JOIN patient_codes p ON f.set_id = p.patient_id),
+        members AS (SELECT f.set_id, p.code FROM firsts f JOIN patient_parts p ON f.set_id = p.patient_id),
         shared AS (SELECT a.set_id AS patient_a, b.set_id AS patient_b, count(*) AS n_shared
                    FROM members a JOIN members b ON a.code = b.code AND a.set_id < b.set_id GROUP BY 1, 2),
         graded AS (SELECT s.patient_a, s.patient_b, n_shared,
