@@ -118,8 +118,10 @@ def similar_sets(distinct: DataFrame, min_similarity: float) -> DataFrame:
     a-o+1 of the one and b-o+1 of the other. Only those prefixes are joined,
     within bands of comparable size. The most common code is last in its set,
     so it is joined on only where one shared code already makes a result.
-    What is left of either set after the shared code, and the bits in which the
-    signatures differ, bound the overlap before the sets are intersected.
+
+    Bounds leave few pairs to intersect: the bits in which the signatures
+    differ, and the number of shared prefix codes plus what can still follow
+    the last of them outside one of the prefixes.
     """
     if not 0 < min_similarity <= 1:
         raise ValueError("min_similarity must lie in (0, 1]")
@@ -136,9 +138,9 @@ def similar_sets(distinct: DataFrame, min_similarity: float) -> DataFrame:
     def side(name: str, sets: DataFrame, keep: Column) -> DataFrame:
         prefix = F.slice("tokens", F.lit(1), keep.cast("int"))
         return sets.select(
-            F.col("set_id").alias(f"{name}_id"), F.col("tokens").alias(f"{name}_tokens"),
-            F.col("size").alias(f"{name}_size"), "band",
+            F.col("set_id").alias(f"{name}_id"), F.col("size").alias(f"{name}_size"), "band",
             *[F.col(f"w{w}").alias(f"{name}_w{w}") for w in words],
+            (F.col("size") - keep).cast("int").alias(f"{name}_rest"),
             F.posexplode(prefix).alias(f"{name}_pos", "token"))
 
     size = F.col("size")
@@ -156,17 +158,23 @@ def similar_sets(distinct: DataFrame, min_similarity: float) -> DataFrame:
     smaller = (b < a) | ((b == a) & (F.col("b_id") < F.col("a_id")))
     needed = overlap_needed(a, b)
     differing = sum((F.bit_count(F.col(f"a_w{w}").bitwiseXOR(F.col(f"b_w{w}"))) for w in words), F.lit(0))
-    possible = (F.least(a - F.col("a_pos"), b - F.col("b_pos")) >= needed) & (
-        (a + b - differing) / 2 >= needed)
-    common = F.array_intersect("a_tokens", "b_tokens")
-    shared = F.size(common)
-    # one condition, cheapest parts first: sets are intersected only if the bounds allow.
-    # The rarest common code lies in both prefixes; the pair is reported there only.
-    found = (smaller & (b >= F.lit(t) * a - 1e-9) & possible & (shared / (a + b - shared) >= t)
-             & (F.col("token") == F.element_at(common, 1)))
-    return (probe.join(index, ["token", "band"]).where(found)
+    possible = (a + b - differing) / 2 >= needed
+    met = (probe.join(index, ["token", "band"]).where(smaller & (b >= F.lit(t) * a - 1e-9) & possible)
+           .groupBy("a_id", "b_id")
+           .agg(F.count(F.lit(1)).alias("n_met"), F.max(a).alias("a_size"), F.max(b).alias("b_size"),
+                F.max(F.col("a_rest") + F.col("b_rest")).alias("rest"),
+                F.max("a_pos").alias("a_last"), F.max("b_pos").alias("b_last")))
+    # codes outside a prefix come after every shared prefix code, in both sets
+    left = F.least(a - F.col("a_last") - 1, b - F.col("b_last") - 1, F.col("rest"))
+    open_pairs = met.where(F.col("n_met") + left >= needed).select("a_id", "b_id")
+    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
+    similarity = shared / (F.size("a_tokens") + F.size("b_tokens") - shared)
+    return (open_pairs
+            .join(signed.select(F.col("set_id").alias("a_id"), F.col("tokens").alias("a_tokens")), "a_id")
+            .join(signed.select(F.col("set_id").alias("b_id"), F.col("tokens").alias("b_tokens")), "b_id")
             .select(F.least("a_id", "b_id").alias("patient_a"), F.greatest("a_id", "b_id").alias("patient_b"),
-                    shared.alias("n_shared"), (shared / (a + b - shared)).alias("similarity")))
+                    shared.alias("n_shared"), similarity.alias("similarity"))
+            .where(F.col("similarity") >= t))
 
 
 def jaccard_pairs(pairs: DataFrame, min_similarity: float) -> DataFrame:
