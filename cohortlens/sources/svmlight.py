@@ -9,6 +9,8 @@ def sparse_text(features: DataFrame, entity: str = "patient_id", idx: str = "idx
                 value: str = "value", base: int = 0) -> DataFrame:
     """One line of ``idx:value`` pairs per entity, ascending ``idx``, six decimals.
 
+    Exact halves round to even, as C and Python formatting do.
+
     ``features`` holds one row per (entity, idx), so a bag is never larger than
     the feature dictionary.
     """
@@ -16,7 +18,7 @@ def sparse_text(features: DataFrame, entity: str = "patient_id", idx: str = "idx
                                                F.col(value).cast("double").alias("value"))))
     return (features.groupBy(entity).agg(bag.alias("bag"))
             .select(entity, F.array_join(
-                F.transform("bag", lambda p: F.format_string("%d:%.6f", p["idx"] + base, p["value"])),
+                F.transform("bag", lambda p: F.format_string("%d:%.6f", p["idx"] + base, F.bround(p["value"], 6))),
                 " ").alias("sparse_feature")))
 
 
