@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlens.functions.columns import days_between, is_present
@@ -145,5 +145,10 @@ def dense_rows(features: DataFrame, width: int, entity: str = "patient_id",
 
 def vector_rows(features: DataFrame, width: int, entity: str = "patient_id",
                 idx: str = "idx") -> DataFrame:
-    """The same rows as ML vectors."""
-    return dense_rows(features, width, entity, idx).withColumn("features", array_to_vector("features"))
+    """One sparse ML vector of ``width`` per entity."""
+    @F.udf(VectorUDT())
+    def sparse(cells):
+        return Vectors.sparse(width, [c[0] for c in cells], [c[1] for c in cells])
+
+    cells = F.sort_array(F.collect_list(F.struct(F.col(idx).cast("int"), F.col("value"))))
+    return features.groupBy(entity).agg(sparse(cells).alias("features"))

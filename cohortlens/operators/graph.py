@@ -64,7 +64,7 @@ def jaccard_one_vs_all(pairs: DataFrame, patient_id: int,
 
     ``pairs`` holds distinct (patient_id, code). Patients without codes score 0.
     """
-    own = pairs.where(F.col("patient_id") == patient_id).select("code", F.lit(1).alias("hit"))
+    own = checkpointed(pairs.where(F.col("patient_id") == patient_id).select("code", F.lit(1).alias("hit")))
     own_size = own.count()
     counts = (pairs.join(own, "code", "left").groupBy("patient_id")
               .agg(F.count(F.lit(1)).alias("size"), F.count("hit").alias("n_shared")))
@@ -185,7 +185,7 @@ def jaccard_pairs(pairs: DataFrame, min_similarity: float) -> DataFrame:
     that of their smallest equals. A pair absent from the result is below the
     threshold.
     """
-    sets = checkpointed(code_sets(pairs))
+    sets = checkpointed(code_sets(checkpointed(pairs.select("patient_id", "code"))))
     distinct = distinct_sets(sets)
     copies = (sets.join(distinct.where(F.col("n_members") > 1).select("tokens", "set_id"), "tokens")
               .where(F.col("patient_id") != F.col("set_id"))
@@ -205,14 +205,14 @@ def random_walk(edges: DataFrame, source: int, steps: int = 100, restart: float
     many edges is split into pieces of ``edges_per_split``; its rank is copied
     to each piece, so no single task holds all its edges.
     """
-    ends = edges.select("src", "dst")
+    ends = checkpointed(edges.select("src", "dst"))
     degree = ends.groupBy("src").agg(F.count(F.lit(1)).alias("degree")).select(
         F.col("src").alias("id"), (1.0 / F.col("degree")).alias("weight"),
         F.ceil(F.col("degree") / edges_per_split).cast("int").alias("splits"))
     links = (ends.join(degree.withColumnRenamed("id", "src"), "src")
              .withColumn("piece", F.pmod(F.xxhash64("dst"), F.col("splits")).cast("int"))
              .select("src", "piece", "dst", "weight"))
-    links = checkpointed(links).repartition("src", "piece").persist()
+    links = links.repartition("src", "piece").persist()
 
     known = ends.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     if vertices is not None:

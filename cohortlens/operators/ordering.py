@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from cohortlens.session import checkpointed
+
 MAX_BUCKETS = 4096
 ROWS_PER_BUCKET = 1_000_000
 SAMPLE_PER_BUCKET = 20
@@ -51,11 +53,15 @@ def bucket_of(df: DataFrame, keys: Sequence[str], points: Sequence[tuple]) -> Co
 
 
 def with_running_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, Column],
-                      rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                      rows_per_bucket: int = ROWS_PER_BUCKET, store: bool = True) -> DataFrame:
     """Add ``sum(expr)`` over all rows up to and including this one, by ``keys``.
 
-    ``keys`` must be unique and non-null, all ascending.
+    ``keys`` must be unique and non-null, all ascending. The frame is read
+    several times: ``store`` materialises it first, right for aggregates that
+    are small beside their input; pass False for a plain scan.
     """
+    if store:
+        df = checkpointed(df)
     points = split_points(df, keys, rows_per_bucket)
     order = [F.col(k).asc() for k in keys]
     if not points:
@@ -76,9 +82,9 @@ def with_running_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, Col
 
 
 def with_row_number(df: DataFrame, keys: Sequence[str], out: str = "row_number",
-                    rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+                    rows_per_bucket: int = ROWS_PER_BUCKET, store: bool = True) -> DataFrame:
     """Add the one-based position of each row in the order of ``keys``."""
-    numbered = with_running_sums(df, keys, {out: F.lit(1).cast("bigint")}, rows_per_bucket)
+    numbered = with_running_sums(df, keys, {out: F.lit(1).cast("bigint")}, rows_per_bucket, store)
     return numbered.withColumn(out, F.col(out).cast("bigint"))
 
 
@@ -87,14 +93,14 @@ def top_fraction(df: DataFrame, score: str, tiebreak: str, share: float,
     """The best ``floor(n * share)`` rows by ``score`` descending."""
     keep = int(df.count() * share)
     ranked = with_row_number(df.withColumn("__neg", -F.col(score)), ["__neg", tiebreak],
-                             "rank", rows_per_bucket)
+                             "rank", rows_per_bucket, store=False)
     return ranked.where(F.col("rank") <= keep).drop("__neg")
 
 
 def first_n(df: DataFrame, key: str, n: int,
             rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Tag the first ``n`` rows in key order as train, the rest as test."""
-    numbered = with_row_number(df, [key], "position", rows_per_bucket)
+    numbered = with_row_number(df, [key], "position", rows_per_bucket, store=False)
     return numbered.withColumn("split", F.when(F.col("position") <= n, "train").otherwise("test"))
 
 
@@ -103,7 +109,7 @@ def fold_of(df: DataFrame, key: str, k: int,
     """Contiguous folds in key order; the first ``n % k`` folds hold one row more."""
     total = df.count()
     base, extra = divmod(total, k)
-    numbered = with_row_number(df, [key], "position", rows_per_bucket)
+    numbered = with_row_number(df, [key], "position", rows_per_bucket, store=False)
     at = F.col("position") - 1
     long_rows = extra * (base + 1)
     fold = F.when(at < long_rows, F.floor(at / (base + 1))).otherwise(

@@ -87,7 +87,8 @@ def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Mapping[str,
                                  for n, p in probabilities.items()])).alias("w")
     targets = (start.select("column", "start", "total", wanted)
                .withColumn("h", (F.col("total") - 1) * F.col("w.p")))
-    placed = (running.join(targets, "column")
+    # one row per column and probability, so the broadcast is bounded by the request
+    placed = (running.join(F.broadcast(targets), "column")
               .withColumn("hi", F.col("upto") - F.col("start"))
               .withColumn("lo", F.col("hi") - F.col("n")))
     floor = F.floor("h")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlens.operators import cohort, features, phenotype
@@ -9,6 +10,7 @@ from cohortlens.plans import tables as t, workloads
 from cohortlens.plans.tables import with_tables
 from cohortlens.session import checkpointed
 from cohortlens.sources import svmlight
+from cohortlens.sources.delimited import named_views
 
 
 def _both(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
@@ -69,6 +71,20 @@ def _unlabelled(spark: SparkSession, d: str) -> DataFrame:
     return svmlight.unlabelled_lines(svmlight.sparse_text(features.indexed_and_scaled(found)[0]))
 
 
+def _cohort_views(spark: SparkSession, d: str) -> DataFrame:
+    """Both cohorts as named views, counted by plain SQL."""
+    events, dead = _both(spark, d)
+    named_views({"alive_events": cohort.alive_events(events, dead), "dead_events": cohort.dead_events(events, dead)})
+    return spark.sql("""
+        SELECT 'alive' AS cohort, event_id, count(*) AS n_events FROM alive_events GROUP BY event_id
+        UNION ALL SELECT 'dead', event_id, count(*) FROM dead_events GROUP BY event_id""")
+
+
+def _sparse(spark: SparkSession, d: str) -> DataFrame:
+    rows = features.vector_rows(_scaled(spark, d), 120).withColumn("f", vector_to_array("features"))
+    return rows.select("patient_id", F.round(F.aggregate("f", F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
+
+
 def _feature_tuples(spark: SparkSession, d: str) -> DataFrame:
     found = features.feature_tuples(t.diagnostics(spark, d), t.medications(spark, d), t.labs(spark, d))
     return _rounded(found, "value")
@@ -128,6 +144,8 @@ QUERIES = {
     "top_codes_by_cohort": lambda s, d: cohort.top_codes(*_both(s, d)),
     "alive_events_anti": lambda s, d: cohort.alive_events(*_both(s, d)),
     "dead_events_semi": lambda s, d: cohort.dead_events(*_both(s, d)),
+    "cohort_views": _cohort_views,
+    "sparse_feature_rows": _sparse,
     "event_cohorts": lambda s, d: cohort.with_cohort(*_both(s, d)).groupBy("cohort", "patient_id").agg(
         F.count(F.lit(1)).alias("n_events")),
     "last_event": lambda s, d: cohort.last_event(t.clinical_events(s, d)),
@@ -179,6 +197,11 @@ ORACLES = {
         SELECT * FROM clinical_events WHERE patient_id NOT IN (SELECT patient_id FROM mortality)"""),
     "dead_events_semi": with_tables("mortality", """
         SELECT * FROM clinical_events WHERE patient_id IN (SELECT patient_id FROM mortality)"""),
+    "cohort_views": with_tables("cohorts", """
+        SELECT cohort, event_id, count(*) AS n_events FROM clinical_events e
+        JOIN cohorts c ON e.patient_id = c.patient_id GROUP BY 1, 2"""),
+    "sparse_feature_rows": with_tables("scaled", """
+        SELECT patient_id, round(sum(value), 6) AS total FROM scaled GROUP BY patient_id"""),
     "event_cohorts": with_tables("cohorts", """
         SELECT cohort, e.patient_id, count(*) AS n_events FROM clinical_events e
         JOIN cohorts c ON e.patient_id = c.patient_id GROUP BY 1, 2"""),

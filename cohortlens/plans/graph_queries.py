@@ -24,7 +24,8 @@ def _one_vs_all(spark: SparkSession, d: str) -> DataFrame:
 
 def _pairs(spark: SparkSession, d: str) -> DataFrame:
     found = graph.jaccard_pairs(t.patient_parts(spark, d), SIMILAR)
-    return found.withColumn("similarity", F.round("similarity", 9))
+    return (found.withColumn("similarity", F.round("similarity", 9))
+            .orderBy(F.desc("similarity"), "patient_a", "patient_b"))
 
 
 def _edges(spark: SparkSession, d: str) -> DataFrame:
