@@ -162,19 +162,22 @@ def similar_sets(distinct: DataFrame, min_similarity: float) -> DataFrame:
     met = (probe.join(index, ["token", "band"]).where(smaller & (b >= F.lit(t) * a - 1e-9) & possible)
            .groupBy("a_id", "b_id")
            .agg(F.count(F.lit(1)).alias("n_met"), F.max(a).alias("a_size"), F.max(b).alias("b_size"),
-                F.max(F.col("a_rest") + F.col("b_rest")).alias("rest"),
+                F.max(F.greatest("a_rest", "b_rest")).alias("rest"),
                 F.max("a_pos").alias("a_last"), F.max("b_pos").alias("b_last")))
-    # codes outside a prefix come after every shared prefix code, in both sets
+    # shared codes outside a prefix come after all others, and from the first of
+    # them on all lie outside that same prefix
     left = F.least(a - F.col("a_last") - 1, b - F.col("b_last") - 1, F.col("rest"))
     open_pairs = met.where(F.col("n_met") + left >= needed).select("a_id", "b_id")
     shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    similarity = shared / (F.size("a_tokens") + F.size("b_tokens") - shared)
+    sizes = F.size("a_tokens") + F.size("b_tokens")
+    similarity = shared / (sizes - shared)
     return (open_pairs
             .join(signed.select(F.col("set_id").alias("a_id"), F.col("tokens").alias("a_tokens")), "a_id")
             .join(signed.select(F.col("set_id").alias("b_id"), F.col("tokens").alias("b_tokens")), "b_id")
+            # the count decides; the ratio is only worked out for pairs that pass
+            .where((shared >= overlap_needed(F.size("a_tokens"), F.size("b_tokens"))) & (similarity >= t))
             .select(F.least("a_id", "b_id").alias("patient_a"), F.greatest("a_id", "b_id").alias("patient_b"),
-                    shared.alias("n_shared"), similarity.alias("similarity"))
-            .where(F.col("similarity") >= t))
+                    shared.alias("n_shared"), similarity.alias("similarity")))
 
 
 def jaccard_pairs(pairs: DataFrame, min_similarity: float) -> DataFrame:

@@ -38,14 +38,14 @@ def shared_dir(spark: SparkSession) -> str:
     """
     context = spark.sparkContext
     named = spark.conf.get(CHECKPOINT_CONF, None) or context.getConf().get(CHECKPOINT_CONF)
-    if not named:
+    current = context.getCheckpointDir()
+    if not named and not current:
         if not context.master.startswith("local"):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
         named = tempfile.mkdtemp(prefix="cohortlens-")
-        spark.conf.set(CHECKPOINT_CONF, named)
-    if context.getCheckpointDir() is None:
+    if current is None:
         context.setCheckpointDir(named)
-    return named
+    return named or current
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
