@@ -82,7 +82,8 @@ def _chunks(docs: DataFrame, wanted: DataFrame, chunk_bytes: int) -> DataFrame:
     last = F.greatest(F.ceil(F.length("data") / chunk_bytes), F.lit(1)).cast("int") - 1
     cut = F.transform(F.sequence(F.lit(0), last), lambda k: F.substring(F.col("data"), k * chunk_bytes + 1, chunk_bytes))
     texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), data.alias("data"))
-    return (texts.join(wanted, "doc_id")
+    # the wanted ids grow with the corpus: never broadcast
+    return (texts.join(wanted.hint("merge"), "doc_id")
             .select(*wanted.columns, F.posexplode(cut).alias("chunk_no", "chunk")))
 
 
@@ -110,17 +111,15 @@ def equal_texts(docs: DataFrame, primes=PRIMES, chunk_bytes: int = CHUNK_BYTES,
     settled = found.where(F.col("keep_id").isNull()).select("doc_id", F.col("doc_id").alias("keep_id"))
     open_rows = stored(found.where(F.col("keep_id").isNotNull()).select("doc_id", *key, "keep_id", "n"), "exact-open")
     while True:
+        # the texts meet the list of wanted ids once
+        pieces = stored(_chunks(docs, open_rows.select("doc_id", "keep_id", "n"), chunk_bytes), "exact-chunks")
         salts = F.ceil(F.col("n") / members_per_salt).cast("int")
         heads = open_rows.where("doc_id = keep_id")
-        members = open_rows.where("doc_id <> keep_id").select(
-            "doc_id", F.col("keep_id").alias("head_id"), F.pmod(F.xxhash64("doc_id"), salts).cast("int").alias("salt"))
-        copies = heads.select("doc_id", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
-        # texts meet the list of documents by doc_id once; the head's chunks are copied after that
-        pieces = _chunks(docs, heads.select("doc_id"), chunk_bytes)
-        head = (pieces.join(copies, "doc_id")
-                .select(F.col("doc_id").alias("head_id"), "salt", "chunk_no", F.col("chunk").alias("head_chunk")))
-        compared = (_chunks(docs, members, chunk_bytes).join(head, ["head_id", "salt", "chunk_no"], "left")
-                    .groupBy("doc_id", "head_id")
+        members = pieces.where("doc_id <> keep_id").withColumn("salt", F.pmod(F.xxhash64("doc_id"), salts).cast("int"))
+        copies = (pieces.where("doc_id = keep_id").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+                  .select("keep_id", "salt", "chunk_no", F.col("chunk").alias("head_chunk")))
+        compared = (members.join(copies.hint("merge"), ["keep_id", "salt", "chunk_no"], "left")
+                    .groupBy("doc_id", F.col("keep_id").alias("head_id"))
                     .agg(F.min(F.coalesce(F.col("chunk") == F.col("head_chunk"), F.lit(False))).alias("same")))
         compared = stored(compared, "exact-compared")
         settled = (settled.unionByName(heads.select("doc_id", "keep_id"))

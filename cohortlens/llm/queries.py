@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, exact, packing
+from cohortlens.llm import bpe, exact, langid, lines, minhash, packing
 from cohortlens.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -20,21 +20,45 @@ def vocabulary_path() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
+def held_out(modulus: int, rest: int):
+    """Rows that no model learns from: crc32 of the id as text leaves ``rest``."""
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == rest
+
+
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact.equal_texts(table(spark, sf_dir, "documents"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = lines.remove_boilerplate(table(spark, sf_dir, "documents"), counts=True)
+    return cleaned.select("doc_id", "n_lines", "n_removed", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.fit(docs, ~held_out(3, 1))
+    return (langid.identify(docs, model).withColumn("held_out", held_out(3, 1))
+            .select("doc_id", "held_out", "lang_pred", "score", "rejected"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_minhash": op3_minhash,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_line_dedup": op5_line_dedup,
     "op6_bpe": op6_bpe,
+    "op7_language_id": op7_language_id,
     "op10_packing": op10_packing,
 }
 
@@ -43,4 +67,18 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op5_line_dedup": """
+        WITH parts AS (SELECT doc_id, source, string_split(text, chr(10)) AS parts FROM documents),
+        lines AS (SELECT doc_id, coalesce(source, '') AS site, CAST(i AS INTEGER) AS line_no,
+                         trim(parts[i], chr(32) || chr(9) || chr(13)) AS line
+                  FROM parts, unnest(range(1, len(parts) + 1)) AS t(i)),
+        spread AS (SELECT line, min((doc_id, line_no)) AS first FROM lines WHERE line <> ''
+                   GROUP BY line HAVING count(DISTINCT site) >= 10),
+        taken AS (SELECT doc_id, list(line_no) AS taken FROM lines JOIN spread USING (line)
+                  WHERE (doc_id, line_no) <> first GROUP BY doc_id)
+        SELECT doc_id, coalesce(len(parts), 0) AS n_lines, coalesce(len(taken), 0) AS n_removed,
+               sha256(CASE WHEN taken IS NULL THEN coalesce(array_to_string(parts, chr(10)), '')
+                           ELSE coalesce(array_to_string(list_transform(list_filter(range(1, len(parts) + 1),
+                                lambda i: NOT list_contains(taken, i)), lambda i: parts[i]), chr(10)), '') END) AS kept_sha256
+        FROM parts LEFT JOIN taken USING (doc_id)""",
 }
