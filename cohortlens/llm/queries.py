@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, exact, langid, lines, minhash, packing
+from cohortlens.llm import bpe, exact, ivf, langid, lines, minhash, packing, toxicity
 from cohortlens.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -25,6 +25,12 @@ def held_out(modulus: int, rest: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == rest
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents"), held_out(4, 2)
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held)
+    return toxicity.score(docs, model).withColumn("held_out", held).select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -49,16 +55,22 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "lang_pred", "score", "rejected"))
 
 
+def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ivf.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_toxicity": op2_toxicity,
     "op3_minhash": op3_minhash,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe": op6_bpe,
     "op7_language_id": op7_language_id,
+    "op9_multi_index": op9_multi_index,
     "op10_packing": op10_packing,
 }
 
@@ -67,6 +79,19 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW w AS (PARTITION BY coalesce(text, ''))""",
+    "op9_multi_index": """
+        WITH RECURSIVE units AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS v FROM embeddings
+            WHERE embedding IS NOT NULL),
+        normed AS (SELECT vec_id, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS v FROM units
+                   WHERE list_dot_product(v, v) > 0 AND isfinite(list_dot_product(v, v))),
+        links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM normed a JOIN normed b ON a.vec_id <> b.vec_id
+                  WHERE list_dot_product(a.v, b.v) >= 0.95),
+        reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        found AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+        counts AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+        SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+        FROM found LEFT JOIN counts USING (vec_id)""",
     "op5_line_dedup": """
         WITH parts AS (SELECT doc_id, source, string_split(text, chr(10)) AS parts FROM documents),
         lines AS (SELECT doc_id, coalesce(source, '') AS site, CAST(i AS INTEGER) AS line_no,
