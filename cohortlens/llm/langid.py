@@ -82,8 +82,7 @@ def train(passages: list[tuple[str, str]], epochs: int = 6, rate: float = 8.0, b
     languages = sorted({lang for lang, _ in passages})
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
-    counts = [histogram(text) for _, text in passages]
-    sparse = [(np.flatnonzero(c), c[np.flatnonzero(c)] / max(c.sum(), 1)) for c in counts]
+    sparse = [_shares(histogram(text)) for _, text in passages]
     target = np.asarray([languages.index(lang) for lang, _ in passages])
     order = np.random.default_rng(seed).permutation(len(passages))
     held, fitted = order[::5], np.setdiff1d(order, order[::5])
@@ -110,7 +109,7 @@ def train(passages: list[tuple[str, str]], epochs: int = 6, rate: float = 8.0, b
             embedding[used] -= pace * 8 * (x.T @ back) / len(rows)
             step += 1
     model = LanguageModel(languages, embedding @ weights, bias.astype(np.float64))
-    logits = np.asarray([model.logits(counts[row]) for row in held])
+    logits = np.asarray([sparse[row][1] @ model.table[sparse[row][0]] + model.bias for row in held])
     if len(held):
         scales = np.geomspace(0.02, 2.0, 40)
         losses = [-_log_likelihood(logits / s, target[held]) for s in scales]
@@ -123,6 +122,12 @@ def train(passages: list[tuple[str, str]], epochs: int = 6, rate: float = 8.0, b
     return model
 
 
+def _shares(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The used buckets and their shares."""
+    used = np.flatnonzero(counts)
+    return used.astype(np.int32), (counts[used] / max(counts.sum(), 1)).astype(np.float32)
+
+
 def _log_likelihood(z: np.ndarray, target: np.ndarray) -> float:
     z = z - z.max(axis=1, keepdims=True)
     return float((z[np.arange(len(z)), target] - np.log(np.exp(z).sum(axis=1))).mean())

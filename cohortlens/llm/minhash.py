@@ -36,6 +36,8 @@ SIMILARITY = 0.8
 #: A pair at the threshold shares no band with probability (1 - 0.8^4)^24, 3 in a million.
 BANDS, ROWS = 24, 4
 MEMBERS_PER_SALT = 64
+#: Centres of a group in the rounds after the first.
+CENTERS = 4
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -117,12 +119,13 @@ def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, shingles array<bigint>")
 
 
-def _stars(groups: DataFrame, rank: DataFrame) -> DataFrame:
-    """(center, member) for groups (key, doc_id): the member of highest rank against the others."""
-    ranked = stored(groups.join(rank, "doc_id"), "near-groups")
-    best = ranked.groupBy("key").agg(F.max(F.struct("rank", (-F.col("doc_id")).alias("id"))).alias("best"),
-                                     F.count(F.lit(1)).alias("n")).where("n > 1")
-    best = stored(best.select("key", (-F.col("best.id")).alias("center")), "near-centers")
+def _stars(groups: DataFrame, rank: DataFrame, centers: int) -> DataFrame:
+    """(center, member) for groups (key, doc_id): up to ``centers`` members of highest rank against the others."""
+    slot = F.pmod(F.xxhash64("doc_id", F.lit("slot")), F.lit(centers))
+    ranked = stored(groups.join(rank, "doc_id").withColumn("slot", slot), "near-groups")
+    best = (ranked.groupBy("key", "slot").agg(F.max(F.struct("rank", (-F.col("doc_id")).alias("id"))).alias("best"))
+            .select("key", (-F.col("best.id")).alias("center")))
+    best = stored(best, "near-centers")
     return ranked.join(best, "key").where("doc_id <> center").select("center", F.col("doc_id").alias("member")).distinct()
 
 
@@ -146,7 +149,7 @@ def _verified(stars: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
                       (F.col("n") - r).alias("n_shared"), (F.col("n") + a).alias("n_all"))
 
 
-def _regrouped(tested: DataFrame, p: int, q: int) -> DataFrame:
+def _regrouped(tested: DataFrame, labels: DataFrame, p: int, q: int) -> DataFrame:
     """(key, doc_id) groups of members that may be similar although a centre did not link them all.
 
     Differences are put in one order, added ones first since they are rarer. The
@@ -162,13 +165,21 @@ def _regrouped(tested: DataFrame, p: int, q: int) -> DataFrame:
 
     def keyed(kind: int, rows: DataFrame, least: Column) -> DataFrame:
         prefix = F.slice(order, F.lit(1), F.greatest(size - least + 1, F.lit(0)).cast("int"))
-        return (rows.select("center", "member", outer.alias("outer"), F.explode(prefix).alias("element"))
-                .select(F.xxhash64(F.lit(kind), "center", "element").alias("key"), F.col("member").alias("doc_id"), "outer"))
+        return (rows.select("center", "member", "fresh", outer.alias("outer"), F.explode(prefix).alias("element"))
+                .select(F.xxhash64(F.lit(kind), "center", "element").alias("key"), F.lit(kind).alias("kind"),
+                        F.col("member").alias("doc_id"), "outer", "fresh"))
 
     some = tested.where(outer).select("center").distinct()
     rows = tested.join(stored(some, "near-open"), "center", "left_semi")
-    groups = stored(keyed(0, rows.where(outer), both).unionByName(keyed(1, rows, mixed)).distinct(), "near-regrouped")
-    wanted = (groups.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("outer").alias("any")).where("n > 1 AND any"))
+    keys = keyed(0, rows.where(outer), both).unionByName(keyed(1, rows, mixed)).distinct()
+    groups = stored(keys.join(labels.select(F.col("id").alias("doc_id"), "component_id"), "doc_id", "left")
+                    .withColumn("component", F.coalesce("component_id", "doc_id")), "near-regrouped")
+    # a group adds nothing if its members are connected already, if no member is new to the centre,
+    # or if it lacks the pairs of its kind: two outer members, or an outer and an inner one
+    wanted = (groups.groupBy("key", "kind")
+              .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("fresh").alias("new"),
+                   F.max("outer").alias("any"), F.min("outer").alias("all"))
+              .where("low < high AND new AND any AND (kind = 0 OR NOT all)"))
     return groups.join(stored(wanted.select("key"), "near-wanted"), "key", "left_semi").select("key", "doc_id")
 
 
@@ -188,23 +199,24 @@ def near_links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARIT
     rank = stored(members.groupBy("doc_id").agg(F.sum("n").alias("rank")), "near-rank")
     wanted = docs.join(rank.select("doc_id").hint("merge"), "doc_id", "left_semi")  # grows with the corpus: never broadcast
     sets = stored(shingle_sets(wanted, words), "near-sets")
-    stars = stored(_stars(members.select("key", "doc_id"), rank), "near-stars")
+    stars = stored(_stars(members.select("key", "doc_id"), rank, 1), "near-stars")
     tested, links = None, []
     while not stars.isEmpty():
         fresh = stored(_verified(stars, sets, p, q), "near-tested")
         links.append(fresh.where("k <= limit").select(
             F.least("center", "member").alias("a"), F.greatest("center", "member").alias("b"),
             (F.col("n_shared") / F.col("n_all")).alias("similarity")))
-        tested = fresh if tested is None else tested.unionByName(fresh)
+        found = links[0]
+        for more in links[1:]:
+            found = found.unionByName(more)
+        fresh = fresh.withColumn("fresh", F.lit(True))
+        tested = fresh if tested is None else tested.withColumn("fresh", F.lit(False)).unionByName(fresh)
         open_rows = tested.join(stored(stars.select("center").distinct(), "near-touched"), "center", "left_semi")
-        following = _stars(_regrouped(open_rows, p, q), rank)
+        following = _stars(_regrouped(open_rows, components(found.select("a", "b")), p, q), rank, CENTERS)
         stars = stored(following.join(tested.select("center", "member"), ["center", "member"], "left_anti"), "near-stars")
     if not links:
         return docs.sparkSession.createDataFrame([], "a bigint, b bigint, similarity double")
-    out = links[0]
-    for more in links[1:]:
-        out = out.unionByName(more)
-    return stored(out, "near-links")
+    return stored(found, "near-links")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, bands: int = BANDS,
