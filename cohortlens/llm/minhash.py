@@ -37,7 +37,7 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 MEMBERS_PER_SALT = 64
 #: Centres of a group in the rounds after the first.
-CENTERS = 4
+CENTERS = 16
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -178,8 +178,11 @@ def _regrouped(tested: DataFrame, labels: DataFrame, p: int, q: int) -> DataFram
     # or if it lacks the pairs of its kind: two outer members, or an outer and an inner one
     wanted = (groups.groupBy("key", "kind")
               .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("fresh").alias("new"),
-                   F.max("outer").alias("any"), F.min("outer").alias("all"))
-              .where("low < high AND new AND any AND (kind = 0 OR NOT all)"))
+                   F.max("outer").alias("any"), F.min("outer").alias("all"),
+                   F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("members"))
+              .where("low < high AND new AND any AND (kind = 0 OR NOT all)")
+              # many differences lead to the same members: one group of each kind is enough
+              .groupBy("n", "members", "low", "high").agg(F.min("key").alias("key")))
     return groups.join(stored(wanted.select("key"), "near-wanted"), "key", "left_semi").select("key", "doc_id")
 
 

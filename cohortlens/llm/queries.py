@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, exact, ivf, langid, lines, minhash, packing, toxicity
+from cohortlens.llm import bpe, exact, ivf, langid, lines, minhash, packing, secrets, toxicity
 from cohortlens.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -55,6 +55,17 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "lang_pred", "score", "rejected"))
 
 
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.findings(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "token_no", F.length("secret").alias("length"), "key_word", "probability", "is_secret")
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def op9_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ivf.near_vectors(table(spark, sf_dir, "embeddings"))
 
@@ -70,8 +81,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_line_dedup": op5_line_dedup,
     "op6_bpe": op6_bpe,
     "op7_language_id": op7_language_id,
+    "op8_secret_scan": op8_secret_scan,
     "op9_multi_index": op9_multi_index,
     "op10_packing": op10_packing,
+    "pipeline": pipeline,
 }
 
 ORACLES: dict[str, str] = {
