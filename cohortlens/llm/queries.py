@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, exact, ivf, langid, lines, minhash, packing, secrets, toxicity
+from cohortlens.llm import bpe, exact, ivf, langid, lines, minhash, packing, secrets, suffix, toxicity
 from cohortlens.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -25,6 +25,10 @@ def held_out(modulus: int, rest: int):
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % modulus == rest
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents")).drop("kept")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, held = table(spark, sf_dir, "documents"), held_out(4, 2)
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), ~held)
@@ -75,6 +79,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_toxicity": op2_toxicity,
     "op3_minhash": op3_minhash,
     "op4_exact_dedup": op4_exact_dedup,
