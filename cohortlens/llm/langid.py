@@ -141,10 +141,11 @@ def sample(docs: DataFrame, learn: Column) -> list[tuple[str, str]]:
         return []
     each = min(ROWS_PER_LANGUAGE, max(SAMPLE_ROWS // len(sizes), 20))
     rates = docs.sparkSession.createDataFrame([(lang, min(1.0, each / n)) for lang, n in sizes.items()], "lang string, rate double")
+    # one row per language, so the broadcast is bounded by the languages just counted
     draw = F.pmod(F.xxhash64("doc_id", F.lit("draw")), F.lit(1 << 30)) / float(1 << 30)
     size = F.when(F.pmod(F.xxhash64("doc_id", F.lit("size")), F.lit(3)) == 0, 60).otherwise(PASSAGE_CHARS)
     place = F.pmod(F.xxhash64("doc_id", F.lit("place")), F.greatest(F.length("text") - size, F.lit(0)) + 1).cast("int") + 1
-    rows = (known.select("doc_id", "lang", "text").join(rates, "lang").where(draw < F.col("rate"))
+    rows = (known.select("doc_id", "lang", "text").join(F.broadcast(rates), "lang").where(draw < F.col("rate"))
             .select("lang", F.substring(F.col("text"), place, size).alias("passage"), "doc_id").collect())
     ordered = sorted((r["doc_id"], r["lang"], r["passage"]) for r in rows)
     return [(lang, passage) for _, lang, passage in ordered if _LETTER.search(passage)]

@@ -273,18 +273,20 @@ def _sigmoid(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 
 def sample(docs: DataFrame, labels: DataFrame, learn: Column) -> list[tuple[str, int]]:
     """A bounded sample of labelled texts, at most SENTENCES_PER_TEXT sentences each from a hashed place on."""
-    known = labels.where(F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
-    known = docs.select("doc_id", "text").where(learn & F.col("text").isNotNull()).join(known, "doc_id")
+    known = labels.where(learn & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     sizes = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1 << 30)) / float(1 << 30)
     rate = F.lit(0.0)
     for label, n in sizes.items():
         rate = F.when(F.col("toxic") == label, min(1.0, TEXTS_PER_LABEL / n)).otherwise(rate)
+    # at most about TEXTS_PER_LABEL ids of each label, whatever the corpus
+    drawn = F.broadcast(known.where(draw < rate))
+    known = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(drawn, "doc_id")
     parts = F.split("text", "(?<=[.!?\n])")
     rest = F.greatest(F.size("parts") - SENTENCES_PER_TEXT, F.lit(0)) + 1
     place = F.pmod(F.xxhash64("doc_id", F.lit("place")), rest).cast("int") + 1
     # a toxic text is taken whole up to a bound: its toxic sentence may be anywhere
-    rows = (known.where(draw < rate).withColumn("parts", parts)
+    rows = (known.withColumn("parts", parts)
             .select("doc_id", "toxic", F.substring(F.concat_ws("", F.when(F.col("toxic") == 1, F.col("parts"))
                     .otherwise(F.slice("parts", place, SENTENCES_PER_TEXT))), 1, 20_000).alias("text")).collect())
     return [(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
