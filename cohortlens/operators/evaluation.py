@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterable, Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortlens.operators.ordering import ROWS_PER_BUCKET, first_n, fold_of, with_running_sums
+from cohortlens.session import checkpointed
 from cohortlens.operators.sampling import random_split
 
 Scorer = Callable[[DataFrame, DataFrame], DataFrame]
@@ -37,9 +38,10 @@ def roc_points(df: DataFrame, score: str = "score", label: str = "label",
     counts = (df.groupBy(F.col(score).alias("threshold"))
               .agg(positive.alias("pos"), F.count(F.lit(1)).alias("n"))
               .withColumn("neg", F.col("n") - F.col("pos")).withColumn("__order", -F.col("threshold")))
+    counts = checkpointed(counts)
     totals = counts.agg(F.sum("pos"), F.sum("neg")).first()
     running = with_running_sums(counts, ["__order"], {"tp": F.col("pos"), "fp": F.col("neg")},
-                                rows_per_bucket)
+                                rows_per_bucket, store=False)
     return running.select("threshold", F.try_divide(F.col("fp"), F.lit(float(totals[1] or 0))).alias("fpr"),
                           F.try_divide(F.col("tp"), F.lit(float(totals[0] or 0))).alias("tpr"),
                           "pos", "neg", "tp", "fp")
@@ -53,7 +55,7 @@ def roc_area(df: DataFrame, score: str = "score", label: str = "label",
     return points.agg(F.try_divide(F.sum(step), (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"))
 
 
-def multiclass_auc(df: DataFrame, prediction: str, label: str, max_classes: int = 1000) -> DataFrame:
+def multiclass_auc(df: DataFrame, prediction: str, label: str) -> DataFrame:
     """Mean over class pairs of the rank AUC of predicted positions.
 
     Per pair the direction follows the class medians. Works on the counts per
@@ -61,11 +63,10 @@ def multiclass_auc(df: DataFrame, prediction: str, label: str, max_classes: int
     """
     counts = df.groupBy(F.col(label).alias("c"), F.col(prediction).cast("double").alias("p")).agg(
         F.count(F.lit(1)).alias("n"))
-    classes = sorted(r[0] for r in counts.select("c").distinct().limit(max_classes + 1).collect())
-    if len(classes) > max_classes:
-        raise ValueError(f"more than {max_classes} classes")
-    other = F.explode(F.array(*[F.lit(c) for c in classes])).alias("o")
-    sides = (counts.select("c", "p", "n", other).where(F.col("c") != F.col("o"))
+    counts = checkpointed(counts)
+    classes = counts.select(F.col("c").alias("o")).distinct()
+    # the result is a mean over pairs of classes, so each class meets each other one
+    sides = (counts.join(classes, F.col("c") != F.col("o"))
              .select(F.least("c", "o").alias("class_a"), F.greatest("c", "o").alias("class_b"), "p",
                      F.when(F.col("c") < F.col("o"), F.col("n")).otherwise(0).alias("na"),
                      F.when(F.col("c") > F.col("o"), F.col("n")).otherwise(0).alias("nb")))

@@ -10,7 +10,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.linalg import Vectors, VectorUDT
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlens.functions.columns import days_between, is_present
@@ -136,19 +137,23 @@ def labels(features: DataFrame, index: DataFrame) -> DataFrame:
 
 def dense_rows(features: DataFrame, width: int, entity: str = "patient_id",
                idx: str = "idx") -> DataFrame:
-    """One array of ``width`` numbers per entity, zeros where it has no value."""
-    by_id = F.map_from_entries(F.collect_list(F.struct(F.col(idx).cast("int"), F.col("value"))))
-    filled = F.transform(F.sequence(F.lit(0), F.lit(width - 1)),
-                         lambda i: F.coalesce(F.element_at("by_id", i), F.lit(0.0)))
-    return features.groupBy(entity).agg(by_id.alias("by_id")).select(entity, filled.alias("features"))
+    """One array of ``width`` numbers per entity, zeros where it has no value; an id beyond it fails."""
+    cells = F.sort_array(F.collect_list(F.struct(F.col(idx).cast("int").alias("i"), F.col("value").cast("double").alias("v"))))
+    # every value is followed by the zeros up to the next one: linear in the width
+    after = lambda i: F.coalesce(F.get("cells", i + 1)["i"], F.lit(width))
+    filled = F.flatten(F.transform("cells", lambda c, i: F.concat(
+        F.array(c["v"]), F.array_repeat(F.lit(0.0), F.greatest(after(i) - c["i"] - 1, F.lit(0)).cast("int")))))
+    dense = F.concat(F.array_repeat(F.lit(0.0), F.get("cells", F.lit(0))["i"]), filled)
+    last = F.element_at("cells", -1)["i"]
+    checked = F.when(last >= width, F.raise_error(F.concat(F.lit("feature id beyond the width: "), last.cast("string")))
+                     .cast("array<double>")).otherwise(dense)
+    return features.groupBy(entity).agg(cells.alias("cells")).select(entity, checked.alias("features"))
 
 
 def vector_rows(features: DataFrame, width: int, entity: str = "patient_id",
                 idx: str = "idx") -> DataFrame:
     """One sparse ML vector of ``width`` per entity."""
-    @F.udf(VectorUDT())
-    def sparse(cells):
-        return Vectors.sparse(width, [c[0] for c in cells], [c[1] for c in cells])
-
-    cells = F.sort_array(F.collect_list(F.struct(F.col(idx).cast("int"), F.col("value"))))
-    return features.groupBy(entity).agg(sparse(cells).alias("features"))
+    dense = dense_rows(features, width, entity, idx).withColumn("__dense", array_to_vector("features"))
+    # the assembler keeps the smaller of the dense and the sparse form
+    packed = VectorAssembler(inputCols=["__dense"], outputCol="__vector").transform(dense)
+    return packed.select(entity, F.col("__vector").alias("features"))

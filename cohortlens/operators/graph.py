@@ -180,21 +180,33 @@ def similar_sets(distinct: DataFrame, min_similarity: float) -> DataFrame:
                     shared.alias("n_shared"), similarity.alias("similarity")))
 
 
-def jaccard_pairs(pairs: DataFrame, min_similarity: float) -> DataFrame:
-    """Patient pairs (a < b) with similarity >= ``min_similarity``; nothing capped.
+def jaccard_sets(pairs: DataFrame, min_similarity: float) -> tuple[DataFrame, DataFrame]:
+    """Members (set_id, patient_id) of each distinct code set, and the similar pairs of sets.
 
-    Patients with equal code sets are linked to the smallest of them with
-    similarity 1 and take its other pairs: the similarity of any two patients is
-    that of their smallest equals. A pair absent from the result is below the
-    threshold.
+    The compact form of ``jaccard_pairs``: a set is named by its smallest
+    patient, and equal patients are not spelled out.
     """
     sets = checkpointed(code_sets(checkpointed(pairs.select("patient_id", "code"))))
-    distinct = distinct_sets(sets)
-    copies = (sets.join(distinct.where(F.col("n_members") > 1).select("tokens", "set_id"), "tokens")
-              .where(F.col("patient_id") != F.col("set_id"))
-              .select(F.col("set_id").alias("patient_a"), F.col("patient_id").alias("patient_b"),
-                      F.size("tokens").alias("n_shared"), F.lit(1.0).alias("similarity")))
-    return similar_sets(distinct, min_similarity).unionByName(copies)
+    distinct = checkpointed(distinct_sets(sets))
+    members = checkpointed(sets.join(distinct.select("tokens", "set_id"), "tokens")
+                           .select("set_id", "patient_id", F.size("tokens").alias("size")))
+    return members, similar_sets(distinct, min_similarity)
+
+
+def jaccard_pairs(pairs: DataFrame, min_similarity: float) -> DataFrame:
+    """All patient pairs (a < b) with similarity >= ``min_similarity``; none is left out.
+
+    A pair absent from the result is below the threshold. The result grows with
+    the square of a group of equal patients; ``jaccard_sets`` does not.
+    """
+    members, similar = jaccard_sets(pairs, min_similarity)
+    one = members.select(F.col("set_id").alias("patient_a"), F.col("patient_id").alias("one"), "size")
+    two = members.select(F.col("set_id").alias("patient_b"), F.col("patient_id").alias("two"))
+    ends = (F.least("one", "two").alias("patient_a"), F.greatest("one", "two").alias("patient_b"))
+    between = similar.join(one.drop("size"), "patient_a").join(two, "patient_b").select(*ends, "n_shared", "similarity")
+    equal = (one.join(two.withColumnRenamed("patient_b", "patient_a"), "patient_a").where("one < two")
+             .select(*ends, F.col("size").alias("n_shared"), F.lit(1.0).alias("similarity")))
+    return between.unionByName(equal)
 
 
 # --- random walk with restart ---------------------------------------------

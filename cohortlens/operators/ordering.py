@@ -1,9 +1,9 @@
 """Row numbers and running sums over one global order, without one global task.
 
-The order key is cut at sampled split points into buckets. Bucket totals give
-each bucket its starting offset (a table of at most ``MAX_BUCKETS`` rows) and
-the running part is a window inside the bucket. Any split points give the exact
-result; they only decide how even the buckets are.
+Rows are dealt to ranges of the order key, and each is tagged with its range and
+stored. Totals of the ranges give each its starting offset (one row per range)
+and the running part is a window inside the range. Any cut gives the exact
+result, and all sizes take the same way.
 """
 
 from __future__ import annotations
@@ -14,69 +14,31 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortlens.session import checkpointed
 
-MAX_BUCKETS = 4096
 ROWS_PER_BUCKET = 1_000_000
-SAMPLE_PER_BUCKET = 20
 _BUCKET = "__bucket"
 
 
-def split_points(df: DataFrame, keys: Sequence[str],
-                 rows_per_bucket: int = ROWS_PER_BUCKET) -> list[tuple]:
-    """Ordered key tuples cutting ``df`` into pieces of about ``rows_per_bucket``."""
-    total = df.count()
-    buckets = min(MAX_BUCKETS, total // rows_per_bucket)
-    if buckets < 2:
-        return []
-    fraction = min(1.0, SAMPLE_PER_BUCKET * buckets / total)
-    sample = df.select(*keys).dropna().sample(fraction, seed=17).distinct().orderBy(*keys)
-    rows = [tuple(r) for r in sample.collect()]
-    step = max(1, len(rows) // buckets)
-    return rows[step::step]
-
-
-def bucket_of(df: DataFrame, keys: Sequence[str], points: Sequence[tuple]) -> Column:
-    """Number of split points at or below the row's key, searched in two levels."""
-    types = [df.schema[k].dataType for k in keys]
-    key = F.struct(*[F.col(k) for k in keys])
-
-    def literal(point: tuple) -> Column:
-        return F.struct(*[F.lit(v).cast(t).alias(k) for v, t, k in zip(point, types, keys)])
-
-    width = max(1, int(len(points) ** 0.5))
-    groups = [points[i:i + width] for i in range(0, len(points), width)]
-    heads = F.array(*[literal(g[0]) for g in groups])
-    coarse = F.size(F.filter(heads, lambda p: p <= key))
-    members = F.array(*[F.array(*[literal(p) for p in g]) for g in groups])
-    inside = F.when(coarse > 0, F.size(F.filter(F.element_at(members, F.greatest(coarse, F.lit(1))),
-                                                lambda p: p <= key))).otherwise(0)
-    return (coarse * (width + 1) + inside).cast("int")
-
-
 def with_running_sums(df: DataFrame, keys: Sequence[str], sums: Mapping[str, Column],
                       rows_per_bucket: int = ROWS_PER_BUCKET, store: bool = True) -> DataFrame:
     """Add ``sum(expr)`` over all rows up to and including this one, by ``keys``.
 
     ``keys`` must be unique and non-null, all ascending. The frame is read
-    several times: ``store`` materialises it first, right for aggregates that
-    are small beside their input; pass False for a plain scan.
+    twice: ``store`` materialises it first, right for aggregates that are small
+    beside their input; pass False for a plain scan.
     """
     if store:
         df = checkpointed(df)
-    points = split_points(df, keys, rows_per_bucket)
     order = [F.col(k).asc() for k in keys]
-    if not points:
-        w = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(e).over(w).alias(n) for n, e in sums.items()])
-
-    tagged = df.withColumn(_BUCKET, bucket_of(df, keys, points))
+    ranges = max(2, -(-df.count() // rows_per_bucket))
+    # stored, since a partition's number holds for this dealing only
+    tagged = checkpointed(df.repartitionByRange(ranges, *keys).withColumn(_BUCKET, F.spark_partition_id()))
     totals = tagged.groupBy(_BUCKET).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
     before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(_BUCKET, *[
         F.coalesce(F.sum(n).over(before), F.lit(0)).alias(f"__before_{n}") for n in sums])
     w = (Window.partitionBy(_BUCKET).orderBy(*order)
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # at most one row per bucket, so the broadcast is bounded by MAX_BUCKETS
-    joined = tagged.join(F.broadcast(offsets), _BUCKET)
+    joined = tagged.join(offsets, _BUCKET)
     return joined.select(*df.columns, *[
         (F.sum(e).over(w) + F.col(f"__before_{n}")).alias(n) for n, e in sums.items()])
 

@@ -40,9 +40,15 @@ def bootstrap_bags(df: DataFrame, key: str, bags: int = 20, share: float = 0.6,
                    seed: int = 7) -> DataFrame:
     """Sampling with replacement as Poisson(``share``) counts: ``times`` per row and bag."""
     fanned = df.withColumn("bag", F.explode(F.sequence(F.lit(0), F.lit(bags - 1))))
-    draw, times, below, term = uniform(seed, key, "bag"), F.lit(0), 0.0, math.exp(-share)
-    for n in range(1, 16):
+    if not 0 <= share <= 500:
+        raise ValueError("share must lie in [0, 500]")
+    # the distribution function up to where it can no longer be told from one
+    steps, below, term, n = [], 0.0, math.exp(-share), 0
+    while n <= share or term > 2.0 ** -54:
         below += term
-        times = F.when(draw >= below, n).otherwise(times)
+        n += 1
         term *= share / n
+        steps.append(below)
+    draw = uniform(seed, key, "bag")
+    times = F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s <= draw))
     return fanned.withColumn("times", times).where(F.col("times") > 0)

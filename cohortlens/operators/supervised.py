@@ -165,37 +165,50 @@ def bagged_trees(train: DataFrame, test: DataFrame, key: str, trees: int = 15, l
 
 
 def sgd_weights(rows: DataFrame, key: str, width: int, bags: int = 5, share: float = 0.6,
-                eta: float = 0.01, mu: float = 0.0, seed: int = 7) -> DataFrame:
+                eta: float = 0.01, mu: float = 0.0, seed: int = 7, shards: int = 16) -> DataFrame:
     """(bag, weights): logistic weights of each bag after one pass.
 
-    Rows have ``features`` and ``label``. Each task walks its rows in order with
-    one weight array per bag, w += eta * ((y - p) x - 2 mu w), and each bag's
-    weights are the row-weighted mean over tasks (parallel SGD); with a single
-    task this is the plain sequential pass. No rows are shuffled or collected.
+    Rows have ``features`` and ``label``. A row's shard follows from its key.
+    Each shard is walked in key order with one weight array per bag, w += eta *
+    ((y - p) x - 2 mu w), and each bag's weights are the row-weighted mean over
+    shards (parallel SGD). The answer does not depend on how rows are
+    partitioned; with one shard it is the plain sequential pass.
     """
     draws = [uniform(seed, F.col(key), F.lit(b)) < share for b in range(bags)]
-    tagged = rows.select("features", F.col("label").cast("double").alias("label"),
-                         F.array(*draws).alias("member"))
+    tagged = (rows.select(F.pmod(F.xxhash64(key), F.lit(shards)).cast("int").alias("shard"), F.col(key).alias("at"),
+                          "features", F.col("label").cast("double").alias("label"), F.array(*draws).alias("member"))
+              .repartition(shards, "shard").sortWithinPartitions("shard", "at"))
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        w, seen = np.zeros((bags, width)), np.zeros(bags, dtype=int)
+        shard, w, seen = None, np.zeros((bags, width)), np.zeros(bags, dtype=int)
+
+        def done() -> pd.DataFrame:
+            return pd.DataFrame({"shard": shard, "bag": range(bags), "n": seen, "w": list(w)})
+
         for batch in batches:
             if not len(batch):
                 continue
             x, y = matrix(batch["features"]), batch["label"].to_numpy()
             member = np.asarray(batch["member"].to_list(), dtype=bool)
-            for i in range(len(x)):
+            for i, own in enumerate(batch["shard"].to_list()):
+                if own != shard:
+                    if shard is not None:
+                        yield done()
+                    shard, w, seen = own, np.zeros((bags, width)), np.zeros(bags, dtype=int)
                 on = member[i]
                 p = 1 / (1 + np.exp(-(w[on] @ x[i])))
                 w[on] += eta * ((y[i] - p)[:, None] * x[i] - 2 * mu * w[on])
-            seen += member.sum(axis=0)
-        yield pd.DataFrame({"bag": range(bags), "n": seen, "w": list(w)})
-
-    parts = tagged.mapInPandas(walk, "bag int, n long, w array<double>")
-    cells = parts.select("bag", "n", F.posexplode("w").alias("at", "v"))
+                seen += member[i]
+        if shard is not None:
+            yield done()
+
+    # summed in shard order, so that rounding is the same on any layout too
+    walked = tagged.mapInPandas(walk, "shard int, bag int, n long, w array<double>")
+    cells = walked.select("bag", "n", "shard", F.posexplode("w").alias("at", "v"))
+    ordered = F.sort_array(F.collect_list(F.struct("shard", (F.col("v") * F.col("n")).alias("vn"))))
+    total = F.aggregate(ordered, F.lit(0.0), lambda a, c: a + c["vn"])
     means = cells.groupBy("bag", "at").agg(
-        F.coalesce(F.try_divide(F.sum(F.col("v") * F.col("n")), F.sum("n").cast("double")),
-                   F.lit(0.0)).alias("v"))
+        F.coalesce(F.try_divide(total, F.sum("n").cast("double")), F.lit(0.0)).alias("v"))
     return means.groupBy("bag").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "v"))),
                                                 lambda c: c["v"]).alias("weights"))
 
@@ -242,9 +255,10 @@ def nearest(train: DataFrame, test: DataFrame, key: str, k: int,
         x, y, n = matrix(a["features"]), matrix(b["features"]), min(k, len(b))
         ids, labels, out = b[key].to_numpy(), b["label"].to_numpy(dtype=float), []
         for at in range(0, len(x), 256):
-            d = ((x[at:at + 256, None, :] - y[None, :, :]) ** 2).sum(axis=2) if len(y) * x.shape[1] < 200_000 \
-                else np.maximum((x[at:at + 256] ** 2).sum(1)[:, None] - 2 * x[at:at + 256] @ y.T
-                                + (y ** 2).sum(1), 0)
+            # direct differences at any size: the expanded square loses what large means cancel
+            part, step = x[at:at + 256], max(1, 500_000 // max(256 * x.shape[1] // 64, 1))
+            d = np.concatenate([((part[:, None, :] - y[None, j:j + step, :]) ** 2).sum(axis=2)
+                                for j in range(0, len(y), step)], axis=1)
             best = np.argsort(d, axis=1, kind="stable")[:, :n]
             out.append(pd.DataFrame({
                 key: np.repeat(a[key].to_numpy()[at:at + 256], n), "neighbour": ids[best].ravel(),

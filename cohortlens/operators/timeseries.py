@@ -6,6 +6,7 @@ symbol; windows and folds run per symbol or account.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -44,20 +45,40 @@ def rsi(prices: DataFrame, n: int = 14, out: str = "rsi") -> DataFrame:
     return (moved.withColumn(out, F.when(F.row_number().over(w) > n, value)).drop("__move"))
 
 
-def ema(prices: DataFrame, spans: Sequence[int]) -> DataFrame:
-    """Adjusted exponential moving averages ``ema_<span>``, null for span-2 rows."""
-    names = [f"ema_{s}" for s in spans]
-    schema = "symbol string, trade_date date, price double, " + ", ".join(f"{n} double" for n in names)
+def _folded(values: Column, fade: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, v: a * fade + v)
 
-    def one_symbol(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("trade_date", ignore_index=True)
-        for span, name in zip(spans, names):
-            rows[name] = rows["price"].ewm(span=span, min_periods=span - 1, adjust=True).mean()
-        return rows
 
-    return (prices.select("symbol", "trade_date", "price")
-            .groupBy("symbol").applyInPandas(one_symbol, schema)
-            .select("symbol", "trade_date", "price", *[F.when(~F.isnan(n), F.col(n)).alias(n) for n in names]))
+def ema(prices: DataFrame, spans: Sequence[int], block: int = 64) -> DataFrame:
+    """Adjusted exponential moving averages ``ema_<span>``, null for span-2 rows.
+
+    A symbol's rows are cut into blocks. The decayed sum at a row is that of its
+    block so far plus what the blocks before it carry on; carries fade below
+    1e-20 after a number of blocks that the span fixes.
+    """
+    w = by_symbol()
+    placed = (prices.select("symbol", "trade_date", "price")
+              .withColumn("__n", F.row_number().over(w) - 1)
+              .withColumn("__block", F.floor(F.col("__n") / block)).withColumn("__at", F.col("__n") % block))
+    inside = Window.partitionBy("symbol", "__block").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
+    keep = {s: 1 - 2 / (s + 1) for s in spans}
+    out = placed
+    for s, r in keep.items():
+        scaled = F.sum(F.col("price") * F.pow(F.lit(r), -F.col("__at"))).over(inside)
+        out = out.withColumn(f"__sum_{s}", scaled * F.pow(F.lit(r), "__at"))
+    ends = placed.groupBy("symbol", "__block").agg(*[
+        F.sum(F.col("price") * F.pow(F.lit(r), F.lit(block - 1) - F.col("__at"))).alias(f"__total_{s}") for s, r in keep.items()])
+    for s, r in keep.items():
+        reach = max(1, math.ceil(46 / (block * -math.log(r)))) if r > 0 else 1
+        earlier = F.collect_list(f"__total_{s}").over(Window.partitionBy("symbol").orderBy("__block").rowsBetween(-reach, -1))
+        fade = F.lit(r ** block)
+        ends = ends.withColumn(f"__carry_{s}", _folded(earlier, fade))
+    out = out.join(ends.select("symbol", "__block", *[f"__carry_{s}" for s in spans]), ["symbol", "__block"])
+    for s, r in keep.items():
+        weight = (1 - F.pow(F.lit(r), F.col("__n") + 1)) / (1 - r)
+        total = F.col(f"__sum_{s}") + F.pow(F.lit(r), F.col("__at") + 1) * F.col(f"__carry_{s}")
+        out = out.withColumn(f"ema_{s}", F.when(F.col("__n") + 1 >= s - 1, total / weight))
+    return out.select("symbol", "trade_date", "price", *[f"ema_{s}" for s in spans])
 
 
 def action(score: Column, buy_at: float = 0.01, sell_at: float = -0.01) -> Column:
@@ -152,8 +173,10 @@ def capped_ledger(orders: DataFrame, prices: DataFrame, start_value: float = 1_0
     passes. Each decision depends on the one before: rows of an account stream
     past in date order with a constant-size state, never as one collected group.
     """
-    span = orders.groupBy("account", "symbol").agg(F.min("trade_date").alias("first_day"),
-                                                   F.max("trade_date").alias("last_day"))
+    span = orders.groupBy("account").agg(F.min("symbol").alias("symbol"), F.max("symbol").alias("other"),
+                                         F.min("trade_date").alias("first_day"), F.max("trade_date").alias("last_day"))
+    several = F.raise_error(F.concat(F.lit("the capped ledger takes one symbol per account: "), "account"))
+    span = span.withColumn("symbol", F.when(F.col("symbol") == F.col("other"), F.col("symbol")).otherwise(several.cast("string")))
     days = (prices.join(span, "symbol")
             .where(F.col("trade_date").between(F.col("first_day"), F.col("last_day")))
             .select("account", "symbol", "trade_date", "price"))

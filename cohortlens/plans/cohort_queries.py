@@ -80,8 +80,13 @@ def _cohort_views(spark: SparkSession, d: str) -> DataFrame:
         UNION ALL SELECT 'dead', event_id, count(*) FROM dead_events GROUP BY event_id""")
 
 
+def _width(found: DataFrame) -> int:
+    return found.agg(F.coalesce(F.max("idx"), F.lit(-1)) + 1).first()[0]
+
+
 def _sparse(spark: SparkSession, d: str) -> DataFrame:
-    rows = features.vector_rows(_scaled(spark, d), 120).withColumn("f", vector_to_array("features"))
+    found = _scaled(spark, d)
+    rows = features.vector_rows(found, _width(found)).withColumn("f", vector_to_array("features"))
     return rows.select("patient_id", F.round(F.aggregate("f", F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
 
 
@@ -91,7 +96,8 @@ def _feature_tuples(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _dense(spark: SparkSession, d: str) -> DataFrame:
-    rows = features.dense_rows(_scaled(spark, d), 120)
+    found = _scaled(spark, d)
+    rows = features.dense_rows(found, _width(found))
     return rows.select("patient_id", F.size("features").alias("width"),
                        F.round(F.aggregate("features", F.lit(0.0), lambda a, v: a + v), 6).alias("total"),
                        F.size(F.filter("features", lambda v: v > 0)).alias("filled"))

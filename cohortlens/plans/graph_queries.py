@@ -86,20 +86,14 @@ ORACLES = {
         SELECT patient_id, round(s, 9) AS similarity,
                row_number() OVER (ORDER BY s DESC, patient_id) AS rank FROM scores"""),
     "jaccard_all_pairs": with_tables("patient_parts", f"""
-        , sets AS (SELECT patient_id, count(*) AS size, list(code ORDER BY code) AS codes
-                   FROM patient_parts GROUP BY patient_id),
-        firsts AS (SELECT min(patient_id) AS set_id, size, codes FROM sets GROUP BY size, codes),
-        members AS (SELECT f.set_id, p.code FROM firsts f JOIN patient_parts p ON f.set_id = p.patient_id),
-        shared AS (SELECT a.set_id AS patient_a, b.set_id AS patient_b, count(*) AS n_shared
-                   FROM members a JOIN members b ON a.code = b.code AND a.set_id < b.set_id GROUP BY 1, 2),
+        , sizes AS (SELECT patient_id, count(*) AS size FROM patient_parts GROUP BY patient_id),
+        shared AS (SELECT a.patient_id AS patient_a, b.patient_id AS patient_b, count(*) AS n_shared
+                   FROM patient_parts a JOIN patient_parts b ON a.code = b.code AND a.patient_id < b.patient_id GROUP BY 1, 2),
         graded AS (SELECT s.patient_a, s.patient_b, n_shared,
                           CAST(n_shared AS DOUBLE) / (x.size + y.size - n_shared) AS similarity
-                   FROM shared s JOIN firsts x ON s.patient_a = x.set_id JOIN firsts y ON s.patient_b = y.set_id)
+                   FROM shared s JOIN sizes x ON s.patient_a = x.patient_id JOIN sizes y ON s.patient_b = y.patient_id)
         SELECT patient_a, patient_b, CAST(n_shared AS INT) AS n_shared, round(similarity, 9) AS similarity
-        FROM graded WHERE similarity >= {SIMILAR}
-        UNION ALL
-        SELECT f.set_id, s.patient_id, CAST(s.size AS INT), 1.0
-        FROM sets s JOIN firsts f ON s.codes = f.codes WHERE s.patient_id <> f.set_id"""),
+        FROM graded WHERE similarity >= {SIMILAR}"""),
     "random_walk_3_steps": with_tables("edges patient_codes", """
         , source AS (SELECT min(patient_id) AS src FROM patient_codes),
         pairs AS (SELECT src, dst FROM edges),

@@ -87,7 +87,7 @@ def _reduced_clusters(spark: SparkSession, d: str) -> DataFrame:
 def _cluster_features(spark: SparkSession, d: str) -> DataFrame:
     spaces = _reduced(spark, d)
     return transforms.cluster_features(
-        {name: clustering.kmeans(spaces[name], 3) for name in ("pca", "random")}, "vec_id")
+        {name: clustering.kmeans(space, 3) for name, space in spaces.items()}, "vec_id")
 
 
 def _nmf(spark: SparkSession, d: str) -> DataFrame:
@@ -100,8 +100,7 @@ def _kernel(kind: str):
         if kind == "radial":
             halves = [sv.radial_features(h.drop("vector"), 100, 0.05, N) for h in _halves(spark, d)]
         else:
-            rows = [h.withColumn("features", F.slice("features", 1, 10)).drop("vector") for h in _halves(spark, d)]
-            halves = [sv.polynomial_features(sv.with_vector(r), 2) for r in rows]
+            halves = [sv.polynomial_features(h, 2) for h in _halves(spark, d)]
         return sv.fit_predict(sv.linear_svm(maxIter=20), *halves, "vec_id")
     return run
 

@@ -59,7 +59,7 @@ def _three_files(spark: SparkSession, d: str) -> DataFrame:
 
 def _dropped(spark: SparkSession, d: str) -> DataFrame:
     path = staging_path(spark, "wide")
-    delimited.store(t.table(spark, d, "lineitem").drop("l_shipdate"), path, header=True)
+    delimited.store(t.table(spark, d, "lineitem"), path, header=True)
     return delimited.drop_leading(delimited.load_csv_table(spark, path, "lines_text"), 6)
 
 
@@ -130,7 +130,7 @@ ORACLES = {
           FROM clinical_events GROUP BY patient_id) e LEFT JOIN mortality m ON e.patient_id = m.patient_id"""),
     "csv_drop_leading": """
         SELECT CAST(l_discount AS VARCHAR) AS l_discount, CAST(l_tax AS VARCHAR) AS l_tax, l_returnflag,
-               l_linestatus FROM lineitem""",
+               l_linestatus, strftime(CAST(l_shipdate AS TIMESTAMP), '%Y-%m-%dT%H:%M:%S.000') AS l_shipdate FROM lineitem""",
     "text_value_list": "SELECT DISTINCT lower(c_mktsegment) AS value FROM customer",
     "ticker_files": with_tables("prices", """
         SELECT m.trade_date, round(m.price, 6) AS "ALL", round(a.price, 6) AS "N1", round(b.price, 6) AS "N2"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get(CHECKPOINT_CONF, None) or context.getConf().get(CHECKPOINT_CONF)
     current = context.getCheckpointDir()
     if not named and not current:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError(f"set {CHECKPOINT_CONF} to a folder shared by the cluster")
         named = tempfile.mkdtemp(prefix="cohortlens-")
     if current is None:

@@ -1,5 +1,6 @@
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from cohortlens.operators import cohort, features, phenotype
@@ -137,3 +138,10 @@ def test_hot_patient_is_spread_before_the_join(spark):
     deaths = spark.createDataFrame([], DEATHS)
     found = features.window_features(events, cohort.index_dates(events, deaths))
     assert found.agg(F.sum("value")).first()[0] == 30_000
+
+
+def test_feature_beyond_the_width_fails(spark):
+    rows = spark.createDataFrame([(1, 5, 2.0)], "patient_id int, idx int, value double")
+    assert features.dense_rows(rows, 6).first()["features"] == [0.0] * 5 + [2.0]
+    with pytest.raises(Exception, match="beyond the width"):
+        features.dense_rows(rows, 5).collect()

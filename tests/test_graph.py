@@ -46,11 +46,15 @@ def test_pairs_match_brute_force(spark, threshold):
         s = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
         if s >= threshold:
             want[(a, b)] = s
-    got = expand(found, sets)
+    got = {(r[0], r[1]): r["similarity"] for r in found}
     assert got.keys() == want.keys()
     assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
-    # copies are linked to one of them, not to each other
-    assert len([r for r in found if sets[r[0]] == sets[r[1]]]) < 150
+
+
+def test_pairs_of_equal_patients_are_complete(spark):
+    sets = {1: {"a", "b"}, 2: {"a", "b"}, 3: {"a", "b"}, 4: {"b", "c"}}
+    found = {(r[0], r[1]) for r in graph.jaccard_pairs(pairs_frame(spark, sets), 0.1).collect()}
+    assert found == {(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4)}
 
 
 def test_threshold_is_checked(spark):

@@ -122,14 +122,37 @@ def test_neighbours_in_blocks_match_brute_force(spark):
     assert accuracy(sv.knn_vote(train, test, "id", 3, 20)) > 0.9
 
 
+def test_neighbours_far_from_the_origin_are_exact(spark):
+    rng = np.random.default_rng(2)
+    x = 1e6 + rng.normal(size=(600, 8))
+    rows = [(i, [float(v) for v in r], float(i % 2)) for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id bigint, features array<double>, label double")
+    train, test = df.where("id >= 20"), df.where("id < 20")
+    found = {(r["id"], r["rank"]): r for r in sv.nearest(train, test, "id", 3, block_rows=10_000).collect()}
+    for i in range(20):
+        d = np.sqrt(((x[20:] - x[i]) ** 2).sum(axis=1))
+        best = np.argsort(d, kind="stable")[:3]
+        assert [found[(i, k + 1)]["neighbour"] for k in range(3)] == (best + 20).tolist()
+        assert np.allclose([found[(i, k + 1)]["distance"] for k in range(3)], d[best])
+
+
+def test_bootstrap_counts_have_no_ceiling(spark):
+    from cohortlens.operators import sampling
+
+    counts = [r["times"] for r in sampling.bootstrap_bags(spark.range(3000), "id", 1, 20.0).collect()]
+    assert abs(np.mean(counts) - 20) < 0.5 and max(counts) > 30
+
+
 def test_sgd_equals_the_sequential_pass_in_one_task(spark):
     df, x, label = points(spark, 60)
-    found = sv.sgd_weights(df.coalesce(1).sortWithinPartitions("id"), "id", 5, bags=1, share=1.1, eta=0.1, mu=0.01)
+    found = sv.sgd_weights(df.coalesce(1).sortWithinPartitions("id"), "id", 5, bags=1, share=1.1, eta=0.1, mu=0.01, shards=1)
     w = np.zeros(5)
     for row, y in zip(x, label):
         w += 0.1 * ((y - 1 / (1 + np.exp(-w @ row))) * row - 2 * 0.01 * w)
     assert np.allclose(found.first()["weights"], w)
     many = sv.sgd_weights(df.repartition(4), "id", 5, bags=3, eta=0.1)
+    layouts = [sv.sgd_weights(df.repartition(n), "id", 5, bags=3, eta=0.1).orderBy("bag").collect() for n in (2, 7)]
+    assert layouts[0] == layouts[1]
     assert accuracy(sv.sgd_scores(df, many, ["id", "label"])) > 0.7
 
 

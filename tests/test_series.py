@@ -144,3 +144,12 @@ def test_strategy_runs_end_to_end(spark):
     momentum = lambda p: p.select("symbol", "trade_date", ts.backward_change("price", 10, ts.by_symbol()).alias("score"))
     found = trading_strategy(both, momentum).where("trade_date = date'2000-01-01'").collect()
     assert {r["symbol"] for r in found} <= {"P", "Q"} and all(r["benchmark"] == 1.0 for r in found)
+
+
+def test_capped_ledger_refuses_two_symbols(spark):
+    day = dt.date(2020, 1, 2)
+    orders = spark.createDataFrame([("x", "A", day, 1, "BUY", 100), ("x", "B", day, 2, "BUY", 100)],
+                                   "account string, symbol string, trade_date date, seq int, side string, shares int")
+    prices = spark.createDataFrame([("A", day, 10.0), ("B", day, 20.0)], "symbol string, trade_date date, price double")
+    with pytest.raises(Exception, match="one symbol per account"):
+        ts.capped_ledger(orders, prices, 10_000.0).collect()
