@@ -1,0 +1,128 @@
+"""Lines, secrets, vectors and the pipeline on small tables with odd rows."""
+import duckdb
+import numpy as np
+import pytest
+
+from cohortlens.llm import ivf, lines, secrets
+from cohortlens.llm.queries import ORACLES
+
+
+def line_table(spark):
+    rows = [(i, f"own {i}\nhot line \n  hot line\n\nrare", f"s{i % 12}", 5, "c") for i in range(40)]
+    rows += [(100 + i, f"nine sites\nown {i}", f"s{i % 9}", 1, "c") for i in range(30)]
+    rows += [(200 + i, f"null site\nx{i}", None if i % 10 == 0 else f"s{i % 10}", 1, "c") for i in range(30)]
+    rows += [(300, None, "s1", None, None), (301, "", "s2", 0, "c"), (302, "\n\n", "s3", 2, "c")]
+    return spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_chars int, line string").repartition(3)
+
+
+def plain_lines(rows, min_sites, keep_first):
+    places = {}
+    for r in rows:
+        for k, part in enumerate((r.text or "").split("\n")):
+            if part.strip(" \t\r"):
+                sites, first = places.setdefault(part.strip(" \t\r"), (set(), [(r.doc_id, k)]))
+                sites.add(r.source or "")
+                first[0] = min(first[0], (r.doc_id, k))
+    out = {}
+    for r in rows:
+        if r.text is None:
+            out[r.doc_id] = None
+            continue
+        kept = []
+        for k, part in enumerate(r.text.split("\n")):
+            sites, first = places.get(part.strip(" \t\r"), (set(), [None]))
+            if len(sites) < min_sites or (keep_first and first[0] == (r.doc_id, k)):
+                kept.append(part)
+        out[r.doc_id] = "\n".join(kept)
+    return out
+
+
+@pytest.mark.parametrize("keep_first", [True, False])
+def test_lines_equal_a_plain_loop(spark, keep_first):
+    docs = line_table(spark)
+    rows = docs.collect()
+    got = lines.remove_boilerplate(docs, 10, keep_first=keep_first)
+    assert got.columns == docs.columns
+    found = {r.doc_id: r for r in got.collect()}
+    want = plain_lines(rows, 10, keep_first)
+    assert {i: r.text for i, r in found.items()} == want
+    assert all(r.n_chars == len(r.text) for r in found.values() if r.text is not None and r.doc_id < 300 and r.n_chars not in (1, 5))
+    assert lines.remove_boilerplate(docs.limit(0)).count() == 0
+
+
+def test_secrets(spark):
+    rng = np.random.default_rng(4)
+    hexes = lambda n: "".join(rng.choice(list("0123456789abcdef"), n))
+    rows, secret = [], {}
+    for i in range(60):
+        value = hexes(20)
+        rows.append((i, f"some words here password={value} and more words", None))
+        secret[i] = value
+    rows += [(100 + i, f"call +1 (555) 123-45{i:02d} or mail person.{i}@mail.example.com with card 46901492652{i:05d} today", None) for i in range(60)]
+    rows += [(300, None, None), (301, "", None), (302, "y" * 5000, None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, secret string")
+    found = secrets.findings(docs).collect()
+    sure = {(r.doc_id, r.secret) for r in found if r.is_secret}
+    assert sure == set(secret.items()) and {r.doc_id for r in found if not r.is_secret} >= set(range(100, 160))
+    clean = secrets.redact(docs)
+    assert clean.columns == docs.columns
+    got = {r.doc_id: r.text for r in clean.collect()}
+    assert len(got) == len(rows) and got[300] is None and got[302] == "y" * 5000
+    assert all(secret[i] not in got[i] and secrets.MASK in got[i] for i in secret)
+    assert all(got[i] == t for i, t, _ in rows if i >= 100)
+    assert secrets.findings(docs.limit(0)).count() == 0 and secrets.redact(docs.limit(0)).count() == 0
+
+
+def vector_rows():
+    rng = np.random.default_rng(8)
+    rows = [rng.normal(size=16).tolist() for _ in range(80)]
+    base = rng.normal(size=16)
+    rows += [(base + 0.08 * rng.normal(size=16)).tolist() for _ in range(60)]
+    rows += [rows[0]] * 30 + [[2 * v for v in rows[1]]]
+    rows += [None, [], [0.0] * 16, [float("nan")] + [1.0] * 15, [None] + [1.0] * 15, [1e200] * 16, [1.0] * 16, [1.0, 2.0], [2.0, 4.0], [3.0], [5.0]]
+    return rows
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_vectors_equal_brute_force(spark, block):
+    rows = vector_rows()
+    frame = spark.createDataFrame([(i, r, i % 3) for i, r in enumerate(rows)], "vec_id bigint, embedding array<double>, unit int").repartition(3)
+    got = {r.vec_id: r for r in ivf.near_vectors(frame, target=1.0, rows_per_cell=8, block=block).collect()}
+    place, units = ivf.normalised(rows)
+    links = {i: set() for i in range(len(rows))}
+    for a, x in zip(place, units):
+        for b, y in zip(place, units):
+            if a != b and len(x) == len(y) and float(x @ y) >= 0.95:
+                links[int(a)].add(int(b))
+    for i in links:
+        seen, todo = {i}, [i]
+        while todo:
+            for j in links[todo.pop()] - seen:
+                seen.add(j)
+                todo.append(j)
+        assert (got[i].n_links, got[i].component_id, got[i].kept) == (len(links[i]), min(seen), min(seen) == i), i
+    assert ivf.near_vectors(frame.limit(0)).count() == 0
+
+
+def test_oracle_texts_run():
+    db = duckdb.connect()
+    for name in ("documents", "embeddings"):
+        db.execute(f"CREATE VIEW {name} AS SELECT * FROM '/root/testdata/sf0.001/{name}.parquet'")
+    for name, sql in ORACLES.items():
+        assert db.execute(sql).fetchall(), name
+
+
+def test_pipeline_stages(spark, sf_dir):
+    import corpus_pipeline
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    total = docs.count()
+    for at, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = stage(spark, docs, sf_dir).cache()
+        if at + 1 < len(corpus_pipeline.STAGES):
+            assert out.columns == docs.columns and 0 < out.count() <= docs.count(), name
+            docs = out
+    assert out.select("doc_id").distinct().count() == docs.count() and docs.count() > 0.5 * total
+    empty = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, sf_dir).count() == 0, name
