@@ -122,6 +122,40 @@ def _induced(s: list[int], stype: list[bool], lms: list[int], ends: np.ndarray)
     return sa
 
 
+def _named(marked: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Ranks of the substrings [begin, end] of symbols marked with their types; equal ones share a rank.
+
+    As many symbols as fit one word are compared at a time, and only substrings
+    that are longer and not yet told from all others go on. With their types no
+    substring is the beginning of another one.
+    """
+    bits = int(marked.max() + 1).bit_length()
+    each = max(1, 62 // bits)
+    padded = np.r_[marked + 1, np.zeros(each, dtype=np.int64)]
+    rank, open_rows, at = np.zeros(len(begin), dtype=np.int64), np.arange(len(begin)), begin.copy()
+    while True:
+        key = np.zeros(len(open_rows), dtype=np.int64)
+        for k in range(each):
+            place = at[open_rows] + k
+            key = key << bits | np.where(place <= end[open_rows], padded[np.minimum(place, len(padded) - 1)], 0)
+        # the first rank of a group grows by how many of the group come before
+        order = np.lexsort((key, rank[open_rows]))
+        rows, key = open_rows[order], key[order]
+        old = rank[rows]
+        group = np.r_[True, old[1:] != old[:-1]]
+        fresh = group | np.r_[True, key[1:] != key[:-1]]
+        first = np.maximum.accumulate(np.where(group, np.arange(len(rows)), 0))
+        start = np.maximum.accumulate(np.where(fresh, np.arange(len(rows)), 0))
+        rank[rows] = old + start - first
+        sizes = np.diff(np.r_[np.flatnonzero(fresh), len(rows)])
+        shared = np.repeat(sizes > 1, sizes)
+        at[rows] += each
+        open_rows = rows[shared & (at[rows] <= end[rows])]
+        if not len(open_rows):
+            break
+    return (np.unique(rank, return_inverse=True)[1]).astype(np.int32)
+
+
 def suffix_array(s: np.ndarray) -> np.ndarray:
     """Suffix array of an int32 array that ends in its only 0, by induced sorting.
 
@@ -141,26 +175,13 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     is_lms[0] = False
     is_lms[1:] &= ~stype[:-1]
     lms = np.flatnonzero(is_lms)
-    symbols, types = s.tolist(), stype.tolist()
-    rough = np.asarray(_induced(symbols, types, lms.tolist(), ends))
-    order = rough[is_lms[rough]]
-    place = np.full(n, -1)
-    place[lms] = np.arange(len(lms))
-    stop = np.r_[lms[1:], n - 1]
-    raw, at = s.astype("<i4").tobytes(), place[order]
-    begin, end = (order * 4).tolist(), ((stop[at] + 1) * 4).tolist()
-    names, before, fresh = np.empty(len(lms), dtype=np.int32), None, []
-    for b, e in zip(begin, end):
-        part = raw[b:e]
-        fresh.append(part != before)
-        before = part
-    names[at] = np.cumsum(fresh) - 1
+    names = _named(s.astype(np.int64) * 2 + stype, lms, np.r_[lms[1:], n - 1])
     if names.max() + 1 == len(lms):
         ranked = np.empty(len(lms), dtype=np.int64)
         ranked[names] = np.arange(len(lms))
     else:
         ranked = suffix_array(names)
-    return np.asarray(_induced(symbols, types, lms[ranked].tolist(), ends))
+    return np.asarray(_induced(s.tolist(), stype.tolist(), lms[ranked].tolist(), ends))
 
 
 def common_prefixes(s: np.ndarray, sa: np.ndarray, cap: int) -> np.ndarray:
