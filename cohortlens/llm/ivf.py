@@ -34,7 +34,7 @@ TARGET_RECALL = 0.995
 BLOCK = 1024
 
 
-def normalised(values: list) -> tuple[np.ndarray, np.ndarray]:
+def normalised(values: list) -> tuple[np.ndarray, list[np.ndarray]]:
     """(place, unit vectors in double precision) of the vectors that can be linked with anything."""
     place, rows = [], []
     for at, value in enumerate(values):
@@ -47,7 +47,7 @@ def normalised(values: list) -> tuple[np.ndarray, np.ndarray]:
         x = x / peak
         place.append(at)
         rows.append(x / np.sqrt(x @ x))
-    return np.asarray(place, dtype=np.int64), np.asarray(rows)
+    return np.asarray(place, dtype=np.int64), rows
 
 
 def codebook(points: np.ndarray, size: int, seed: int, rounds: int = 15) -> np.ndarray:
