@@ -203,7 +203,7 @@ def near_links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARIT
     wanted = docs.join(rank.select("doc_id").hint("merge"), "doc_id", "left_semi")  # grows with the corpus: never broadcast
     sets = stored(shingle_sets(wanted, words), "near-sets")
     stars = stored(_stars(members.select("key", "doc_id"), rank, 1), "near-stars")
-    tested, links = None, []
+    tested, labels, links = None, None, []
     while not stars.isEmpty():
         fresh = stored(_verified(stars, sets, p, q), "near-tested")
         links.append(fresh.where("k <= limit").select(
@@ -215,7 +215,9 @@ def near_links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARIT
         fresh = fresh.withColumn("fresh", F.lit(True))
         tested = fresh if tested is None else tested.withColumn("fresh", F.lit(False)).unionByName(fresh)
         open_rows = tested.join(stored(stars.select("center").distinct(), "near-touched"), "center", "left_semi")
-        following = _stars(_regrouped(open_rows, components(found.select("a", "b")), p, q), rank, CENTERS)
+        if labels is None or not links[-1].isEmpty():
+            labels = stored(components(found.select("a", "b")), "near-labels")
+        following = _stars(_regrouped(open_rows, labels, p, q), rank, CENTERS)
         stars = stored(following.join(tested.select("center", "member"), ["center", "member"], "left_anti"), "near-stars")
     if not links:
         return docs.sparkSession.createDataFrame([], "a bigint, b bigint, similarity double")
