@@ -5,16 +5,14 @@ weight w sends hits at rate w to random slots, a slot keeps its earliest hit,
 and a shingle stops as soon as its next hit comes later than every slot's. Two
 texts agree in a slot with the probability Jaccard similarity of their weights.
 
-Large buckets are verified against centres instead of pair by pair. With
-differences to a centre of n shingles, r of which are missing and a added, and
-a threshold p/q, two members u and v of one centre are similar exactly when
-
-    (q-p) n + (p+q) s >= k_u + k_v,   k = q r + p a,
-
-where s counts their common differences. Members with k <= (q-p) n are similar
-to the centre itself. The others can only be similar to a member with which they
-share differences, so they, and only they, are grouped again by their rarest
-differences, which a prefix bound finds without loss.
+Buckets are verified against centres instead of pair by pair. A text is tested
+against the centre of each of its buckets. Where a bucket still has members of
+several components, its texts are grouped again by their rarest shingles: texts
+of similarity p/q or more share one of the first n - ceil(p n / q) + 1 of their n
+shingles in any common order. A passage that fills a bucket is common and so
+comes last in the order; only texts that share rare shingles meet again. These
+groups take more centres each round, and end with one component or with every
+member tested, so no link is lost.
 """
 
 from __future__ import annotations
@@ -25,7 +23,7 @@ from fractions import Fraction
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortlens.llm.common import stored
@@ -36,8 +34,8 @@ SIMILARITY = 0.8
 #: A pair at the threshold shares no band with probability (1 - 0.8^4)^24, 3 in a million.
 BANDS, ROWS = 24, 4
 MEMBERS_PER_SALT = 64
-#: Centres of a group in the rounds after the first.
-CENTERS = 16
+#: Each round over the groups of rare shingles has so many times the centres of the one before.
+MORE_CENTERS = 16
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -119,18 +117,15 @@ def shingle_sets(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, shingles array<bigint>")
 
 
-def _stars(groups: DataFrame, rank: DataFrame, centers: int) -> DataFrame:
-    """(center, member) for groups (key, doc_id): up to ``centers`` members of highest rank against the others."""
-    slot = F.pmod(F.xxhash64("doc_id", F.lit("slot")), F.lit(centers))
-    ranked = stored(groups.join(rank, "doc_id").withColumn("slot", slot), "near-groups")
-    best = (ranked.groupBy("key", "slot").agg(F.max(F.struct("rank", (-F.col("doc_id")).alias("id"))).alias("best"))
-            .select("key", (-F.col("best.id")).alias("center")))
-    best = stored(best, "near-centers")
-    return ranked.join(best, "key").where("doc_id <> center").select("center", F.col("doc_id").alias("member")).distinct()
+def _stars(members: DataFrame) -> DataFrame:
+    """(center, member) for bucket members (key, doc_id, rank): the one of highest rank against the others."""
+    best = members.groupBy("key").agg(F.max(F.struct("rank", (-F.col("doc_id")).alias("id"))).alias("best"))
+    best = stored(best.select("key", (-F.col("best.id")).alias("center")), "near-centers")
+    return members.join(best, "key").where("doc_id <> center").select("center", F.col("doc_id").alias("member")).distinct()
 
 
 def _verified(stars: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
-    """(center, member, limit, k, added, missing, n_shared, n_all) by intersecting exact sets.
+    """(center, member, similarity, linked) by intersecting exact sets.
 
     A centre with many members is copied to one salt for every MEMBERS_PER_SALT of them.
     """
@@ -141,87 +136,104 @@ def _verified(stars: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
     right = (salts.join(sets.select(F.col("doc_id").alias("center"), F.col("shingles").alias("theirs")), "center")
              .select("center", "theirs", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")))
     met = left.join(right, ["center", "salt"]).select(
-        "center", "member", F.size("theirs").alias("n"),
-        F.array_except("theirs", "mine").alias("missing"), F.array_except("mine", "theirs").alias("added"))
-    r, a = F.size("missing"), F.size("added")
-    return met.select("center", "member", ((q - p) * F.col("n")).alias("limit"), (q * r + p * a).alias("k"),
-                      F.sort_array("added").alias("added"), F.sort_array("missing").alias("missing"),
-                      (F.col("n") - r).alias("n_shared"), (F.col("n") + a).alias("n_all"))
+        "center", "member", F.size(F.array_intersect("mine", "theirs")).alias("n_shared"),
+        (F.size("mine") + F.size("theirs")).alias("n_both"))
+    n_all = F.col("n_both") - F.col("n_shared")
+    return met.select("center", "member", (F.col("n_shared") / n_all).alias("similarity"),
+                      (q * F.col("n_shared") >= p * n_all).alias("linked"))
 
 
-def _regrouped(tested: DataFrame, labels: DataFrame, p: int, q: int) -> DataFrame:
-    """(key, doc_id) groups of members that may be similar although a centre did not link them all.
+def _rare_groups(members: DataFrame, labels: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """(key, doc_id, place, n): texts of buckets with several components, by each of their rarest shingles.
 
-    Differences are put in one order, added ones first since they are rarer. The
-    prefix lengths follow from the least number of common differences that a
-    similar pair must have, once for pairs of two outer members and once for an
-    outer with an inner one.
+    Shingles are ordered by the number of such texts that have them, then by
+    hash. Those of one text alone come first and group nothing, so only the
+    others are put in order; ``place`` counts all. Of groups with the same
+    members the first one in the order is kept, which holds the first common
+    shingle of each pair if any of them does.
+    """
+    labelled = members.join(labels.select(F.col("id").alias("doc_id"), "component_id"), "doc_id", "left")
+    component = F.coalesce("component_id", "doc_id")
+    opened = labelled.groupBy("key").agg(F.min(component).alias("low"), F.max(component).alias("high")).where("low < high")
+    ids = stored(members.join(opened.select("key"), "key", "left_semi").select("doc_id").distinct(), "near-open")
+    rows = (sets.join(ids.hint("merge"), "doc_id", "left_semi")
+            .select("doc_id", F.size("shingles").alias("n"), F.explode("shingles").alias("key")))
+    common = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("df")).where("df > 1"), "near-common")
+    first = F.col("n") - F.expr(f"({p} * n + {q - 1}) div {q}") + 1
+    own = F.col("n") - F.size("shared")
+    ordered = (rows.join(common, "key").groupBy("doc_id", "n")
+               .agg(F.sort_array(F.collect_list(F.struct("df", "key"))).alias("shared"))
+               .select("doc_id", "n", own.alias("own"),
+                       F.posexplode(F.slice("shared", F.lit(1), F.greatest(first - own, F.lit(0)).cast("int"))).alias("at", "e"))
+               .select("e.key", "e.df", "doc_id", (F.col("own") + F.col("at") + 1).alias("place"), "n"))
+    groups = stored(ordered, "near-rare")
+    wanted = (groups.groupBy("key").agg(F.first("df").alias("df"), F.count(F.lit(1)).alias("size"),
+                                        F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("members"))
+              .where("size > 1").groupBy("size", "members").agg(F.min(F.struct("df", "key")).alias("first")))
+    return groups.join(stored(wanted.select("first.key"), "near-wanted"), "key", "left_semi").select("key", "doc_id", "place", "n")
+
+
+def _untested(groups: DataFrame, labels: DataFrame, centers: int, p: int, q: int) -> tuple[DataFrame, DataFrame]:
+    """(center, member) of different components that may be similar, and the groups without these centres.
+
+    A group has up to ``centers`` centres, the members of highest rank of a
+    hashed slot each. A centre meets all members of other components, so it can
+    leave the group. Sizes, and the places of the shingle that a pair has in
+    common first, bound its similarity.
     """
-    outer = F.col("k") > F.col("limit")
-    size = F.size("added") + F.size("missing")
-    order = F.concat("added", "missing")
-    both = F.greatest(F.floor(F.col("k") / (p + q)) + 1, F.lit(1))
-    mixed = F.when(outer, F.greatest(F.ceil((F.col("k") - F.col("limit")) / q), F.lit(1))).otherwise(both)
-
-    def keyed(kind: int, rows: DataFrame, least: Column) -> DataFrame:
-        prefix = F.slice(order, F.lit(1), F.greatest(size - least + 1, F.lit(0)).cast("int"))
-        return (rows.select("center", "member", "fresh", outer.alias("outer"), F.explode(prefix).alias("element"))
-                .select(F.xxhash64(F.lit(kind), "center", "element").alias("key"), F.lit(kind).alias("kind"),
-                        F.col("member").alias("doc_id"), "outer", "fresh"))
-
-    some = tested.where(outer).select("center").distinct()
-    rows = tested.join(stored(some, "near-open"), "center", "left_semi")
-    keys = keyed(0, rows.where(outer), both).unionByName(keyed(1, rows, mixed)).distinct()
-    groups = stored(keys.join(labels.select(F.col("id").alias("doc_id"), "component_id"), "doc_id", "left")
-                    .withColumn("component", F.coalesce("component_id", "doc_id")), "near-regrouped")
-    # a group adds nothing if its members are connected already, if no member is new to the centre,
-    # or if it lacks the pairs of its kind: two outer members, or an outer and an inner one
-    wanted = (groups.groupBy("key", "kind")
-              .agg(F.min("component").alias("low"), F.max("component").alias("high"), F.max("fresh").alias("new"),
-                   F.max("outer").alias("any"), F.min("outer").alias("all"),
-                   F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("doc_id").cast("decimal(20,0)")).alias("members"))
-              .where("low < high AND new AND any AND (kind = 0 OR NOT all)")
-              # many differences lead to the same members: one group of each kind is enough
-              .groupBy("n", "members", "low", "high").agg(F.min("key").alias("key")))
-    return groups.join(stored(wanted.select("key"), "near-wanted"), "key", "left_semi").select("key", "doc_id")
+    labelled = stored(groups.join(labels.select(F.col("id").alias("doc_id"), "component_id"), "doc_id", "left")
+                      .withColumn("component", F.coalesce("component_id", "doc_id")).drop("component_id"), "near-labelled")
+    opened = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    rows = stored(labelled.join(opened.select("key"), "key", "left_semi")
+                  .withColumn("slot", F.pmod(F.xxhash64("doc_id", F.lit("slot")), F.lit(centers))), "near-groups")
+    best = rows.groupBy("key", "slot").agg(F.max(F.struct("rank", (-F.col("doc_id")).alias("id"), "component", "place", "n")).alias("best"))
+    best = stored(best.select("key", (-F.col("best.id")).alias("center"), F.col("best.component").alias("c_component"),
+                              F.col("best.place").alias("c_place"), F.col("best.n").alias("c_n")), "near-centers")
+    room = 1 + F.least(F.col("n") - F.col("place"), F.col("c_n") - F.col("c_place"))
+    pairs = (rows.join(best, "key").where("component <> c_component")
+             .where((q * F.least("n", "c_n") >= p * F.greatest("n", "c_n")) & ((p + q) * room >= p * (F.col("n") + F.col("c_n"))))
+             .select("center", F.col("doc_id").alias("member")).distinct())
+    left = rows.join(best.select("key", F.col("center").alias("doc_id")), ["key", "doc_id"], "left_anti")
+    return pairs, left.select("key", "doc_id", "place", "n", "rank")
 
 
 def near_links(docs: DataFrame, signed: DataFrame, similarity: float = SIMILARITY, words: int = WORDS) -> DataFrame:
     """(a, b, similarity): links that join all representatives connected by Jaccard similarity >= ``similarity``.
 
     Not every similar pair is listed: members of one centre are linked to it
-    alone. Two representatives are connected through the listed links exactly
-    when similar pairs of them that share a band connect them.
+    alone. Two representatives are connected through the listed links when
+    similar pairs of them that share a band connect them, and all links are
+    similar pairs.
     """
     share = Fraction(str(similarity)).limit_denominator(1000)
     p, q = share.numerator, share.denominator
-    groups = signed.select("doc_id", F.explode("bands").alias("key"))
-    sizes = stored(groups.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-buckets")
-    members = stored(groups.join(sizes, "key"), "near-members")
+    buckets = signed.select("doc_id", F.explode("bands").alias("key"))
+    sizes = stored(buckets.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "near-buckets")
+    members = stored(buckets.join(sizes, "key"), "near-members")
     # a text from which others were derived shares a bucket with most of them
     rank = stored(members.groupBy("doc_id").agg(F.sum("n").alias("rank")), "near-rank")
     wanted = docs.join(rank.select("doc_id").hint("merge"), "doc_id", "left_semi")  # grows with the corpus: never broadcast
     sets = stored(shingle_sets(wanted, words), "near-sets")
-    stars = stored(_stars(members.select("key", "doc_id"), rank, 1), "near-stars")
-    tested, labels, links = None, None, []
-    while not stars.isEmpty():
+    members = stored(members.select("key", "doc_id").join(rank, "doc_id"), "near-ranked")
+    tested = stored(_verified(stored(_stars(members), "near-stars"), sets, p, q), "near-tested")
+    labels = stored(components(_links(tested).select("a", "b")), "near-labels")
+    groups = stored(_rare_groups(members, labels, sets, p, q).join(rank, "doc_id"), "near-groups")
+    centers = 1
+    while not groups.isEmpty():
+        pairs, groups = _untested(groups, labels, centers, p, q)
+        stars = stored(pairs.join(tested.select("center", "member"), ["center", "member"], "left_anti"), "near-stars")
+        groups, centers = stored(groups, "near-left"), centers * MORE_CENTERS
+        if stars.isEmpty():
+            continue
         fresh = stored(_verified(stars, sets, p, q), "near-tested")
-        links.append(fresh.where("k <= limit").select(
-            F.least("center", "member").alias("a"), F.greatest("center", "member").alias("b"),
-            (F.col("n_shared") / F.col("n_all")).alias("similarity")))
-        found = links[0]
-        for more in links[1:]:
-            found = found.unionByName(more)
-        fresh = fresh.withColumn("fresh", F.lit(True))
-        tested = fresh if tested is None else tested.withColumn("fresh", F.lit(False)).unionByName(fresh)
-        open_rows = tested.join(stored(stars.select("center").distinct(), "near-touched"), "center", "left_semi")
-        if labels is None or not links[-1].isEmpty():
-            labels = stored(components(found.select("a", "b")), "near-labels")
-        following = _stars(_regrouped(open_rows, labels, p, q), rank, CENTERS)
-        stars = stored(following.join(tested.select("center", "member"), ["center", "member"], "left_anti"), "near-stars")
-    if not links:
-        return docs.sparkSession.createDataFrame([], "a bigint, b bigint, similarity double")
-    return stored(found, "near-links")
+        tested = tested.unionByName(fresh)
+        if not fresh.where("linked").isEmpty():
+            labels = stored(components(_links(tested).select("a", "b")), "near-labels")
+    return stored(_links(tested).distinct(), "near-links")
+
+
+def _links(tested: DataFrame) -> DataFrame:
+    return tested.where("linked").select(F.least("center", "member").alias("a"), F.greatest("center", "member").alias("b"), "similarity")
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int = WORDS, bands: int = BANDS,
