@@ -30,6 +30,9 @@ SAMPLE_ROWS = 20_000
 ROWS_PER_CELL = 64
 MAX_CODEWORDS = 1024
 TARGET_RECALL = 0.995
+#: The stopping bound is fitted on at most so many similar pairs of the sample; below FEW_PAIRS on copies in its directions too.
+MAX_PAIRS = 50_000
+FEW_PAIRS = 2_000
 #: Vectors of one block of a cell.
 BLOCK = 1024
 
@@ -119,29 +122,68 @@ class MultiIndex:
         return np.asarray(rows, dtype=np.int64), np.asarray(cells, dtype=np.int64)
 
 
+def similar_pairs(x: np.ndarray, places: np.ndarray, cosine: float, most: int, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
+    """A uniform draw of at most ``most`` pairs of one of ``places`` and any other row with a cosine of at least ``cosine``."""
+    first, second, draw = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)
+    for at in range(0, len(places), 256):
+        part = places[at:at + 256]
+        near = x[part] @ x.T >= cosine
+        near[np.arange(len(part)), part] = False
+        i, j = np.nonzero(near)
+        first, second, draw = np.r_[first, part[i]], np.r_[second, j], np.r_[draw, rng.random(len(i))]
+        if len(draw) > most:
+            lowest = np.argpartition(draw, most)[:most]
+            first, second, draw = first[lowest], second[lowest], draw[lowest]
+    return first, second
+
+
 def fit(x: np.ndarray, codewords: int, cosine: float = COSINE, target: float = TARGET_RECALL) -> MultiIndex:
     """Codebooks from a sample, and the bound within which ``target`` of its similar pairs find each other.
 
-    The pairs are the sample's own and perturbed copies at exactly the threshold,
-    so a sample without similar pairs still calibrates. No bound above the
-    distance of the threshold itself is ever needed.
+    The bound is the largest one needed by the sample's own similar pairs, by
+    copies at exactly the threshold in random directions and, where the sample has
+    fewer than FEW_PAIRS pairs, by copies in the directions in which the sample and
+    the neighbours in it vary. No bound above the distance of the threshold itself
+    is ever needed, and a target of 1 takes that one.
     """
     cut = x.shape[1] // 2
     index = MultiIndex(codebook(x[:, :cut], codewords, 1), codebook(x[:, cut:], codewords, 2), 2 - 2 * cosine)
+    if target >= 1:
+        return index
     rng = np.random.default_rng(3)
-    some = x[rng.permutation(len(x))[:2000]]
-    noise = rng.normal(size=some.shape)
-    noise -= (noise * some).sum(1)[:, None] * some
-    noise /= np.maximum(np.sqrt((noise ** 2).sum(1)), 1e-12)[:, None]
-    copies = cosine * some + np.sqrt(1 - cosine ** 2) * noise
-    (a, b), (c, d) = index.halves(some), index.halves(copies)
+    places = rng.permutation(len(x))[:2000]
+    some = x[places]
 
     def toward(p, q, book):
         return index.bounds(p, book)[np.arange(len(p)), _distances(q, book).argmin(1)]
 
-    # either side of a pair may find the other
-    needed = np.minimum(toward(a, c, index.first) + toward(b, d, index.second), toward(c, a, index.first) + toward(d, b, index.second))
-    index.stop = float(min(np.quantile(needed, target) + 1e-12, 2 - 2 * cosine))
+    def needed(left: np.ndarray, right: np.ndarray) -> float:
+        needs = []
+        for at in range(0, len(left), 2000):
+            (a, b), (c, d) = index.halves(left[at:at + 2000]), index.halves(right[at:at + 2000])
+            # either side of a pair may find the other
+            needs.append(np.minimum(toward(a, c, index.first) + toward(b, d, index.second),
+                                    toward(c, a, index.first) + toward(d, b, index.second)))
+        return float(np.quantile(np.concatenate(needs), target, method="higher"))
+
+    def copies(directions: np.ndarray) -> np.ndarray:
+        across = directions - (directions * some).sum(1)[:, None] * some
+        across /= np.maximum(np.sqrt((across ** 2).sum(1)), 1e-12)[:, None]
+        return cosine * some + np.sqrt(1 - cosine ** 2) * across
+
+    stops = [needed(some, copies(rng.normal(size=some.shape)))]
+    i, j = similar_pairs(x, places, cosine, MAX_PAIRS, rng)
+    if len(i):
+        stops.append(needed(x[i], x[j]))
+    if len(i) < FEW_PAIRS and len(x) > 1:
+        stops.append(needed(some, copies(rng.normal(size=(len(some), len(some))) @ (some - some.mean(0)))))
+        nearest = []
+        for at in range(0, len(places), 256):
+            dots = x[places[at:at + 256]] @ x.T
+            dots[np.arange(len(dots)), places[at:at + 256]] = -2
+            nearest.append(dots.argmax(1))
+        stops.append(needed(some, copies(x[np.concatenate(nearest)] - some)))
+    index.stop = float(min(max(stops) + 1e-12, 2 - 2 * cosine))
     return index
 
 

@@ -104,6 +104,31 @@ def test_vectors_equal_brute_force(spark, block):
     assert ivf.near_vectors(frame.limit(0)).count() == 0
 
 
+def low_dimensional(n, dimension, components=64):
+    rng = np.random.default_rng(dimension)
+    x = rng.normal(size=(n, dimension)) @ np.linalg.qr(rng.normal(size=(components, dimension)))[0].T
+    return x / np.linalg.norm(x, axis=1)[:, None]
+
+
+@pytest.mark.parametrize("dimension, codewords", [(4, 12), (4, 32), (4, 89), (8, 12), (8, 32)])
+def test_bound_for_low_dimensions(dimension, codewords):
+    x = low_dimensional(8000, dimension)
+    index = ivf.fit(x[::2], codewords)
+    a, b = index.halves(x)
+    first, second = ivf._distances(a, index.first).argmin(1), ivf._distances(b, index.second).argmin(1)
+    i, j = np.nonzero(np.triu(x @ x.T >= 0.95, 1))
+    one, two = index.bounds(a, index.first), index.bounds(b, index.second)
+    needed = np.minimum(one[i, first[j]] + two[i, second[j]], one[j, first[i]] + two[j, second[i]])
+    assert len(i) > 1000 and (needed <= index.stop).mean() >= 0.99
+
+
+def test_links_of_low_dimensional_vectors(spark):
+    x = low_dimensional(3000, 4)
+    got = ivf.near_vectors(spark.createDataFrame(list(enumerate(x.tolist())), "vec_id bigint, embedding array<double>")).collect()
+    want = (x @ x.T >= 0.95).sum() - len(x)
+    assert 0.99 * want <= sum(r.n_links for r in got) <= want
+
+
 def test_oracle_texts_run():
     db = duckdb.connect()
     for name in ("documents", "embeddings"):
