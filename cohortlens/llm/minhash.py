@@ -4,6 +4,8 @@ Sketches of weighted shingles come from exponential arrivals: a shingle of
 weight w sends hits at rate w to random slots, a slot keeps its earliest hit,
 and a shingle stops as soon as its next hit comes later than every slot's. Two
 texts agree in a slot with the probability Jaccard similarity of their weights.
+Every shingle of a text weighs the same here, however often it occurs: then that
+is the plain Jaccard similarity by which pairs are judged.
 
 Buckets are verified against centres instead of pair by pair. A text is tested
 against the centre of each of its buckets. Where a bucket still has members of
@@ -39,11 +41,6 @@ MORE_CENTERS = 16
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 
 
-def weights_of(counts: np.ndarray) -> np.ndarray:
-    """Weight of a shingle by its number of occurrences: damped, so that one repeated line does not rule a text."""
-    return 1.0 + np.log(counts)
-
-
 def prob_minhash(sets: list[np.ndarray], weights: list[np.ndarray], slots: int) -> np.ndarray:
     """One row of ``slots`` winning shingles for each non-empty weighted set."""
     sizes = [len(s) for s in sets]
@@ -77,7 +74,7 @@ def band_keys(winners: np.ndarray, bands: int) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int = WORDS) -> DataFrame:
-    """(doc_id, fp_high, fp_low, bands): fingerprint of the weighted shingles and band keys; both null without words."""
+    """(doc_id, fp_high, fp_low, bands): fingerprint of the distinct shingles and band keys; both null without words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -88,10 +85,10 @@ def sketches(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, words: int =
                     if not len(hashes):
                         marks.append(None)
                         continue
-                    distinct, counts = np.unique(hashes, return_counts=True)
-                    marks.append(xxhash.xxh3_128_intdigest(distinct.tobytes() + counts.tobytes()))
+                    distinct = np.unique(hashes)
+                    marks.append(xxhash.xxh3_128_intdigest(distinct.tobytes()))
                     sets.append(distinct)
-                    weights.append(weights_of(counts))
+                    weights.append(np.ones(len(distinct)))
                 keys = iter(band_keys(prob_minhash(sets, weights, bands * rows), bands) if sets else ())
                 signed = [(m >> s) & (1 << 64) - 1 if m is not None else None for s in (64, 0) for m in marks]
                 signed = [v - (1 << 64) if v is not None and v >> 63 else v for v in signed]
@@ -242,7 +239,7 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, words: int
 
     Similarity is the Jaccard similarity of the sets of shingles of ``words``
     words, a word being what stands between ASCII white space. Texts with the
-    same weighted shingles form one text class, named by its smallest doc_id;
+    same distinct shingles form one text class, named by its smallest doc_id;
     text classes that links connect form one class, named likewise, whose
     smallest document is kept. A text shorter than a shingle is one shingle of
     all its words. Null texts and texts without words stand alone. doc_id must be

@@ -113,6 +113,24 @@ def test_sketch_estimates_probability_jaccard():
     assert (again[0] == got[0]).all()
 
 
+def test_passages_repeated_in_one_copy(spark):
+    """Plain similarity 0.8 or 1; one text of a pair repeats a part of its words many times."""
+    rng = random.Random(12)
+    texts = []
+    for i in range(60):
+        words = [f"p{rng.randrange(10 ** 6)}" for _ in range(100)]
+        ring = words[40:70] * 100
+        texts.append(" ".join(words + ring))
+        texts.append(" ".join((words + words[40:70] * 2) if i % 2 else (words[14:] + words[40:70] * 2)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in minhash.near_duplicates(docs).collect()}
+    sets = plain_sets(texts)
+    for a in range(0, len(texts), 2):
+        assert len(sets[a] & sets[a + 1]) / len(sets[a] | sets[a + 1]) >= 0.8
+        assert got[a + 1].class_id == a
+        assert (got[a + 1].text_class == a) == (sets[a] == sets[a + 1])
+
+
 def test_shingles():
     one, two, three, none, same = shingle_hashes(["a b c d e f", "x a b c d e", "a b", " \n", "a  b"])
     assert len(one) == 2 and len(two) == 2 and two[1] == one[0] and len(three) == 1 and not len(none)
