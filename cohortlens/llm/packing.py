@@ -28,7 +28,7 @@ WINDOW = 1024
 PACKET = 32
 #: Quanta are counted in 2^-16 tokens.
 FRACTION = 16
-#: Sources with a queue of their own; all others share one more queue.
+#: The largest sources with a queue of their own, as have all with a given weight; all others share one more queue.
 MAX_QUEUES = 4096
 _CELLS = 1 << 21
 
@@ -140,9 +140,11 @@ def pack(docs: DataFrame, path: str, weights: Mapping[str, float] | None = None,
     whole corpus, to within a packet per queue; a queue that runs dry leaves its
     share to the others, so every sequence but the last is full.
 
-    The ``max_queues`` largest sources have a queue each, in order of size and
-    name; all smaller ones share one more queue, weighted by their sum, so that
-    the mixture stays small enough for each task. A null source is the source
+    The ``max_queues`` largest sources and all sources named in ``weights`` have a
+    queue each, in order of size and name; all others share one more queue, so
+    that the mixture stays small enough for each task. That queue is weighted by
+    the sum of its sources, or not at all where weights are given, and within it
+    sources follow each other by partition and name, not in proportion. A null source is the source
     named by the empty string. Null and empty texts consist of ``end_id`` alone.
     Repeated rows are packed as often as they occur. An empty table gives no
     piece; other columns are ignored. Texts of any length are cut freely.
@@ -152,6 +154,11 @@ def pack(docs: DataFrame, path: str, weights: Mapping[str, float] | None = None,
     spread = stored(spread, "packing-spread")
     sizes = spread.groupBy("source").agg(F.sum("n").alias("n"))
     top = sizes.orderBy(F.desc("n"), "source").limit(max_queues).collect()
+    if weights:  # a given weight is never lost in the queue of the others
+        taken = {r["source"] for r in top}
+        given = docs.sparkSession.createDataFrame([(s,) for s in weights], "source string")
+        more = sizes.join(given, "source", "left_semi").collect()
+        top += sorted((r for r in more if r["source"] not in taken), key=lambda r: (-r["n"], r["source"]))
     names = [r["source"] for r in top]
     total = spread.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     totals = [r["n"] for r in top]
@@ -160,7 +167,7 @@ def pack(docs: DataFrame, path: str, weights: Mapping[str, float] | None = None,
         totals.append(rest)
     shares = [float((weights or {}).get(s, 0.0)) for s in names] if weights else [float(t) for t in totals]
     if weights and rest:
-        shares.append(max(sum(weights.values()) - sum(shares), 0.0))
+        shares.append(0.0)
     mixture = Mixture(np.asarray(totals, dtype=np.int64), np.asarray(shares), window, packet)
 
     # tokens before each (queue, partition): a window over counts, one row per source and partition

@@ -103,6 +103,19 @@ def test_given_mixture_is_met(docs, library):
     assert sorted(first.values())[-2:] == [16, 48]
 
 
+def test_weights_of_small_sources_are_kept(docs, library):
+    weights = {"": 1.0, "s0": 3.0}
+    few = packing.pack(docs, vocabulary_path(), weights, window=64, packet=4, max_queues=1).collect()
+    sequences = check_pieces(few, library, 64)
+    sources = {r.doc_id: r.source or "" for r in docs.select("doc_id", "source").collect()}
+    first = {s: sum(r.length for r in sequences[0] if sources[r.doc_id] == s) for s in weights}
+    assert first == {"": 16, "s0": 48}
+    queues = {}
+    for r in few:
+        queues.setdefault(sources[r.doc_id], set()).add(r.queue)
+    assert all(len(queues[s]) == 1 for s in weights) and queues[""] != queues["s0"]
+
+
 def test_deficits_against_a_plain_loop():
     rng = np.random.default_rng(7)
     totals = rng.integers(1, 3000, 5)
