@@ -70,16 +70,17 @@ def _value_list(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _ticker_files(spark: SparkSession, d: str) -> DataFrame:
+    """Files of every symbol, written and read; the result has the columns of the SQL."""
     folder = staging_path(spark, "tickers")
     rows = t.prices(spark, d)
-    names = ["ALL", "N1", "N2"]
+    names = sorted(r["symbol"] for r in rows.select("symbol").distinct().collect())
     for name in names:
         one = rows.where(F.col("symbol") == name).select(
             F.col("trade_date").alias("Date"), F.col("price").alias("Adj Close"))
         delimited.store(one, f"{folder}/{name}.csv", header=True)
     long = prices.read_ticker_files(spark, folder, names)
-    wide = prices.wide_panel(prices.price_panel(prices.daily(long), ["N1", "N2"], "ALL"), names)
-    return wide.select("trade_date", *[F.round(n, 6).alias(n) for n in names])
+    wide = prices.wide_panel(prices.price_panel(prices.daily(long), names, "ALL"), names)
+    return wide.select("trade_date", *[F.round(n, 6).alias(n) for n in ("ALL", "N1", "N2")])
 
 
 def _matrix_file(spark: SparkSession, d: str) -> DataFrame:

@@ -46,3 +46,12 @@ def test_every_sql_has_a_query():
 
 def test_entry_runs(spark):
     assert entry.entry(spark).count() == 2
+
+
+def test_ticker_files_of_every_symbol(spark, sf_dir, monkeypatch):
+    from cohortlens.plans import source_queries, tables
+
+    read, seen = source_queries.prices.read_ticker_files, []
+    monkeypatch.setattr(source_queries.prices, "read_ticker_files", lambda s, f, names: seen.extend(names) or read(s, f, names))
+    entry.queries()["ticker_files"](spark, sf_dir)
+    assert set(seen) == {r["symbol"] for r in tables.prices(spark, sf_dir).select("symbol").distinct().collect()} and len(seen) > 3
