@@ -160,9 +160,9 @@ def suffix_array(s: np.ndarray) -> np.ndarray:
     """Suffix array of an int32 array that ends in its only 0, by induced sorting.
 
     Suffixes are classified as smaller or larger than the next one; substrings
-    between leftmost-smaller places are sorted by induction and named; the names
-    are sorted recursively, if they are not distinct; their order induces that of
-    all suffixes. Linear in time.
+    between leftmost-smaller places are named by a sort of their packed symbols,
+    which is not linear; the names are sorted recursively, if they are not
+    distinct; their order induces that of all suffixes, which is linear.
     """
     n = len(s)
     if n <= 2:
