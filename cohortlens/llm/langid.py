@@ -19,6 +19,8 @@ ROWS_PER_LANGUAGE = 1_500
 PASSAGE_CHARS = 600
 #: Share of correctly recognised passages that calibration gives up.
 REJECTED_SHARE = 0.0005
+#: Steps of the descent, whatever the size of the sample: small samples are passed more often.
+STEPS = 600
 BLOCK_BYTES = 1 << 20
 UNKNOWN = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -76,9 +78,12 @@ class LanguageModel:
         return self.languages[best], float(p[best]), bool(p[best] < self.threshold)
 
 
-def train(passages: list[tuple[str, str]], epochs: int = 6, rate: float = 8.0, batch: int = 64,
+def train(passages: list[tuple[str, str]], least_steps: int = STEPS, rate: float = 8.0, batch: int = 64,
           seed: int = 11) -> LanguageModel:
-    """Minibatch gradient descent on (language, passage); every fifth passage is kept for calibration."""
+    """Minibatch gradient descent on (language, passage); every fifth passage is kept for calibration.
+
+    The sample is passed as often as ``least_steps`` steps take.
+    """
     languages = sorted({lang for lang, _ in passages})
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS, 0), np.float32), np.zeros(0))
@@ -90,9 +95,11 @@ def train(passages: list[tuple[str, str]], epochs: int = 6, rate: float = 8.0, b
     rng = np.random.default_rng(seed + 1)
     embedding = (rng.random((BUCKETS, DIMENSIONS), dtype=np.float32) - 0.5) / DIMENSIONS
     weights, bias = np.zeros((DIMENSIONS, len(languages)), np.float32), np.zeros(len(languages), np.float32)
-    steps, step = epochs * (len(fitted) + batch - 1) // batch, 0
+    batches = max(1, len(fitted) // batch)
+    epochs = -(-least_steps // batches)
+    steps, step = epochs * batches, 0
     for _ in range(epochs):
-        for rows in np.array_split(rng.permutation(fitted), max(1, len(fitted) // batch)):
+        for rows in np.array_split(rng.permutation(fitted), batches):
             used = np.unique(np.concatenate([sparse[row][0] for row in rows]))
             x = np.zeros((len(rows), len(used)), dtype=np.float32)
             for k, row in enumerate(rows):

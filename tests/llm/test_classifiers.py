@@ -1,4 +1,6 @@
 """Language identification and toxicity: accuracy on held-out rows, and defined results for odd ones."""
+import pathlib
+
 import numpy as np
 import pytest
 
@@ -14,7 +16,9 @@ def odd(spark):
     return spark.createDataFrame(rows, "doc_id bigint, text string, lang_pred string, score double")
 
 
-def test_language_on_held_out_rows(spark, sf_dir):
+@pytest.mark.parametrize("size", ["sf0.001", "sf0.01", "sf0.1"])
+def test_language_on_held_out_rows(spark, sf_dir, size):
+    sf_dir = str(pathlib.Path(sf_dir).parent / size)
     rows = op7_language_id(spark, sf_dir)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     joined = rows.join(docs, "doc_id").collect()
