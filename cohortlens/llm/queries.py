@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, exact, ivf, langid, lines, minhash, packing, secrets, suffix, toxicity
+from cohortlens.llm import bpe, exact, ivf, langid, lines, minhash, packing, secrets, sharding, suffix, toxicity
 from cohortlens.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -78,6 +78,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shards_by_bytes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_toxicity": op2_toxicity,
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_multi_index": op9_multi_index,
     "op10_packing": op10_packing,
+    "op13_sharding": op13_sharding,
     "pipeline": pipeline,
 }
 
