@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, exact, ivf, langid, lines, minhash, packing, secrets, sharding, suffix, toxicity
-from cohortlens.llm.common import table
+from cohortlens.llm import bpe, exact, ivf, langid, lines, minhash, packing, ranking, secrets, sharding, suffix, toxicity
+from cohortlens.llm.common import stored, table
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -78,10 +78,19 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary_path())
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = stored(ranking.build_index(table(spark, sf_dir, "documents")), "ranking-index")
+    return ranking.search(index, table(spark, sf_dir, "benchmark"))
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards_by_bytes(table(spark, sf_dir, "documents"))
 
 
+#: Terms of ``text``, only A-Z lower-cased.
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_toxicity": op2_toxicity,
@@ -93,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secret_scan": op8_secret_scan,
     "op9_multi_index": op9_multi_index,
     "op10_packing": op10_packing,
+    "op11_ranked_search": op11_ranked_search,
     "op13_sharding": op13_sharding,
     "pipeline": pipeline,
 }
@@ -129,4 +139,18 @@ ORACLES: dict[str, str] = {
                            ELSE coalesce(array_to_string(list_transform(list_filter(range(1, len(parts) + 1),
                                 lambda i: NOT list_contains(taken, i)), lambda i: parts[i]), chr(10)), '') END) AS kept_sha256
         FROM parts LEFT JOIN taken USING (doc_id)""",
+    "op11_ranked_search": f"""
+        WITH found AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+        often AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY ALL),
+        sizes AS (SELECT doc_id, CAST(sum(tf) AS BIGINT) AS n FROM often GROUP BY doc_id),
+        whole AS (SELECT count(*) AS documents, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+        norms AS (SELECT doc_id, 75 + 25 * n * documents // terms AS m FROM sizes, whole),
+        weights AS (SELECT term, CAST(floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+                    FROM often, whole GROUP BY term, documents),
+        asked AS (SELECT item_id, term, count(*) AS c
+                  FROM (SELECT item_id, unnest({_TERMS}) AS term FROM benchmark) GROUP BY ALL),
+        scores AS (SELECT item_id, doc_id, CAST(sum(c * w * (1000000000 * tf // (1000 * tf + 12 * m))) AS BIGINT) AS score
+                   FROM asked JOIN weights USING (term) JOIN often USING (term) JOIN norms USING (doc_id) GROUP BY ALL)
+        SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+        FROM scores WHERE score > 0 QUALIFY rank <= 20""",
 }
