@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortlens.llm import bpe, exact, ivf, langid, lines, minhash, packing, ranking, secrets, sharding, suffix, toxicity
+from cohortlens.llm import bpe, exact, ivf, langid, lines, minhash, packing, ranking, repair, secrets, sharding, suffix, toxicity
 from cohortlens.llm.common import stored, table
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -83,6 +83,11 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.search(index, table(spark, sf_dir, "benchmark"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return repair.Repair(repair.damage(turns)).report(turns)
+
+
 def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards_by_bytes(table(spark, sf_dir, "documents"))
 
@@ -91,6 +96,78 @@ def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 _TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
 
+
+def _edited(value: str, cost: str, edit: str) -> str:
+    """SQL for a repair grown by an edit; twelve digits of cost lead its audit, so that texts compare as (cost, audit)."""
+    return f"(lpad(CAST(CAST(left({value}, 12) AS BIGINT) + {cost} AS VARCHAR), 12, '0') || substr({value}, 13) || '{edit}')"
+
+
+def _repair_sql() -> str:
+    """Cheapest repairs turn by turn (start n, system s, user u, pair a), then the edits applied to the turns."""
+    def insert(place: str) -> str:
+        return _edited(place, "2", "I")
+
+    def kept(initial: str, places: str) -> str:
+        return ", ".join(f"CASE WHEN whole AND r = '{initial}' THEN {_edited('v' + p, 'more', 'K')} END" for p in places)
+
+    def rerole(places: str) -> str:
+        return ", ".join(f"CASE WHEN whole THEN {_edited('v' + p, '2 + more', 'R')} END" for p in places)
+
+    def delete(place: str) -> str:
+        return _edited("v" + place, "3", "D")
+
+    shift = "xor(c, b) >> 1"
+    return f"""
+        WITH RECURSIVE named AS (
+            SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+                   coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+        lots AS (SELECT *, xor(list_reduce(flatten(list_transform(string_split(name, ''),
+                     lambda x: [CAST(ord(x) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+                     lambda c, b: CASE WHEN xor(c, b) & 1 = 1 THEN xor({shift}, 3988292384) ELSE {shift} END,
+                     CAST(4294967295 AS BIGINT)), 4294967295) % 20 AS lot FROM named),
+        damaged AS (SELECT conv_id, turn, CASE lot WHEN 4 THEN 'user' ELSE role END AS role,
+                           CASE lot WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+                           unnest(CASE lot WHEN 3 THEN [0, 1] ELSE [0] END) AS copy FROM lots WHERE lot <> 0),
+        placed AS (SELECT *, coalesce(CAST(conv_id AS VARCHAR), ' ') AS key, left(role, 1) AS r,
+                          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM damaged),
+        faulty AS (SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 1
+                                  WHEN row_number() OVER (PARTITION BY key, role, text ORDER BY i) > 1 THEN 2
+                                  WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 3 ELSE 0 END AS fault,
+                          lag(r) OVER (PARTITION BY key ORDER BY i) || r AS pair FROM placed),
+        turns AS (SELECT *, fault IN (0, 3) AS whole, CAST(fault = 3 AS BIGINT) AS more FROM faulty),
+        figures AS (SELECT key, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) AS n,
+                           count(*) FILTER (fault = 1) AS blank, count(*) FILTER (fault = 2) AS duplicate,
+                           count(*) FILTER (fault = 3) AS truncated,
+                           count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY key),
+        steps AS (
+            SELECT key, CAST(0 AS BIGINT) AS i, '000000000000' AS vn, CAST(NULL AS VARCHAR) AS vs,
+                   '000000000002I' AS vu, '000000000004II' AS va FROM figures
+            UNION ALL
+            SELECT key, i, vn, vs, vu, least(va, {insert("vu")}) AS va FROM (
+                SELECT key, i, vn, vs, least(vu, {insert("vn")}, {insert("vs")}, {insert("va")}) AS vu, va FROM (
+                    SELECT key, t.i, {delete("n")} AS vn, least({delete("s")}, {kept("s", "n")}) AS vs,
+                           least({delete("u")}, {kept("u", "nsa")}, {rerole("nsa")}) AS vu,
+                           least({delete("a")}, {kept("a", "u")}, {rerole("u")}) AS va
+                    FROM steps JOIN turns t USING (key) WHERE t.i = steps.i + 1))),
+        best AS (SELECT key, least(vn, va) AS v FROM steps JOIN figures USING (key) WHERE i = n),
+        audits AS (SELECT key, CAST(left(v, 12) AS BIGINT) AS cost, substr(v, 13) AS audit FROM best),
+        writing AS (
+            SELECT key, audit, 0 AS k, CAST(0 AS BIGINT) AS i, 'n' AS place, CAST([] AS VARCHAR[]) AS lines FROM audits
+            UNION ALL
+            SELECT key, audit, k + 1, upto, CASE e WHEN 'D' THEN place WHEN 'K' THEN r ELSE CASE place WHEN 'u' THEN 'a' ELSE 'u' END END,
+                   CASE e WHEN 'D' THEN lines ELSE list_append(lines, CASE e WHEN 'K' THEN role ELSE
+                       CASE place WHEN 'u' THEN 'assistant' ELSE 'user' END END || ':' || CASE e WHEN 'I' THEN '' ELSE text END) END
+            FROM (SELECT w.key, w.audit, w.k, w.place, w.lines, w.upto, w.e, t.role, t.r, t.text
+                  FROM (SELECT *, substr(audit, k + 1, 1) AS e, i + CAST(substr(audit, k + 1, 1) <> 'I' AS BIGINT) AS upto
+                        FROM writing WHERE k < len(audit)) w LEFT JOIN turns t ON t.key = w.key AND t.i = w.upto)),
+        written AS (SELECT key, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256 FROM writing WHERE k = len(audit)),
+        ids AS (SELECT DISTINCT conv_id, coalesce(CAST(conv_id AS VARCHAR), ' ') AS key FROM conversations)
+        SELECT conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+               coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(cost, 0) AS cost,
+               coalesce(audit, '') AS audit, coalesce(repaired_sha256, sha256('')) AS repaired_sha256
+        FROM ids LEFT JOIN figures USING (key) LEFT JOIN audits USING (key) LEFT JOIN written USING (key)"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_toxicity": op2_toxicity,
@@ -103,6 +180,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_multi_index": op9_multi_index,
     "op10_packing": op10_packing,
     "op11_ranked_search": op11_ranked_search,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_sharding": op13_sharding,
     "pipeline": pipeline,
 }
@@ -153,4 +231,5 @@ ORACLES: dict[str, str] = {
                    FROM asked JOIN weights USING (term) JOIN often USING (term) JOIN norms USING (doc_id) GROUP BY ALL)
         SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
         FROM scores WHERE score > 0 QUALIFY rank <= 20""",
+    "op12_conversation_repair": _repair_sql(),
 }
