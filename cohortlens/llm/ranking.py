@@ -37,6 +37,8 @@ MOST = 255
 ITEMS_BLOCK_BYTES = 4 << 20
 _BLOCK = 1 << 20
 _CELLS = 1 << 22
+#: Rows of the index that leave a task together.
+_ROWS = 512
 _IMPACT = 10 ** 9
 #: Bytes of terms: letters and digits of ASCII, capitals folded, and all bytes of other characters.
 _TERM = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256))
@@ -82,7 +84,7 @@ def build_index(docs: DataFrame, folds: int = FOLDS, cells_per_term: int = CELLS
     """(doc_id, n, bits, sketch, text) of every row: number of terms, max-sketch, and the text to score it from."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, _ROWS) for whole in batches for at in range(0, whole.num_rows, _ROWS)):
             sizes, bits, cells = [], [], []
             for text in batch.column(1):
                 counts = term_counts(text.as_py())
