@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortlens.llm.bpe import Codec, queue_codec, vocabulary
+from cohortlens.llm.bpe import Codec, Vocabulary, queue_codec, vocabulary
 from cohortlens.llm.common import stored, text_or_empty
 
 WINDOW = 1024
@@ -36,6 +36,20 @@ PIECE_SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, d
                 "sequence_id bigint, offset bigint, queue int")
 
 
+class WholeTexts(Codec):
+    """Whole texts at once by a compiled encoder, with the special strings in their places."""
+
+    def __init__(self, vocab: Vocabulary, encoding):
+        super().__init__(vocab, encoding.encode_ordinary)
+        self.encoding = encoding
+
+    def encode(self, text: str) -> bytes:
+        special = self.vocab.special
+        parts = self.vocab.split_special.split(text) if any(s in text for s in special) else [text]
+        return b"".join(np.asarray([special[p]], dtype="<u4").tobytes() if p in special else
+                        self.encoding.encode_to_numpy(p, disallowed_special=()).astype("<u4").tobytes() for p in parts if p)
+
+
 @functools.lru_cache(maxsize=2)
 def fast_codec(path: str) -> Codec:
     """The same ids by the compiled BPE, where the file's ids stand in merge order."""
@@ -47,8 +61,7 @@ def fast_codec(path: str) -> Codec:
     taken = set(vocab.special.values())
     ranks = {s: n for n, s in enumerate(vocab.strings) if n not in taken}
     words = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-    encoding = tiktoken.Encoding("packing", pat_str=words, mergeable_ranks=ranks, special_tokens={})
-    return Codec(vocab, encoding.encode_ordinary)
+    return WholeTexts(vocab, tiktoken.Encoding("packing", pat_str=words, mergeable_ranks=ranks, special_tokens={}))
 
 
 class Mixture:
