@@ -19,13 +19,13 @@ from pyspark.ml.regression import DecisionTreeRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortlens.functions.columns import sigmoid, uniform
+from cohortlens.operators.neighbours import BLOCK_ROWS, nearest
 from cohortlens.operators.passes import matrix
 from cohortlens.session import checkpointed
 
 # Fixed value: the seed of the published runs.
 SEED = 545510477
 BOOST_ROUNDS_PER_CHECKPOINT = 5
-BLOCK_ROWS = 20_000
 
 
 def with_vector(df: DataFrame, source: str = "features") -> DataFrame:
@@ -228,51 +228,6 @@ def sgd_scores(rows: DataFrame, weights: DataFrame, keep: list[str]) -> DataFram
 
 # --- nearest neighbours ---------------------------------------------------
 
-def nearest(train: DataFrame, test: DataFrame, key: str, k: int,
-            block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """The ``k`` nearest train rows of each test row: (key, neighbour, label, distance).
-
-    Both sides are cut into blocks of bounded size. A task holds one block of
-    each, computes their distance matrix and passes on only ``k`` rows per test
-    row; the best ``k`` over blocks follow. Ties go to the smaller train key.
-    """
-    train_blocks = max(1, math.ceil(train.count() / block_rows))
-    test_blocks = max(1, math.ceil(test.count() / block_rows))
-
-    def block(n: int) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(n)).cast("int")
-
-    fan = lambda n, name: F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
-    left = test.select(key, "features", block(test_blocks).alias("tb"), fan(train_blocks, "rb"))
-    right = train.select(key, "features", "label", block(train_blocks).alias("rb"), fan(test_blocks, "tb"))
-    kind = test.schema[key].dataType.simpleString()
-    schema = f"{key} {kind}, neighbour {kind}, label double, distance double"
-
-    def closest(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        if not len(a) or not len(b):
-            return pd.DataFrame({key: [], "neighbour": [], "label": [], "distance": []})
-        b = b.sort_values(key, ignore_index=True)
-        x, y, n = matrix(a["features"]), matrix(b["features"]), min(k, len(b))
-        ids, labels, out = b[key].to_numpy(), b["label"].to_numpy(dtype=float), []
-        for at in range(0, len(x), 256):
-            # direct differences at any size: the expanded square loses what large means cancel
-            part, step = x[at:at + 256], max(1, 500_000 // max(256 * x.shape[1] // 64, 1))
-            d = np.concatenate([((part[:, None, :] - y[None, j:j + step, :]) ** 2).sum(axis=2)
-                                for j in range(0, len(y), step)], axis=1)
-            best = np.argsort(d, axis=1, kind="stable")[:, :n]
-            out.append(pd.DataFrame({
-                key: np.repeat(a[key].to_numpy()[at:at + 256], n), "neighbour": ids[best].ravel(),
-                "label": labels[best].ravel(),
-                "distance": np.sqrt(np.take_along_axis(d, best, axis=1)).ravel()}))
-        return pd.concat(out)
-
-    near = (left.groupBy("tb", "rb").cogroup(right.groupBy("tb", "rb"))
-            .applyInPandas(closest, schema))
-    # at most k rows per train block and test row reach this window
-    w = Window.partitionBy(key).orderBy("distance", "neighbour")
-    return near.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
 def knn_vote(train: DataFrame, test: DataFrame, key: str, k: int = 1,
              block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Majority label of the ``k`` nearest; ties go to the smaller label."""

@@ -4,7 +4,8 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from cohortlens.functions.columns import uniform
-from cohortlens.operators import clustering, evaluation, passes, supervised as sv, transforms
+from cohortlens.operators import clustering, evaluation, neighbours, passes, supervised as sv, transforms
+from cohortlens.operators.neighbours import nearest
 from cohortlens.plans import tables, workloads
 from cohortlens.session import checkpointed, shared_dir
 from cohortlens.sources import delimited, models, svmlight
@@ -112,8 +113,8 @@ def test_learners(spark):
 def test_neighbours_in_blocks_match_brute_force(spark):
     df, x, label = points(spark, 150)
     train, test = df.where("id % 2 = 0"), df.where("id % 2 = 1")
-    one = sv.nearest(train, test, "id", 4).collect()
-    many = sv.nearest(train, test, "id", 4, block_rows=20).collect()
+    one = nearest(train, test, "id", 4).collect()
+    many = nearest(train, test, "id", 4, block_rows=20).collect()
     key = lambda rows: sorted((r["id"], r["rank"], r["neighbour"]) for r in rows)
     assert key(one) == key(many)
     ids = np.arange(0, 150, 2)
@@ -122,13 +123,42 @@ def test_neighbours_in_blocks_match_brute_force(spark):
     assert accuracy(sv.knn_vote(train, test, "id", 3, 20)) > 0.9
 
 
+@pytest.mark.parametrize("pivots, k", [(1, 3), (12, 1), (12, 7), (40, 500)])
+def test_neighbours_over_pivots_match_brute_force(spark, pivots, k):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(scale=30, size=(6, 5))
+    x = np.round(centres[rng.integers(0, 6, 400)] + rng.normal(size=(400, 5)), 1)
+    x[100:160] = x[100]  # ties, many rows in one place
+    df = spark.createDataFrame([(i, r.tolist(), float(i % 3)) for i, r in enumerate(x)], "id bigint, features array<double>, label double")
+    train, test = df.where("id < 320").repartition(5), df.where("id >= 320 OR id = 100")
+    got = sorted((r["id"], r["rank"], r["neighbour"]) for r in nearest(train, test, "id", k, 30, pivots).collect())
+    want = []
+    for i in [100, *range(320, 400)]:
+        d = np.sqrt(((x[:320] - x[i]) ** 2).sum(axis=1))
+        want += [(i, n + 1, int(j)) for n, j in enumerate(np.argsort(d, kind="stable")[:k])]
+    assert got == sorted(want)
+    assert nearest(train.limit(0), test, "id", k).count() == 0 and nearest(train, test.limit(0), "id", k).count() == 0
+
+
+def test_few_partitions_are_compared(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(scale=40, size=(10, 4))[rng.integers(0, 10, 1500)] + rng.normal(size=(1500, 4))
+    df = spark.createDataFrame([(i, r.tolist(), 0.0) for i, r in enumerate(x)], "id bigint, features array<double>, label double")
+    train, test = df.where("id < 1400"), df.where("id >= 1400")
+    _, parts = neighbours.partitioned(train, "id", 40)
+    first = neighbours.visits(test, parts, "id", 5, False).count()
+    limits = nearest(train, test, "id", 5, pivots=40).groupBy("id").agg({"distance": "max"}).toDF("id", "limit")
+    more = neighbours.visits(test.join(limits, "id"), parts, "id", 5, True).count()
+    assert parts.count.sum() == 1400 and first + more < 0.3 * 100 * 40
+
+
 def test_neighbours_far_from_the_origin_are_exact(spark):
     rng = np.random.default_rng(2)
     x = 1e6 + rng.normal(size=(600, 8))
     rows = [(i, [float(v) for v in r], float(i % 2)) for i, r in enumerate(x)]
     df = spark.createDataFrame(rows, "id bigint, features array<double>, label double")
     train, test = df.where("id >= 20"), df.where("id < 20")
-    found = {(r["id"], r["rank"]): r for r in sv.nearest(train, test, "id", 3, block_rows=10_000).collect()}
+    found = {(r["id"], r["rank"]): r for r in nearest(train, test, "id", 3, block_rows=10_000).collect()}
     for i in range(20):
         d = np.sqrt(((x[20:] - x[i]) ** 2).sum(axis=1))
         best = np.argsort(d, kind="stable")[:3]
