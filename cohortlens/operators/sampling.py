@@ -38,7 +38,11 @@ def bernoulli_bags(df: DataFrame, key: str, bags: int, share: float, seed: int =
 
 def bootstrap_bags(df: DataFrame, key: str, bags: int = 20, share: float = 0.6,
                    seed: int = 7) -> DataFrame:
-    """Sampling with replacement as Poisson(``share``) counts: ``times`` per row and bag."""
+    """Sampling with replacement as Poisson(``share``) counts: ``times`` per row and bag.
+
+    ``share`` is the mean count; beyond 500 the distribution function starts
+    below what a double can tell from zero, so larger means raise an error.
+    """
     fanned = df.withColumn("bag", F.explode(F.sequence(F.lit(0), F.lit(bags - 1))))
     if not 0 <= share <= 500:
         raise ValueError("share must lie in [0, 500]")

@@ -20,8 +20,8 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortlens.functions.columns import sigmoid, uniform
 from cohortlens.operators.neighbours import BLOCK_ROWS, nearest
-from cohortlens.operators.passes import matrix
-from cohortlens.session import checkpointed
+from cohortlens.operators.passes import matrix, summed
+from cohortlens.session import checkpointed, staging_path
 
 # Fixed value: the seed of the published runs.
 SEED = 545510477
@@ -165,52 +165,33 @@ def bagged_trees(train: DataFrame, test: DataFrame, key: str, trees: int = 15, l
 
 
 def sgd_weights(rows: DataFrame, key: str, width: int, bags: int = 5, share: float = 0.6,
-                eta: float = 0.01, mu: float = 0.0, seed: int = 7, shards: int = 16) -> DataFrame:
-    """(bag, weights): logistic weights of each bag after one pass.
-
-    Rows have ``features`` and ``label``. A row's shard follows from its key.
-    Each shard is walked in key order with one weight array per bag, w += eta *
-    ((y - p) x - 2 mu w), and each bag's weights are the row-weighted mean over
-    shards (parallel SGD). The answer does not depend on how rows are
-    partitioned; with one shard it is the plain sequential pass.
+                eta: float = 0.5, mu: float = 0.0, seed: int = 7, steps: int = 20, passes: int = 1) -> DataFrame:
+    """(bag, weights): logistic weights of each bag after ``passes`` passes of ``steps`` minibatches.
+
+    Rows have ``features`` and ``label``. Bag and minibatch of a row follow from
+    its key. A step adds up the gradients of its minibatch over all tasks, for
+    all bags at once, w += eta * (mean((y - p) x) - 2 mu w), so any number of
+    tasks works on it and the layout of the rows does not matter. Rows are
+    stored by minibatch; a step reads its own only.
     """
-    draws = [uniform(seed, F.col(key), F.lit(b)) < share for b in range(bags)]
-    tagged = (rows.select(F.pmod(F.xxhash64(key), F.lit(shards)).cast("int").alias("shard"), F.col(key).alias("at"),
-                          "features", F.col("label").cast("double").alias("label"), F.array(*draws).alias("member"))
-              .repartition(shards, "shard").sortWithinPartitions("shard", "at"))
-
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        shard, w, seen = None, np.zeros((bags, width)), np.zeros(bags, dtype=int)
-
-        def done() -> pd.DataFrame:
-            return pd.DataFrame({"shard": shard, "bag": range(bags), "n": seen, "w": list(w)})
-
-        for batch in batches:
-            if not len(batch):
-                continue
-            x, y = matrix(batch["features"]), batch["label"].to_numpy()
-            member = np.asarray(batch["member"].to_list(), dtype=bool)
-            for i, own in enumerate(batch["shard"].to_list()):
-                if own != shard:
-                    if shard is not None:
-                        yield done()
-                    shard, w, seen = own, np.zeros((bags, width)), np.zeros(bags, dtype=int)
-                on = member[i]
-                p = 1 / (1 + np.exp(-(w[on] @ x[i])))
-                w[on] += eta * ((y[i] - p)[:, None] * x[i] - 2 * mu * w[on])
-                seen += member[i]
-        if shard is not None:
-            yield done()
-
-    # summed in shard order, so that rounding is the same on any layout too
-    walked = tagged.mapInPandas(walk, "shard int, bag int, n long, w array<double>")
-    cells = walked.select("bag", "n", "shard", F.posexplode("w").alias("at", "v"))
-    ordered = F.sort_array(F.collect_list(F.struct("shard", (F.col("v") * F.col("n")).alias("vn"))))
-    total = F.aggregate(ordered, F.lit(0.0), lambda a, c: a + c["vn"])
-    means = cells.groupBy("bag", "at").agg(
-        F.coalesce(F.try_divide(total, F.sum("n").cast("double")), F.lit(0.0)).alias("v"))
-    return means.groupBy("bag").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "v"))),
-                                                lambda c: c["v"]).alias("weights"))
+    member = F.array(*[(uniform(seed, F.col(key), F.lit(b)) < share) for b in range(bags)])
+    batch = F.floor(uniform(seed, F.col(key), F.lit("batch")) * steps).cast("int")
+    path = staging_path(rows.sparkSession, "minibatches")
+    tagged = rows.select(batch.alias("batch"), F.col("features").cast("array<double>").alias("features"),
+                         F.col("label").cast("double").alias("label"), member.alias("member"), F.xxhash64(key).alias("deal"))
+    tagged.repartitionByRange("batch", "deal").drop("deal").write.partitionBy("batch").parquet(path)
+    stored = rows.sparkSession.read.schema(tagged.drop("deal").schema).parquet(path)
+    w = np.zeros((bags, width))
+
+    def gradients(part: pd.DataFrame) -> np.ndarray:
+        x, on = matrix(part["features"]), matrix(part["member"])
+        missed = (part["label"].to_numpy()[:, None] - 1 / (1 + np.exp(-(x @ w.T)))) * on
+        return np.c_[missed.T @ x, on.sum(axis=0)]
+
+    for step in range(steps * passes):
+        found = summed(stored.where(F.col("batch") == step % steps), ["features", "label", "member"], gradients, (bags, width + 1))
+        w = w + eta * (found[:, :width] / np.maximum(found[:, width:], 1) - 2 * mu * w)
+    return rows.sparkSession.createDataFrame([(b, [float(v) for v in w[b]]) for b in range(bags)], "bag int, weights array<double>")
 
 
 def sgd_scores(rows: DataFrame, weights: DataFrame, keep: list[str]) -> DataFrame:

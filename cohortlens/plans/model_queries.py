@@ -11,6 +11,7 @@ from cohortlens.sources import models, svmlight
 from cohortlens.session import staging_path
 
 N = 64
+SGD_STEPS = 20
 
 
 def _rows(spark: SparkSession, d: str) -> DataFrame:
@@ -114,7 +115,8 @@ def _one_vs_rest(spark: SparkSession, d: str) -> DataFrame:
 
 def _sgd(spark: SparkSession, d: str) -> DataFrame:
     train, test = _halves(spark, d)
-    return sv.sgd_scores(test, sv.sgd_weights(train, "vec_id", N), ["vec_id", "label"])
+    scored = sv.sgd_scores(test, sv.sgd_weights(train, "vec_id", N, steps=SGD_STEPS), ["vec_id", "label"])
+    return scored.withColumn("probability", F.round("probability", 6))
 
 
 def _price_features(spark: SparkSession, d: str) -> DataFrame:
@@ -218,3 +220,29 @@ QUERIES = {
     "learning_curve": _curve,
     "saved_model_submission": _saved,
 }
+
+
+def _sgd_sql() -> str:
+    """Every minibatch step of every bag, one after the other."""
+    steps = "".join(f""",
+        z{n} AS MATERIALIZED (SELECT m.vec_id, m.bag, m.y - 1 / (1 + exp(-sum(c.v * w.w))) AS missed
+                FROM members m JOIN cells c USING (vec_id) JOIN w{n} w ON w.bag = m.bag AND w.pos = c.pos
+                WHERE m.batch = {n} GROUP BY m.vec_id, m.bag, m.y),
+        w{n + 1} AS MATERIALIZED (SELECT w.bag, w.pos, w.w + 0.5 * coalesce(g.g, 0) AS w FROM w{n} w LEFT JOIN (
+                SELECT z.bag, c.pos, avg(z.missed * c.v) AS g FROM z{n} z JOIN cells c USING (vec_id) GROUP BY 1, 2) g
+                ON g.bag = w.bag AND g.pos = w.pos)""" for n in range(SGD_STEPS))
+    return t.with_tables("cells", f"""
+        , halves AS (SELECT vec_id, CAST(label >= 5 AS INT) AS y, {t.uniform_sql(7, "vec_id")} <= 0.7 AS train FROM embeddings),
+        members AS MATERIALIZED (
+            SELECT vec_id, y, bag, CAST(floor({t.uniform_sql(7, "vec_id", "'batch'")} * {SGD_STEPS}) AS INT) AS batch
+            FROM halves, range(5) AS b(bag) WHERE train AND {t.uniform_sql(7, "vec_id", "bag")} < 0.6),
+        w0 AS (SELECT bag, pos, 0.0 AS w FROM range(5) AS b(bag), range(1, {N + 1}) AS p(pos)){steps},
+        scores AS (SELECT h.vec_id, h.y, w.bag, 1 / (1 + exp(-sum(c.v * w.w))) AS p
+                   FROM halves h JOIN cells c USING (vec_id) JOIN w{SGD_STEPS} w USING (pos) WHERE NOT h.train GROUP BY 1, 2, 3)
+        SELECT vec_id, y AS label, round(avg(p), 6) AS probability, CAST(avg(p) > 0.5 AS DOUBLE) AS prediction
+        FROM scores GROUP BY vec_id, y""")
+
+
+ORACLES = {
+    "sgd_ensemble": _sgd_sql(),
+}

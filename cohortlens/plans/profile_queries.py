@@ -126,6 +126,13 @@ def _knn(spark: SparkSession, d: str) -> DataFrame:
     return supervised.knn_vote(rows.where(~test), rows.where(test), "vec_id", 5)
 
 
+def _routed(spark: SparkSession, d: str) -> DataFrame:
+    """Both outputs of a split, each tagged with where it went."""
+    training, testing = sampling.route(t.table(spark, d, "lineitem").select("l_orderkey", "l_linenumber"), "l_orderkey")
+    return (training.withColumn("output", F.lit("training"))
+            .unionByName(testing.withColumn("output", F.lit("testing"))))
+
+
 def _strings(spark: SparkSession, d: str) -> DataFrame:
     c, o = t.table(spark, d, "customer"), t.table(spark, d, "orders")
     text = F.concat((F.floor(F.col("o_orderkey") / 1000)).cast("string"), F.lit(","),
@@ -216,6 +223,7 @@ QUERIES = {
     "scalar_math": _math,
     "scalar_arrays": _arrays,
     "random_split": lambda s, d: sampling.random_split(t.table(s, d, "orders").select("o_orderkey"), "o_orderkey", [0.2, 0.8]),
+    "routed": _routed,
     "bernoulli_bags": lambda s, d: sampling.bernoulli_bags(
         t.table(s, d, "orders").select("o_orderkey"), "o_orderkey", 5, 0.6),
     "bootstrap_bags": lambda s, d: sampling.bootstrap_bags(
@@ -357,6 +365,20 @@ ORACLES = {
         won AS (SELECT vec_id, vote, row_number() OVER (PARTITION BY vec_id ORDER BY n DESC, vote) AS r FROM votes)
         SELECT w.vec_id, CAST(e.label AS DOUBLE) AS label, CAST(w.vote AS DOUBLE) AS prediction
         FROM won w JOIN embeddings e ON w.vec_id = e.vec_id WHERE r = 1"""),
+    "random_split": f"""
+        SELECT o_orderkey, CAST({t.uniform_sql(7, "o_orderkey")} > 0.2 AS INT) AS part FROM orders""",
+    "routed": f"""
+        SELECT l_orderkey, l_linenumber, CASE WHEN {t.uniform_sql(7, "l_orderkey")} <= 0.2 THEN 'testing' ELSE 'training' END AS output
+        FROM lineitem""",
+    "bernoulli_bags": f"""
+        SELECT o_orderkey, CAST(bag AS INT) AS bag FROM orders, range(5) AS b(bag)
+        WHERE {t.uniform_sql(7, "o_orderkey", "bag")} < 0.6""",
+    "bootstrap_bags": f"""
+        WITH draws AS (SELECT o_orderkey, bag, {t.uniform_sql(7, "o_orderkey", "bag")} AS u FROM orders, range(5) AS b(bag)),
+        steps AS (SELECT n, sum(exp(-0.6) * pow(0.6, n) / factorial(CAST(n AS INT))) OVER (ORDER BY n) AS below
+                  FROM range(20) AS r(n))
+        SELECT o_orderkey, CAST(bag AS INT) AS bag, CAST(count(*) AS INT) AS times
+        FROM draws JOIN steps ON below <= u GROUP BY o_orderkey, bag""",
     "scalar_strings": """
         SELECT o_orderkey, lower(trim(c_mktsegment)) AS lowered, substr(c_name, 1, 4) AS head,
                starts_with(c_name, 'Cust') AS is_customer, contains(c_name, '99') AS has_99,

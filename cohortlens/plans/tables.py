@@ -262,6 +262,12 @@ NEEDS = {
 }
 
 
+def uniform_sql(seed: int, *keys: str) -> str:
+    """The draw of ``functions.columns.uniform`` in SQL; keys are SQL expressions."""
+    name = " || ':' || ".join([f"'{seed}'", *[f"CAST({k} AS VARCHAR)" for k in keys]])
+    return f"(CAST('0x' || substr(md5({name}), 1, 13) AS BIGINT) / 4503599627370496.0)"
+
+
 def with_tables(names: str, body: str) -> str:
     """``body`` behind the WITH list of the named inputs and all they need."""
     order: list[str] = []

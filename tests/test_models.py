@@ -173,17 +173,21 @@ def test_bootstrap_counts_have_no_ceiling(spark):
     assert abs(np.mean(counts) - 20) < 0.5 and max(counts) > 30
 
 
-def test_sgd_equals_the_sequential_pass_in_one_task(spark):
-    df, x, label = points(spark, 60)
-    found = sv.sgd_weights(df.coalesce(1).sortWithinPartitions("id"), "id", 5, bags=1, share=1.1, eta=0.1, mu=0.01, shards=1)
-    w = np.zeros(5)
-    for row, y in zip(x, label):
-        w += 0.1 * ((y - 1 / (1 + np.exp(-w @ row))) * row - 2 * 0.01 * w)
-    assert np.allclose(found.first()["weights"], w)
-    many = sv.sgd_weights(df.repartition(4), "id", 5, bags=3, eta=0.1)
-    layouts = [sv.sgd_weights(df.repartition(n), "id", 5, bags=3, eta=0.1).orderBy("bag").collect() for n in (2, 7)]
-    assert layouts[0] == layouts[1]
-    assert accuracy(sv.sgd_scores(df, many, ["id", "label"])) > 0.7
+def test_sgd_equals_a_loop_over_minibatches(spark):
+    df, x, label = points(spark, 90)
+    draws = df.select("id", F.floor(uniform(7, "id", F.lit("batch")) * 6).alias("batch"),
+                      F.array(*[uniform(7, "id", F.lit(b)) < 0.6 for b in range(3)]).alias("on")).orderBy("id").collect()
+    batch, on = np.asarray([r["batch"] for r in draws]), np.asarray([r["on"] for r in draws])
+    w = np.zeros((3, 5))
+    for step in range(12):
+        for b in range(3):
+            rows = (batch == step % 6) & on[:, b]
+            p = 1 / (1 + np.exp(-x[rows] @ w[b]))
+            w[b] += 0.3 * ((label[rows] - p) @ x[rows] / max(rows.sum(), 1) - 2 * 0.01 * w[b])
+    for layout in (2, 40):
+        found = sv.sgd_weights(df.repartition(layout), "id", 5, bags=3, eta=0.3, mu=0.01, steps=6, passes=2).orderBy("bag").collect()
+        assert np.allclose([r["weights"] for r in found], w, rtol=1e-10, atol=1e-12)
+    assert accuracy(sv.sgd_scores(df, sv.sgd_weights(df, "id", 5, passes=3), ["id", "label"])) > 0.7
 
 
 def test_validation_tables(spark):
