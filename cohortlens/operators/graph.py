@@ -26,12 +26,13 @@ def latest_records(records: DataFrame, keys: Sequence[str], date: str,
 
 
 def code_vertices(records: DataFrame, patients: DataFrame) -> DataFrame:
-    """(id, kind, key) of the codes, numbered after the largest patient id.
+    """(id, kind, key) of the codes, numbered after the largest patient id of both inputs.
 
     ``records`` has ``kind`` and ``code``; kinds follow each other in
     ``CODE_KINDS`` order, codes in code order, so id ranges never collide.
     """
-    start = patients.agg(F.max("patient_id")).first()[0] or 0
+    ids = patients.select("patient_id").unionByName(records.select("patient_id"))
+    start = ids.agg(F.max("patient_id")).first()[0] or 0
     place = F.array_position(F.array(*[F.lit(k) for k in CODE_KINDS]), F.col("kind"))
     distinct = records.select("kind", "code").distinct().withColumn("place", place.cast("int"))
     numbered = with_row_number(distinct, ["place", "code"], "n")
@@ -39,7 +40,8 @@ def code_vertices(records: DataFrame, patients: DataFrame) -> DataFrame:
 
 
 def graph_vertices(records: DataFrame, patients: DataFrame) -> DataFrame:
-    people = patients.select(F.col("patient_id").alias("id"), F.lit("patient").alias("kind"),
+    ids = patients.select("patient_id").unionByName(records.select("patient_id"))
+    people = ids.where(F.col("patient_id").isNotNull()).select(F.col("patient_id").alias("id"), F.lit("patient").alias("kind"),
                              F.col("patient_id").cast("string").alias("key")).distinct()
     return people.unionByName(code_vertices(records, patients))
 

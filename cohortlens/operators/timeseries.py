@@ -12,9 +12,7 @@ from collections.abc import Iterator, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
-BUY, SELL, HOLD = "BUY", "SELL", "DO NOTHING"
-# Pairs (action, last action) that end the current position.
-FLIPS = ("BUYSELL", "SELLBUY", "BUYDO NOTHING", "SELLDO NOTHING")
+from cohortlens.operators.thinning import BUY, FLIPS, HOLD, SELL, thin_signals
 
 
 def by_symbol(key: str = "symbol", date: str = "trade_date") -> WindowSpec:
@@ -50,18 +48,20 @@ def _folded(values: Column, fade: Column) -> Column:
 
 
 def ema(prices: DataFrame, spans: Sequence[int], block: int = 64) -> DataFrame:
-    """Adjusted exponential moving averages ``ema_<span>``, null for span-2 rows.
+    """Adjusted exponential moving averages ``ema_<span>``, null for span-2 rows; span 1 is the price.
 
     A symbol's rows are cut into blocks. The decayed sum at a row is that of its
     block so far plus what the blocks before it carry on; carries fade below
-    1e-20 after a number of blocks that the span fixes.
+    1e-20 after a number of blocks that the span fixes. Blocks stay so short
+    that no inverse power leaves the range of a double.
     """
     w = by_symbol()
+    keep = {s: 1 - 2 / (s + 1) for s in spans if s > 1}
+    block = min([block, *(int(200 / -math.log(r)) for r in keep.values())])
     placed = (prices.select("symbol", "trade_date", "price")
               .withColumn("__n", F.row_number().over(w) - 1)
               .withColumn("__block", F.floor(F.col("__n") / block)).withColumn("__at", F.col("__n") % block))
     inside = Window.partitionBy("symbol", "__block").orderBy("__at").rowsBetween(Window.unboundedPreceding, 0)
-    keep = {s: 1 - 2 / (s + 1) for s in spans}
     out = placed
     for s, r in keep.items():
         scaled = F.sum(F.col("price") * F.pow(F.lit(r), -F.col("__at"))).over(inside)
@@ -69,12 +69,16 @@ def ema(prices: DataFrame, spans: Sequence[int], block: int = 64) -> DataFrame:
     ends = placed.groupBy("symbol", "__block").agg(*[
         F.sum(F.col("price") * F.pow(F.lit(r), F.lit(block - 1) - F.col("__at"))).alias(f"__total_{s}") for s, r in keep.items()])
     for s, r in keep.items():
-        reach = max(1, math.ceil(46 / (block * -math.log(r)))) if r > 0 else 1
+        reach = max(1, math.ceil(46 / (block * -math.log(r))))
         earlier = F.collect_list(f"__total_{s}").over(Window.partitionBy("symbol").orderBy("__block").rowsBetween(-reach, -1))
         fade = F.lit(r ** block)
         ends = ends.withColumn(f"__carry_{s}", _folded(earlier, fade))
-    out = out.join(ends.select("symbol", "__block", *[f"__carry_{s}" for s in spans]), ["symbol", "__block"])
-    for s, r in keep.items():
+    out = out.join(ends.select("symbol", "__block", *[f"__carry_{s}" for s in keep]), ["symbol", "__block"])
+    for s in spans:
+        if s not in keep:
+            out = out.withColumn(f"ema_{s}", F.col("price").cast("double"))
+            continue
+        r = keep[s]
         weight = (1 - F.pow(F.lit(r), F.col("__n") + 1)) / (1 - r)
         total = F.col(f"__sum_{s}") + F.pow(F.lit(r), F.col("__at") + 1) * F.col(f"__carry_{s}")
         out = out.withColumn(f"ema_{s}", F.when(F.col("__n") + 1 >= s - 1, total / weight))
@@ -85,31 +89,6 @@ def action(score: Column, buy_at: float = 0.01, sell_at: float = -0.01) -> Colum
     return F.when(score >= buy_at, BUY).when(score <= sell_at, SELL).otherwise(HOLD)
 
 
-def thin_signals(signals: DataFrame, hold: int = 10) -> DataFrame:
-    """Keep a symbol's first row, then each flip at least ``hold`` rows apart.
-
-    From row ``hold`` on a row is kept when its action with the last kept one is
-    in ``FLIPS``; the scan then jumps ``hold`` rows.
-    """
-    day = F.struct(F.col("trade_date"), F.col("action"))
-    bags = signals.groupBy("symbol").agg(F.sort_array(F.collect_list(day)).alias("days"))
-    first = F.element_at("days", 1)
-    seed = F.struct(F.lit(0).alias("at"), F.lit(hold).alias("next"),
-                    first["action"].alias("last"), F.array(first).alias("kept"))
-
-    def step(state: Column, today: Column) -> Column:
-        flip = (state["at"] >= state["next"]) & F.concat(today["action"], state["last"]).isin(*FLIPS)
-        return F.struct(
-            (state["at"] + 1).alias("at"),
-            F.when(flip, state["at"] + hold).otherwise(state["next"]).alias("next"),
-            F.when(flip, today["action"]).otherwise(state["last"]).alias("last"),
-            F.when(flip, F.concat(state["kept"], F.array(today))).otherwise(state["kept"]).alias("kept"))
-
-    kept = F.aggregate("days", seed, step, lambda s: s["kept"])
-    return (bags.select("symbol", F.explode(kept).alias("d"))
-            .select("symbol", "d.trade_date", "d.action"))
-
-
 def order_shares(thinned: DataFrame, lot: int = 500) -> DataFrame:
     """Share moves between held positions: BUY holds +lot, anything else -lot."""
     w = by_symbol()

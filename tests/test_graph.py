@@ -57,6 +57,17 @@ def test_pairs_of_equal_patients_are_complete(spark):
     assert found == {(1, 2), (1, 3), (1, 4), (2, 3), (2, 4), (3, 4)}
 
 
+def test_code_ids_follow_the_patients_of_both_inputs(spark):
+    patients = spark.createDataFrame([(1,), (2,)], "patient_id long")
+    kind, day = graph.CODE_KINDS[0], dt.date(2020, 1, 1)
+    records = spark.createDataFrame([(1, kind, "a", day, 1.0), (3, kind, "a", day, 2.0)],
+                                    "patient_id long, kind string, code string, date date, value double")
+    vertices = {(r["id"], r["kind"], r["key"]) for r in graph.graph_vertices(records, patients).collect()}
+    assert vertices == {(1, "patient", "1"), (2, "patient", "2"), (3, "patient", "3"), (4, kind, "a")}
+    edges = {(r["src"], r["dst"]) for r in graph.graph_edges(records, patients).collect()}
+    assert edges == {(1, 4), (4, 1), (3, 4), (4, 3)}
+
+
 def test_threshold_is_checked(spark):
     with pytest.raises(ValueError):
         graph.jaccard_pairs(pairs_frame(spark, {1: {"a"}}), 0)

@@ -88,6 +88,33 @@ def test_thinning_matches_loop(spark, seed):
     assert [(r["trade_date"] - start).days for r in kept] == thin_by_hand(actions)
 
 
+@pytest.mark.parametrize("block, fan, hold", [(7, 3, 10), (5, 2, 1), (64, 1024, 3)])
+def test_thinning_over_blocks_matches_loop(spark, block, fan, hold):
+    rng, start, rows = random.Random(block), dt.date(2000, 1, 1), []
+    want = set()
+    for symbol, days in (("A", 250), ("B", 1), ("C", 40)):
+        actions = rng.choices(["BUY", "SELL", "DO NOTHING"], [1, 1, 3], k=days)
+        rows += [(symbol, start + dt.timedelta(i), a) for i, a in enumerate(actions)]
+        want |= {(symbol, start + dt.timedelta(i), actions[i]) for i in thin_by_hand(actions, hold)}
+    df = spark.createDataFrame(rows, "symbol string, trade_date date, action string").repartition(5)
+    found = [tuple(r) for r in ts.thin_signals(df, hold, block, fan).collect()]
+    assert len(found) == len(want) and set(found) == want
+    assert ts.thin_signals(df.limit(0), hold).count() == 0
+
+
+def test_unknown_actions_never_flip(spark):
+    start = dt.date(2000, 1, 1)
+    df = spark.createDataFrame([("S", start + dt.timedelta(i), a) for i, a in enumerate([None, "BUY", "SELL"])],
+                               "symbol string, trade_date date, action string")
+    assert [r["action"] for r in ts.thin_signals(df, 1).collect()] == [None]
+
+
+def test_ema_of_one_day_is_the_price(spark):
+    found = ts.ema(series(spark, [10, 12, 11, 14]), [1, 2], block=500)
+    assert ordered(found, "ema_1") == [10.0, 12.0, 11.0, 14.0]
+    assert all(v is not None and v == v for v in ordered(found, "ema_2"))
+
+
 def test_orders_move_and_close(spark):
     start = dt.date(2000, 1, 1)
     kept = spark.createDataFrame([("S", start, "BUY"), ("S", start + dt.timedelta(10), "SELL")],
