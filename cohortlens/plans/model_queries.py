@@ -5,13 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlens.operators import (
-    clustering, evaluation, ordering, profile, sampling, supervised as sv, timeseries as ts, transforms)
+    clustering, evaluation, kernels, ordering, profile, sampling, supervised as sv, timeseries as ts, transforms)
 from cohortlens.plans import tables as t
 from cohortlens.sources import models, svmlight
 from cohortlens.session import staging_path
 
 N = 64
 SGD_STEPS = 20
+DEGREES = (2, 3, 4, 5)
+COSTS = tuple(10.0 ** e for e in range(-3, 4))
+#: Scale of the dot products in polynomial kernels of the embeddings.
+GAMMA = 1.0
+SKETCH_WIDTH = 512
 
 
 def _rows(spark: SparkSession, d: str) -> DataFrame:
@@ -106,6 +111,25 @@ def _kernel(kind: str):
     return run
 
 
+def _polynomial_sweep(spark: SparkSession, d: str) -> DataFrame:
+    return kernels.polynomial_svc_sweep(*_halves(spark, d), "vec_id", N, DEGREES, COSTS, SKETCH_WIDTH, GAMMA)
+
+
+def _sketch_errors(spark: SparkSession, d: str) -> DataFrame:
+    """Per degree: pairs of neighbouring ids, their mean kernel, and whether eight of nine estimates lie in three spreads."""
+    rows = _rows(spark, d)
+    pairs = (rows.select("vec_id", F.col("features").alias("x"))
+             .join(rows.select((F.col("vec_id") - 1).alias("vec_id"), F.col("features").alias("y")), "vec_id"))
+    out = None
+    for degree in DEGREES:
+        found = kernels.estimates(pairs, kernels.TensorSketch(degree, N, SKETCH_WIDTH, GAMMA))
+        close = F.abs(F.col("estimate") - F.col("kernel")) <= 3 * F.col("spread")
+        row = found.agg(F.count(F.lit(1)).alias("pairs"), F.round(F.avg("kernel"), 6).alias("mean_kernel"),
+                        (F.avg(close.cast("int")) >= 8 / 9).alias("within")).select(F.lit(degree).alias("degree"), "*")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 def _one_vs_rest(spark: SparkSession, d: str) -> DataFrame:
     rows = sv.with_vector(_rows(spark, d).withColumn("label", F.col("label") % 3))
     tagged = sampling.random_split(rows, "vec_id", [0.7, 0.3])
@@ -203,6 +227,8 @@ QUERIES = {
     "linear_svc": _classify(lambda: sv.linear_svm(maxIter=20)),
     "kernel_svc": _kernel("radial"),
     "polynomial_svc": _kernel("polynomial"),
+    "polynomial_svc_sweep": _polynomial_sweep,
+    "polynomial_sketch_errors": _sketch_errors,
     "one_vs_rest_svc": _one_vs_rest,
     "decision_tree": _classify(sv.decision_tree),
     "decision_tree_mixed": lambda s, d: sv.fit_predict(sv.decision_tree(), *_mixed_halves(s, d), "row_id"),
@@ -244,5 +270,10 @@ def _sgd_sql() -> str:
 
 
 ORACLES = {
+    "polynomial_sketch_errors": t.with_tables("cells", f"""
+        , dots AS (SELECT a.vec_id, {GAMMA} * sum(a.v * b.v) + 1 AS dot FROM cells a JOIN cells b
+                   ON b.vec_id = a.vec_id + 1 AND a.pos = b.pos GROUP BY a.vec_id)
+        SELECT CAST(degree AS INT) AS degree, count(*) AS pairs, round(avg(pow(dot, degree)), 6) AS mean_kernel, true AS within
+        FROM dots, range({DEGREES[0]}, {DEGREES[-1] + 1}) AS r(degree) GROUP BY degree"""),
     "sgd_ensemble": _sgd_sql(),
 }

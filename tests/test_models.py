@@ -4,7 +4,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from cohortlens.functions.columns import uniform
-from cohortlens.operators import clustering, evaluation, neighbours, passes, supervised as sv, transforms
+from cohortlens.operators import clustering, evaluation, kernels, neighbours, passes, supervised as sv, transforms
 from cohortlens.operators.neighbours import nearest
 from cohortlens.plans import tables, workloads
 from cohortlens.session import checkpointed, shared_dir
@@ -190,6 +190,32 @@ def test_sgd_equals_a_loop_over_minibatches(spark):
     assert accuracy(sv.sgd_scores(df, sv.sgd_weights(df, "id", 5, passes=3), ["id", "label"])) > 0.7
 
 
+@pytest.mark.parametrize("degree", [2, 3, 4, 5])
+def test_tensor_sketch_estimates_the_kernel(degree):
+    rng = np.random.default_rng(degree)
+    x, y = (rng.normal(size=(300, 8)) / 3 for _ in range(2))
+    means = []
+    for width in (256, 4096):
+        found = [kernels.TensorSketch(degree, 8, width, 0.7, 1.3, seed) for seed in range(30)]
+        errors = np.asarray([(s.features(x) * s.features(y)).sum(axis=1) - s.kernel(x, y) for s in found])
+        assert (np.abs(errors) <= 3 * found[0].spread(x, y)).mean() >= 8 / 9
+        assert (errors ** 2).mean() <= (found[0].spread(x, y) ** 2).mean()
+        means.append(np.abs(errors).mean())
+    assert means[1] < 0.4 * means[0]  # sixteen times the width, a quarter of the error
+
+
+def test_polynomial_sweep_separates_rings(spark):
+    rng = np.random.default_rng(1)
+    angle, ring = rng.uniform(0, 2 * np.pi, 240), rng.integers(0, 2, 240)
+    x = np.c_[np.cos(angle), np.sin(angle)] * (0.5 + ring)[:, None]
+    df = sv.with_vector(spark.createDataFrame([(i, [float(v) for v in x[i]], int(ring[i])) for i in range(240)],
+                                              "id long, features array<double>, label int"))
+    found = kernels.polynomial_svc_sweep(df.where("id % 3 > 0"), df.where("id % 3 = 0"), "id", 2, [2, 3], [0.001, 100.0], 64)
+    errors = {(r["degree"], r["cost"]): (r["errors"], r["rows"]) for r in found.collect()}
+    assert set(errors) == {(2, 0.001), (2, 100.0), (3, 0.001), (3, 100.0)}
+    assert errors[(2, 100.0)][0] <= 4 and all(rows == 80 for _, rows in errors.values())
+
+
 def test_validation_tables(spark):
     df = sv.with_vector(points(spark)[0])
     score = lambda train, test: sv.fit_predict(sv.logistic_regression(maxIter=5), train, test, "id")
