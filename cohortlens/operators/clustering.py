@@ -153,6 +153,52 @@ def power_iteration(pairs: DataFrame, k: int = 3, max_rounds: int = 100, src: st
     return pic.assignClusters(pairs.select(src, dst, weight))
 
 
+def power_iteration_sets(members: DataFrame, similar: DataFrame, k: int = 3, max_rounds: int = 100,
+                         tolerance: float = 1e-5, seed: int = 0) -> DataFrame:
+    """(id, cluster, rounds, converged) from distinct code sets, as ``graph.jaccard_sets`` gives them.
+
+    Power iteration on the graph of patients, of which equal ones are never
+    spelled out: they have equal values in every round, so a set stands for its
+    ``n`` members, is linked to itself with weight n - 1, and counts n times in
+    sums. The start is the degree; the rounds end when the change of the
+    vector changes by less than ``tolerance`` per patient. Patients without a
+    link are in no cluster.
+    """
+    sizes = members.groupBy("set_id").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    ends = F.explode(F.array(F.struct(F.col("patient_a").alias("src"), F.col("patient_b").alias("dst")),
+                             F.struct(F.col("patient_b").alias("src"), F.col("patient_a").alias("dst"))))
+    between = similar.select(ends.alias("e"), "similarity").select("e.src", "e.dst", "similarity")
+    own = sizes.where("n > 1").select(F.col("set_id").alias("src"), F.col("set_id").alias("dst"),
+                                      ((F.col("n") - 1) / F.col("n")).alias("similarity"))
+    weighted = (between.unionByName(own).join(sizes.withColumnRenamed("set_id", "dst"), "dst")
+                .select("src", "dst", (F.col("similarity") * F.col("n")).alias("w")))
+    links = checkpointed(weighted)
+    degree = links.groupBy("src").agg(F.sum("w").alias("degree"))
+    sets = checkpointed(degree.join(sizes.withColumnRenamed("set_id", "src"), "src").select(F.col("src").alias("set_id"), "degree", "n"))
+    total = sets.agg(F.sum(F.col("degree") * F.col("n"))).first()[0]
+    if not total:
+        return members.select(F.col("patient_id").alias("id"), F.lit(0).alias("cluster"), F.lit(0).alias("rounds"),
+                              F.lit(True).alias("converged")).limit(0)
+    state = sets.withColumn("v", F.col("degree") / total)
+    change, done, rounds = None, False, 0
+    while rounds < max_rounds and not done:
+        rounds += 1
+        sent = state.select(F.col("set_id").alias("dst"), "v")
+        received = links.join(sent, "dst").groupBy(F.col("src").alias("set_id")).agg(F.sum(F.col("w") * F.col("v")).alias("got"))
+        state = checkpointed(state.withColumnRenamed("v", "old").join(received, "set_id")
+                             .select("set_id", "degree", "n", "old", (F.col("got") / F.col("degree")).alias("v")))
+        size = state.agg(F.sum(F.col("n") * F.col("v")).alias("s")).first()[0]
+        moved, patients = state.agg(F.sum(F.col("n") * F.abs(F.col("v") / size - F.col("old"))), F.sum("n")).first()
+        done = change is not None and abs(change - moved) < max(tolerance / patients, 1e-8)
+        change = moved
+        state = state.select("set_id", "degree", "n", (F.col("v") / size).alias("v"))
+    vectors = state.withColumn("features", F.array(F.col("v") * patients))
+    model = KMeans(k=k, seed=seed, weightCol="n", featuresCol="vector").fit(vectors.withColumn("vector", array_to_vector("features")))
+    found = model.transform(vectors.withColumn("vector", array_to_vector("features"))).select("set_id", F.col("prediction").alias("cluster"))
+    return (members.join(found, "set_id").select(F.col("patient_id").alias("id"), "cluster", F.lit(rounds).alias("rounds"),
+                                                 F.lit(done).alias("converged")))
+
+
 def cluster_reduced(spaces: Mapping[str, DataFrame], ks: Sequence[int], label: str,
                     mixture_spaces: Mapping[str, int] | None = None, seed: int = 0) -> DataFrame:
     """Purity of k-means on each reduced space, and of a mixture where asked."""

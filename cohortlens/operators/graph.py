@@ -10,6 +10,8 @@ from cohortlens.operators.ordering import with_row_number
 from cohortlens.session import checkpointed
 
 CODE_KINDS = ("diagnostic", "lab", "medication")
+#: Prefix rows of one code and band that one task joins.
+HEAVY_ROWS = 20_000
 EDGES_PER_SPLIT = 1_000_000
 ROUNDS_PER_CHECKPOINT = 5
 SIGNATURE_WORDS = 4
@@ -112,7 +114,7 @@ def _signature_word(word: int) -> Column:
     return F.aggregate("tokens", F.lit(0).cast("bigint"), put)
 
 
-def similar_sets(distinct: DataFrame, min_similarity: float) -> DataFrame:
+def similar_sets(distinct: DataFrame, min_similarity: float, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """All pairs of distinct sets with Jaccard similarity >= ``min_similarity`` > 0.
 
     Exact prefix-filtered join. Two sets of sizes a and b reaching similarity t
@@ -124,6 +126,10 @@ def similar_sets(distinct: DataFrame, min_similarity: float) -> DataFrame:
     Bounds leave few pairs to intersect: the bits in which the signatures
     differ, and the number of shared prefix codes plus what can still follow
     the last of them outside one of the prefixes.
+
+    A code in more than ``heavy_rows`` prefixes of a band is met in a grid: its
+    rows are cut by the hash of their set into blocks of about that size, and
+    each cell of the grid joins one block of either side.
     """
     if not 0 < min_similarity <= 1:
         raise ValueError("min_similarity must lie in (0, 1]")
@@ -161,7 +167,18 @@ def similar_sets(distinct: DataFrame, min_similarity: float) -> DataFrame:
     needed = overlap_needed(a, b)
     differing = sum((F.bit_count(F.col(f"a_w{w}").bitwiseXOR(F.col(f"b_w{w}"))) for w in words), F.lit(0))
     possible = (a + b - differing) / 2 >= needed
-    met = (probe.join(index, ["token", "band"]).where(smaller & (b >= F.lit(t) * a - 1e-9) & possible)
+    group = ["token", "band"]
+    heavy = checkpointed(index.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / heavy_rows).cast("int").alias("blocks"))
+                         .where("blocks > 1"))
+
+    def in_grid(rows: DataFrame, own: str, own_id: str, other: str) -> DataFrame:
+        blocks = F.coalesce("blocks", F.lit(1))
+        return (rows.join(heavy, group, "left")
+                .withColumn(own, F.pmod(F.xxhash64(own_id), blocks).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), blocks - 1))).drop("blocks"))
+
+    cells = in_grid(probe, "a_block", "a_id", "b_block").join(in_grid(index, "b_block", "b_id", "a_block"), [*group, "a_block", "b_block"])
+    met = (cells.where(smaller & (b >= F.lit(t) * a - 1e-9) & possible)
            .groupBy("a_id", "b_id")
            .agg(F.count(F.lit(1)).alias("n_met"), F.max(a).alias("a_size"), F.max(b).alias("b_size"),
                 F.max(F.greatest("a_rest", "b_rest")).alias("rest"),
@@ -182,7 +199,7 @@ def similar_sets(distinct: DataFrame, min_similarity: float) -> DataFrame:
                     shared.alias("n_shared"), similarity.alias("similarity")))
 
 
-def jaccard_sets(pairs: DataFrame, min_similarity: float) -> tuple[DataFrame, DataFrame]:
+def jaccard_sets(pairs: DataFrame, min_similarity: float, heavy_rows: int = HEAVY_ROWS) -> tuple[DataFrame, DataFrame]:
     """Members (set_id, patient_id) of each distinct code set, and the similar pairs of sets.
 
     The compact form of ``jaccard_pairs``: a set is named by its smallest
@@ -192,16 +209,16 @@ def jaccard_sets(pairs: DataFrame, min_similarity: float) -> tuple[DataFrame, Da
     distinct = checkpointed(distinct_sets(sets))
     members = checkpointed(sets.join(distinct.select("tokens", "set_id"), "tokens")
                            .select("set_id", "patient_id", F.size("tokens").alias("size")))
-    return members, similar_sets(distinct, min_similarity)
+    return members, similar_sets(distinct, min_similarity, heavy_rows)
 
 
-def jaccard_pairs(pairs: DataFrame, min_similarity: float) -> DataFrame:
+def jaccard_pairs(pairs: DataFrame, min_similarity: float, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """All patient pairs (a < b) with similarity >= ``min_similarity``; none is left out.
 
     A pair absent from the result is below the threshold. The result grows with
     the square of a group of equal patients; ``jaccard_sets`` does not.
     """
-    members, similar = jaccard_sets(pairs, min_similarity)
+    members, similar = jaccard_sets(pairs, min_similarity, heavy_rows)
     one = members.select(F.col("set_id").alias("patient_a"), F.col("patient_id").alias("one"), "size")
     two = members.select(F.col("set_id").alias("patient_b"), F.col("patient_id").alias("two"))
     ends = (F.least("one", "two").alias("patient_a"), F.greatest("one", "two").alias("patient_b"))

@@ -44,8 +44,7 @@ def _ranked(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _pic(spark: SparkSession, d: str) -> DataFrame:
-    found = graph.jaccard_pairs(t.patient_parts(spark, d), SIMILAR)
-    return clustering.power_iteration(found, k=3, max_rounds=10)
+    return clustering.power_iteration_sets(*graph.jaccard_sets(t.patient_parts(spark, d), SIMILAR), k=3)
 
 
 QUERIES = {

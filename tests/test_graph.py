@@ -39,7 +39,8 @@ def test_pairs_match_brute_force(spark, threshold):
         sets[p] = frozenset(base | set(rng.sample(codes, rng.choice([1, 2, 3, 6, 12, 25]))))
     for p in range(120, 150):                            # a group of equal sets, and its neighbours
         sets[p] = frozenset({"hot", "c1"})
-    found = graph.jaccard_pairs(pairs_frame(spark, sets), threshold).collect()
+    # a code on a third of the patients is met in a grid of blocks
+    found = graph.jaccard_pairs(pairs_frame(spark, sets), threshold, heavy_rows=1 + int(threshold * 60)).collect()
     assert len({(r[0], r[1]) for r in found}) == len(found)
     want = {}
     for a, b in itertools.combinations(sorted(sets), 2):
@@ -68,6 +69,27 @@ def test_code_ids_follow_the_patients_of_both_inputs(spark):
     assert edges == {(1, 4), (4, 1), (3, 4), (4, 3)}
 
 
+def test_power_iteration_on_sets_equals_the_spelled_out_graph(spark):
+    rng, sets = random.Random(3), {}
+    for p in range(90):
+        base = [f"{p % 3}{i}" for i in range(6)]
+        sets[p] = frozenset(rng.sample(base, 5 if p % 3 else 4) + (["shared"] if p % 7 == 0 else []))
+    pairs = pairs_frame(spark, {**sets, 99: {"alone"}})
+    found = clustering.power_iteration_sets(*graph.jaccard_sets(pairs, 0.3), k=3).collect()
+    assert {r["id"] for r in found} == set(sets) and found[0]["converged"] and found[0]["rounds"] <= 100
+    # the same rounds over all pairs of patients, in a plain loop
+    import numpy as np
+    a = np.asarray([[len(sets[p] & sets[q]) / len(sets[p] | sets[q]) if p != q else 0.0 for q in sets] for p in sets])
+    a[a < 0.3] = 0
+    v = a.sum(axis=1) / a.sum()
+    for _ in range(found[0]["rounds"]):
+        v = a @ v / a.sum(axis=1)
+        v /= v.sum()
+    group = {r["id"]: r["cluster"] for r in found}
+    spans = sorted((min(v[p] for p in group if group[p] == c), max(v[p] for p in group if group[p] == c)) for c in set(group.values()))
+    assert len(spans) == 3 and all(x[1] < y[0] + 1e-12 for x, y in zip(spans, spans[1:]))
+
+
 def test_threshold_is_checked(spark):
     with pytest.raises(ValueError):
         graph.jaccard_pairs(pairs_frame(spark, {1: {"a"}}), 0)
