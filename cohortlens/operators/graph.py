@@ -279,6 +279,67 @@ def random_walk(edges: DataFrame, source: int, steps: int = 100, restart: float
     return ranks.select("id", "rank")
 
 
+def push_walk(edges: DataFrame, source: int, steps: int = 100, restart: float = 0.15,
+              tolerance: float = 1e-6, vertices: DataFrame | None = None,
+              edges_per_split: int = EDGES_PER_SPLIT) -> DataFrame:
+    """(id, rank, residual) of the walk of ``random_walk``, by pushing residuals.
+
+    All mass starts as residual of ``source``. In a round every vertex whose
+    residual exceeds ``tolerance / 2`` per edge of the graph times its degree
+    keeps the share ``restart`` as rank and sends the rest along its edges; the
+    others wait, so a round costs the edges of its senders only. Waiting mass is
+    at most ``tolerance / 2`` in all. Rounds end once all residuals together are
+    within ``tolerance`` (looked at every ``ROUNDS_PER_CHECKPOINT`` rounds), or
+    after ``steps + 1``. No rank exceeds that of ``steps`` full rounds, and all
+    ranks together fall short of it by at most ``tolerance``.
+
+    Repeated edges count as often as they occur; a null end drops the edge. A
+    vertex without edges out keeps its share, the rest of its residual is gone;
+    a source in no edge and not in ``vertices`` gives zeros.
+    """
+    ends = checkpointed(edges.select("src", "dst").dropna())
+    degree = ends.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
+    links = (ends.join(degree, "src")
+             .withColumn("piece", F.pmod(F.xxhash64("dst"), F.ceil(F.col("degree") / edges_per_split)).cast("int"))
+             .select("src", "piece", "dst"))
+    links = links.repartition("src", "piece").persist()
+    per_edge = tolerance / 2 / max(ends.count(), 1)
+
+    known = ends.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
+    if vertices is not None:
+        known = known.unionByName(vertices.select("id")).distinct()
+    state = checkpointed(known.join(degree.withColumnRenamed("src", "id"), "id", "left").select(
+        "id", F.coalesce("degree", F.lit(0)).alias("degree"), F.lit(0.0).alias("rank"),
+        F.when(F.col("id") == source, 1.0).otherwise(0.0).alias("residual")))
+    held: list[DataFrame] = []
+    sends = F.col("residual") > per_edge * F.col("degree")
+    for step in range(1, steps + 2):
+        pieces = F.ceil(F.col("degree") / edges_per_split).cast("int")
+        sent = (state.where(sends & (F.col("degree") > 0))
+                .select(F.col("id").alias("src"), ((1.0 - restart) * F.col("residual") / F.col("degree")).alias("sent"),
+                        F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece")))
+        kept = state.select("id", "degree", (F.col("rank") + F.when(sends, restart * F.col("residual")).otherwise(0.0)).alias("rank"),
+                            F.when(sends, 0.0).otherwise(F.col("residual")).alias("residual"))
+        received = links.join(sent, ["src", "piece"]).select(
+            F.col("dst").alias("id"), F.lit(None).cast("bigint").alias("degree"), F.lit(0.0).alias("rank"), F.col("sent").alias("residual"))
+        # what is kept and what arrives meet in one aggregate; arriving mass is summed before the shuffle
+        state = kept.unionByName(received).groupBy("id").agg(
+            F.max("degree").alias("degree"), F.sum("rank").alias("rank"), F.sum("residual").alias("residual"))
+        if step % ROUNDS_PER_CHECKPOINT == 0 or step == steps + 1:
+            state = checkpointed(state)
+            for old in held:
+                old.unpersist()
+            held = []
+            if (state.agg(F.sum("residual")).first()[0] or 0.0) <= tolerance:
+                break
+        else:
+            # read twice by the next round, so kept; the checkpoint bounds its lineage
+            state = state.persist()
+            held.append(state)
+    links.unpersist()
+    return state.select("id", "rank", "residual")
+
+
 def ranked_patients(ranks: DataFrame, patients: DataFrame, source: int) -> DataFrame:
     """Patients other than ``source`` by rank descending, then id."""
     people = patients.select(F.col("patient_id").alias("id")).distinct()

@@ -10,6 +10,8 @@ from cohortlens.plans.tables import with_tables
 
 # three shared parts out of two sets of forty
 SIMILAR = 0.03
+#: Largest sum by which pushed ranks may fall short of a hundred full rounds.
+TOLERANCE = 1e-4
 
 
 def _source(spark: SparkSession, d: str) -> int:
@@ -39,8 +41,10 @@ def _walk(spark: SparkSession, d: str, steps: int = 3) -> DataFrame:
 
 def _ranked(spark: SparkSession, d: str) -> DataFrame:
     source = _source(spark, d)
-    ranks = graph.random_walk(_edges(spark, d), source, 10)
-    return graph.ranked_patients(ranks, t.patients(spark, d), source)
+    ranks = graph.push_walk(_edges(spark, d), source, tolerance=TOLERANCE)
+    ranked = graph.ranked_patients(ranks.withColumn("rank", F.round("rank", 12)), t.patients(spark, d), source)
+    # the SQL works out the full rounds and holds the shortfall against the tolerance
+    return ranked.withColumn("score", F.round("score", 10)).withColumn("within", F.lit(True))
 
 
 def _pic(spark: SparkSession, d: str) -> DataFrame:
@@ -67,7 +71,43 @@ _STEP = """
                    JOIN degrees d ON e.src = d.src JOIN r{p} r ON e.src = r.id GROUP BY e.dst) m
                  ON r.id = m.dst)"""
 
+def _push_sql(steps: int = 100) -> str:
+    """The pushes round by round, beside the full rounds they are held against."""
+    pushes, full = "", ""
+    for n in range(steps + 1):
+        looked = n - n % graph.ROUNDS_PER_CHECKPOINT
+        pushes += f""",
+        s{n + 1} AS MATERIALIZED (
+            SELECT s.id, s.degree, s.rank + CASE WHEN s.sends THEN 0.15::DOUBLE * s.residual ELSE 0 END AS rank,
+                   CASE WHEN s.sends THEN 0 ELSE s.residual END + coalesce(m.got, 0) AS residual
+            FROM (SELECT *, residual > (SELECT per_edge FROM setting) * degree AND (SELECT sum(residual) FROM s{looked}) > {TOLERANCE}::DOUBLE AS sends
+                  FROM s{n}) s LEFT JOIN (
+                SELECT e.dst, sum(0.85::DOUBLE * x.residual / x.degree) AS got FROM pairs e JOIN s{n} x ON e.src = x.id
+                WHERE x.residual > (SELECT per_edge FROM setting) * x.degree AND (SELECT sum(residual) FROM s{looked}) > {TOLERANCE}::DOUBLE GROUP BY e.dst) m
+            ON s.id = m.dst)"""
+        if n:
+            full += f""",
+        f{n} AS MATERIALIZED (
+            SELECT f.id, f.degree, CASE WHEN f.id = (SELECT src FROM source) THEN 0.15::DOUBLE ELSE 0 END + 0.85::DOUBLE * m.got AS rank
+            FROM f{n - 1} f JOIN (SELECT e.dst, sum(x.rank / x.degree) AS got FROM pairs e JOIN f{n - 1} x ON e.src = x.id GROUP BY e.dst) m
+            ON f.id = m.dst)"""
+    return with_tables("edges patient_codes", f"""
+        , source AS (SELECT min(patient_id) AS src FROM patient_codes),
+        pairs AS MATERIALIZED (SELECT src, dst FROM edges),
+        setting AS (SELECT {TOLERANCE}::DOUBLE / 2 / count(*) AS per_edge FROM pairs),
+        s0 AS MATERIALIZED (SELECT src AS id, count(*) AS degree, 0.0::DOUBLE AS rank,
+                                   CASE WHEN src = (SELECT src FROM source) THEN 1.0::DOUBLE ELSE 0 END AS residual FROM pairs GROUP BY src),
+        f0 AS MATERIALIZED (SELECT id, degree, 0.15::DOUBLE * residual AS rank FROM s0){pushes}{full},
+        short AS (SELECT min(f.rank - s.rank) >= -1e-12 AND sum(f.rank - s.rank) <= {TOLERANCE}::DOUBLE AS within
+                  FROM s{steps + 1} s JOIN f{steps} f USING (id)),
+        ranked AS (SELECT id, round(rank, 12) AS score FROM s{steps + 1} JOIN customer ON id = c_custkey
+                   WHERE id <> (SELECT src FROM source))
+        SELECT id AS patient_id, round(score, 10) AS score, row_number() OVER (ORDER BY score DESC, id) AS rank, within
+        FROM ranked, short""")
+
+
 ORACLES = {
+    "random_walk_ranked": _push_sql(),
     "latest_record_per_code": with_tables("latest", "SELECT * FROM latest"),
     "graph_vertices": with_tables("code_ids", """
         SELECT id, kind, code AS key FROM code_ids

@@ -159,6 +159,30 @@ def test_walk_matches_by_hand(spark, split):
     assert found.keys() == want.keys() and all(abs(found[n] - want[n]) < 1e-12 for n in want)
 
 
+@pytest.mark.parametrize("split, tolerance", [(1, 1e-1), (1_000_000, 1e-3)])
+def test_push_walk_is_within_its_tolerance(spark, split, tolerance):
+    # 1 - 2 is listed twice, 4 has no way out, 5 no way in, 20 is a hub
+    edges = [(1, 2), (1, 2), (2, 1), (2, 3), (3, 2), (3, 4), (5, 1), *[(i, 20) for i in (1, 2, 3)], *[(20, i) for i in (1, 2, 3, 4)]]
+    frame = spark.createDataFrame([*edges, (None, 1), (1, None)], "src long, dst long")
+    rows = graph.push_walk(frame, 1, tolerance=tolerance, edges_per_split=split).collect()
+    want = walk_by_hand(edges, 1, 100)
+    short = {r["id"]: want[r["id"]] - r["rank"] for r in rows}
+    assert short.keys() == want.keys() and min(short.values()) > -1e-12
+    assert sum(short.values()) <= tolerance and sum(r["residual"] for r in rows) <= tolerance
+
+
+def test_push_walk_of_few_steps_and_odd_sources(spark):
+    edges = [(1, 10), (10, 1), (1, 11), (11, 1), (2, 11), (11, 2)]
+    frame = spark.createDataFrame(edges, "src long, dst long")
+    found = {r["id"]: r["rank"] for r in graph.push_walk(frame, 1, steps=6, tolerance=1e-15).collect()}
+    want = walk_by_hand(edges, 1, 6)
+    assert found.keys() == want.keys() and all(abs(found[n] - want[n]) < 1e-12 for n in want)
+    assert {r["rank"] for r in graph.push_walk(frame, 99, tolerance=1e-3).collect()} == {0.0}
+    alone = graph.push_walk(frame, 99, tolerance=1e-3, vertices=spark.range(99, 100)).where("id = 99").collect()
+    assert [r["rank"] for r in alone] == [0.15]
+    assert graph.push_walk(frame.limit(0), 1).count() == 0
+
+
 def test_walk_mass(spark):
     edges = graph.graph_edges(records(spark), people(spark))
     ranks = graph.random_walk(edges, 1, 6)
