@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from cohortlens.operators.ordering import ROWS_PER_BUCKET, first_n, fold_of, with_running_sums
 from cohortlens.session import checkpointed
@@ -55,36 +55,52 @@ def roc_area(df: DataFrame, score: str = "score", label: str = "label",
     return points.agg(F.try_divide(F.sum(step), (F.sum("pos") * F.sum("neg")).cast("double")).alias("auc"))
 
 
-def multiclass_auc(df: DataFrame, prediction: str, label: str) -> DataFrame:
+def multiclass_auc(df: DataFrame, prediction: str, label: str,
+                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
     """Mean over class pairs of the rank AUC of predicted positions.
 
-    Per pair the direction follows the class medians. Works on the counts per
-    (class, position); each count row goes to the pairs its class belongs to.
+    Per pair the direction follows the class medians. Rows become counts of
+    each class per distinct prediction, in one global order over ranges; the
+    running counts give both the medians, as order statistics of each class,
+    and the wins of every class over every other one, an array per class that is
+    added up before any shuffle. So predictions may be continuous, and one of
+    them may hold most rows. The classes are columns here: their number is
+    taken to be far below that of rows. Rows without a prediction or a label do
+    not count; fewer than two classes give null.
     """
-    counts = df.groupBy(F.col(label).alias("c"), F.col(prediction).cast("double").alias("p")).agg(
-        F.count(F.lit(1)).alias("n"))
-    counts = checkpointed(counts)
-    classes = counts.select(F.col("c").alias("o")).distinct()
-    # the result is a mean over pairs of classes, so each class meets each other one
-    sides = (counts.join(classes, F.col("c") != F.col("o"))
-             .select(F.least("c", "o").alias("class_a"), F.greatest("c", "o").alias("class_b"), "p",
-                     F.when(F.col("c") < F.col("o"), F.col("n")).otherwise(0).alias("na"),
-                     F.when(F.col("c") > F.col("o"), F.col("n")).otherwise(0).alias("nb")))
-    pair = ["class_a", "class_b"]
-    steps = sides.groupBy(*pair, "p").agg(F.sum("na").alias("na"), F.sum("nb").alias("nb"))
-    upto = F.sum("na").over(Window.partitionBy(*pair).orderBy("p"))
-    won = (steps.withColumn("won", F.col("nb") * (upto - F.col("na") / 2.0)).groupBy(*pair)
-           .agg((F.sum("won") / (F.sum("na") * F.sum("nb"))).alias("auc"),
-                F.expr("percentile(p, 0.5, na)").alias("ma"), F.expr("percentile(p, 0.5, nb)").alias("mb")))
-    return won.agg(F.avg(F.when(F.col("ma") > F.col("mb"), 1 - F.col("auc"))
-                         .otherwise(F.col("auc"))).alias("auc"))
+    position = F.col(prediction).cast("double")
+    rows = df.select(F.col(label).alias("c"), position.alias("p")).dropna()
+    pairs = checkpointed(rows.groupBy("c", "p").agg(F.count(F.lit(1)).alias("n")))
+    sizes = {r["c"]: r["n"] for r in pairs.groupBy("c").agg(F.sum("n").alias("n")).orderBy("c").collect()}
+    if len(sizes) < 2:
+        return df.sparkSession.createDataFrame([(None,)], "auc double")
+    k = range(len(sizes))
+    counts = pairs.groupBy("p").agg(*[
+        F.sum(F.when(F.col("c") == F.lit(c), F.col("n")).otherwise(0)).alias(f"n{i}") for i, c in enumerate(sizes)])
+    running = with_running_sums(counts, ["p"], {f"upto{i}": F.col(f"n{i}") for i in k}, rows_per_bucket)
+
+    def middle(i: int, size: int) -> Column:
+        """The mean of the one or two middle predictions of a class."""
+        at = lambda place: F.max(F.when((F.col(f"upto{i}") > place) & (F.col(f"upto{i}") - F.col(f"n{i}") <= place), F.col("p")))
+        return (at((size - 1) // 2) + at(size // 2)) / 2
+
+    medians = running.agg(*[middle(i, size).alias(f"m{i}") for i, size in enumerate(sizes.values())]).first()
+    # a row of class b beats the rows of class a below it, and half of those beside it
+    below = F.array(*[(F.col(f"upto{i}") - F.col(f"n{i}") / 2.0) for i in k])
+    held = F.explode(F.filter(F.array(*[F.struct(F.lit(i).alias("b"), F.col(f"n{i}").alias("nb")) for i in k]), lambda x: x["nb"] > 0))
+    wins = running.select(below.alias("below"), held.alias("x")).select("x.b", "x.nb", F.posexplode("below").alias("a", "below"))
+    won = wins.where("a < b").groupBy("a", "b").agg(F.sum(F.col("nb") * F.col("below")).alias("won"))
+    size = F.array(*[F.lit(float(n)) for n in sizes.values()])
+    median = F.array(*[F.lit(float(medians[f"m{i}"])) for i in k])
+    auc = F.col("won") / F.get(size, F.col("a")) / F.get(size, F.col("b"))
+    return won.agg(F.avg(F.when(F.get(median, F.col("a")) > F.get(median, F.col("b")), 1 - auc).otherwise(auc)).alias("auc"))
 
 
 # --- validation -----------------------------------------------------------
 
 def k_fold(df: DataFrame, key: str, score: Scorer, k: int = 5) -> DataFrame:
     """Accuracy and AUC per contiguous fold; ``score(train, test)`` gives predictions."""
-    folds = fold_of(df, key, k).persist()
+    folds = checkpointed(fold_of(df, key, k))
     out = _stack((i, score(folds.where(F.col("fold") != i), folds.where(F.col("fold") == i)))
                  for i in range(k))
     return binary_metrics(out, by=["run"]).select("run", "accuracy", "auc")
@@ -152,6 +168,6 @@ def feature_ablation(features: Sequence[str], train: DataFrame, test: DataFrame,
 def learning_curve(sizes: Sequence[int], train: DataFrame, test: DataFrame, key: str,
                    fit: Callable[[object, DataFrame], Callable[[DataFrame], DataFrame]]) -> DataFrame:
     """Fit on the first n rows of one fixed order for every size."""
-    ordered = first_n(train, key, max(sizes)).persist()
+    ordered = checkpointed(first_n(train, key, max(sizes)))
     return parameter_sweep(list(sizes), train, test,
                            lambda n, _: fit(n, ordered.where(F.col("position") <= n)))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cohortlens.functions.columns import percent_text
-from cohortlens.operators.ordering import ROWS_PER_BUCKET, with_running_sums
+from cohortlens.operators.ordering import with_running_sums
+
+#: Bins of one histogram of an open interval.
+BINS = 1024
 
 
 # --- clusters against classes ---------------------------------------------
@@ -71,40 +75,66 @@ def stack(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = (),
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probabilities: Mapping[str, float],
-              rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Exact interpolated (type 7) quantiles per column.
-
-    Value counts and their running sums locate the order statistics, so no task
-    holds a whole column.
+              bins: int = BINS) -> DataFrame:
+    """Exact interpolated (type 7) quantiles per column, as (column, name, value).
+
+    The order statistics behind a quantile are closed in on by histograms: a
+    pass counts the values of every open interval in ``bins`` bins of equal
+    width, the bin that holds the wanted place becomes the next interval, from
+    its least to its greatest value, until both are the same. The ends of an
+    interval fall into different bins, so each pass narrows it. Only bins are
+    shuffled and reach the driver, at most columns x statistics x ``bins`` rows,
+    never the values.
+    A column without values has no row. NaN is above every number, as in Spark's
+    order; an infinity beside numbers is set apart by its own bin.
     """
-    counts = stack(df, columns).groupBy("column", "value").agg(F.count(F.lit(1)).alias("n"))
-    running = with_running_sums(counts, ["column", "value"], {"upto": F.col("n")}, rows_per_bucket)
-    sizes = counts.groupBy("column").agg(F.sum("n").alias("total"))
-    # one row per column: the running total of the columns before it
-    start = sizes.withColumn("start", F.coalesce(F.sum("total").over(
-        Window.orderBy("column").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    wanted = F.explode(F.array(*[F.struct(F.lit(n).alias("name"), F.lit(float(p)).alias("p"))
-                                 for n, p in probabilities.items()])).alias("w")
-    targets = (start.select("column", "start", "total", wanted)
-               .withColumn("h", (F.col("total") - 1) * F.col("w.p")))
-    # one row per column and probability, so the broadcast is bounded by the request
-    placed = (running.join(F.broadcast(targets), "column")
-              .withColumn("hi", F.col("upto") - F.col("start"))
-              .withColumn("lo", F.col("hi") - F.col("n")))
-    floor = F.floor("h")
-    ceil = F.least(floor + 1, F.col("total") - 1)
-    at = lambda k: F.max(F.when((F.col("lo") <= k) & (k < F.col("hi")), F.col("value")))
-    picked = placed.groupBy("column", F.col("w.name").alias("name"), "h").agg(
-        at(floor).alias("low"), at(ceil).alias("high"))
-    return picked.select("column", "name", (F.col("low") + (F.col("h") - F.floor("h"))
-                                            * (F.col("high") - F.col("low"))).alias("value"))
-
-
-def column_summary(df: DataFrame, columns: Sequence[str],
-                   rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    cells = stack(df, columns)
+    ends = cells.groupBy("column").agg(F.count(F.lit(1)).alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")).collect()
+    places = {r["column"]: {name: float(p) * (r["n"] - 1) for name, p in probabilities.items()} for r in ends}
+    # (column, place) -> (lowest, highest, rows of the column below the interval)
+    open_ = {(r["column"], at): (r["lo"], r["hi"], 0) for r in ends
+             for h in places[r["column"]].values() for at in (math.floor(h), math.ceil(h))}
+    found: dict[tuple[str, int], float] = {}
+    while True:
+        for key, (lo, hi, _) in list(open_.items()):
+            if lo == hi or (lo != lo and hi != hi):
+                found[key] = lo
+                del open_[key]
+        if not open_:
+            break
+        # statistics that share an interval share its histogram
+        asked = sorted({(column, lo, hi) for (column, _), (lo, hi, _) in open_.items()}, key=str)
+        intervals = df.sparkSession.createDataFrame(asked, "column string, lo double, hi double")
+        lo, hi, v = F.col("lo"), F.col("hi"), F.col("value")
+        share = F.try_divide(v / bins - lo / bins, hi / bins - lo / bins)
+        # the ends have bins of their own, so an infinite or NaN end leaves the others in the middle
+        place = F.when(v == lo, -1).when(v == hi, bins).otherwise(
+            F.when(share.isNull() | F.isnan(share), bins // 2).otherwise(F.least(F.lit(bins - 1), F.greatest(F.lit(0), F.floor(share * bins)))))
+        # one row per column and open statistic, so the broadcast is bounded by the request
+        counted = (cells.join(F.broadcast(intervals), "column").where(v.between(lo, hi))
+                   .groupBy("column", "lo", "hi", place.cast("int").alias("bin"))
+                   .agg(F.count(F.lit(1)).alias("n"), F.min(v).alias("least"), F.max(v).alias("greatest")))
+        histograms: dict[tuple, list] = {}
+        for r in sorted(counted.collect(), key=lambda r: r["bin"]):
+            histograms.setdefault((r["column"], str(r["lo"]), str(r["hi"])), []).append(r)
+        for (column, at), (low, high, below) in list(open_.items()):
+            for r in histograms[(column, str(low), str(high))]:
+                if at < below + r["n"]:
+                    open_[(column, at)] = (r["least"], r["greatest"], below)
+                    break
+                below += r["n"]
+    rows = []
+    for column, names in places.items():
+        for name, h in names.items():
+            low, high = found[(column, math.floor(h))], found[(column, math.ceil(h))]
+            rows.append((column, name, low if low == high else low + (h - math.floor(h)) * (high - low)))
+    return df.sparkSession.createDataFrame(rows, "column string, name string, value double")
+
+
+def column_summary(df: DataFrame, columns: Sequence[str], bins: int = BINS) -> DataFrame:
     """Quartiles, mean, sample deviation and Pearson kurtosis per column."""
     names = {"minimum": 0.0, "q1": 0.25, "median": 0.5, "q3": 0.75, "maximum": 1.0}
-    points = (quantiles(df, columns, names, rows_per_bucket)
+    points = (quantiles(df, columns, names, bins)
               .groupBy("column").pivot("name", list(names)).agg(F.first("value")))
     moments = stack(df, columns).groupBy("column").agg(
         F.avg("value").alias("mean"), F.stddev_samp("value").alias("sd"),

@@ -46,8 +46,8 @@ def test_folds_match_contiguous_rule(spark):
 def test_summary_matches_pandas(spark):
     rng = np.random.default_rng(0)
     data = pd.DataFrame({"a": rng.normal(size=301), "b": rng.integers(0, 9, 301).astype(float)})
-    for rows in (1_000_000, 20):
-        found = {r["column"]: r for r in profile.column_summary(spark.createDataFrame(data), ["a", "b"], rows).collect()}
+    for bins in (profile.BINS, 2):
+        found = {r["column"]: r for r in profile.column_summary(spark.createDataFrame(data), ["a", "b"], bins).collect()}
         for c in data:
             assert found[c]["q1"] == pytest.approx(data[c].quantile(0.25))
             assert found[c]["median"] == pytest.approx(data[c].median())
@@ -56,6 +56,29 @@ def test_summary_matches_pandas(spark):
             assert found[c]["kurtosis"] == pytest.approx((z ** 4).mean())
 
 
+def test_quantiles_of_odd_columns(spark):
+    tiny = 5e-324
+    data = {"wide": [-1e308, -1.0, 0.0, tiny, 1e-300, 1.0, 1e308], "tiny": [0.0, tiny, tiny, 2 * tiny, None, None, None],
+            "ends": [-math.inf, 1.0, 2.0, 3.0, 4.0, 5.0, math.inf], "hot": [7.0] * 5 + [8.0, None], "none": [None] * 7}
+    rows = list(zip(*data.values()))
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in data))
+    wanted = {"low": 0.0, "q": 1 / 3, "mid": 0.5, "top": 1.0}
+    found = {(r["column"], r["name"]): r["value"] for r in profile.quantiles(df, list(data), wanted, 4).collect()}
+    assert {c for c, _ in found} == set(data) - {"none"}
+    for c in set(data) - {"none"}:
+        values = sorted(v for v in data[c] if v is not None)
+        for name, p in wanted.items():
+            h = p * (len(values) - 1)
+            low, high = values[math.floor(h)], values[math.ceil(h)]
+            assert found[c, name] == (low if low == high else low + (h - math.floor(h)) * (high - low)), (c, name)
+    assert profile.quantiles(df.limit(0), ["wide"], wanted).count() == 0
+
+
+def test_quantiles_of_distinct_values(spark):
+    df = spark.range(20_000).select((F.col("id") * 0.37).alias("v"))
+    assert profile.quantiles(df, ["v"], {"median": 0.5}).first()["value"] == pytest.approx(19_999 * 0.37 / 2)
+
+
 def test_purity_bounds(spark):
     df = spark.createDataFrame([(0, 1), (0, 1), (0, 2), (1, 2)], "cluster int, label int")
     assert profile.purity(df, "cluster", "label").first()[0] == 0.75
@@ -92,6 +115,28 @@ def test_draws_repeat_and_hit_their_shares(spark):
     assert abs(mean - 0.6) < 0.02
 
 
+@pytest.mark.parametrize("size", [1_000_000, 30])
+def test_multiclass_auc_of_hot_and_continuous_scores(spark, size):
+    rng = random.Random(3)
+    # a third of all rows share one score; class d is a single row, class a lies above the others
+    rows = [(c, 0.25 if rng.random() < 0.33 else rng.random() + (c == "a") / 2) for c in rng.choices("abc", k=240)]
+    rows.append(("d", 0.25))
+    df = spark.createDataFrame([*rows, (None, 0.5), ("b", None)], "label string, score double")
+    of = {c: [s for l, s in rows if l == c] for c in "abcd"}
+    areas = []
+    for i, a in enumerate("abcd"):
+        for b in "abcd"[i + 1:]:
+            area = np.mean([(y > x) + 0.5 * (y == x) for x in of[a] for y in of[b]])
+            areas.append(1 - area if np.median(of[a]) > np.median(of[b]) else area)
+    assert evaluation.multiclass_auc(df, "score", "label", size).first()[0] == pytest.approx(np.mean(areas))
+
+
+def test_multiclass_auc_needs_two_classes(spark):
+    df = spark.createDataFrame([("a", 0.5), (None, 0.1)], "label string, score double")
+    assert evaluation.multiclass_auc(df, "score", "label").collect()[0][0] is None
+    assert evaluation.multiclass_auc(df.limit(0), "score", "label").collect()[0][0] is None
+
+
 def test_roc_against_ranks(spark):
     rng = random.Random(1)
     rows = [(rng.choice([0, 1]), round(rng.random(), 1)) for _ in range(200)]
