@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlens.operators import (
-    clustering, evaluation, kernels, ordering, profile, sampling, supervised as sv, timeseries as ts, transforms)
+    clustering, evaluation, kernels, ordering, profile, random_trees, sampling, supervised as sv, timeseries as ts, transforms)
 from cohortlens.plans import tables as t
 from cohortlens.sources import models, svmlight
 from cohortlens.session import staging_path
@@ -160,6 +160,11 @@ def _bagged(spark: SparkSession, d: str) -> DataFrame:
     return sv.bagged_trees(rows, rows, "day_key")
 
 
+def _random_split(spark: SparkSession, d: str) -> DataFrame:
+    rows = _price_features(spark, d)
+    return random_trees.random_split_trees(rows, rows, "day_key", trees=15, leaf_rows=50)
+
+
 def _logistic(train: DataFrame, test: DataFrame) -> DataFrame:
     return sv.fit_predict(sv.logistic_regression(maxIter=20), train, test, "vec_id")
 
@@ -239,6 +244,7 @@ QUERIES = {
     "mlp": _classify(lambda: sv.network(N, [8], maxIter=30)),
     "sgd_ensemble": _sgd,
     "bagged_trees": _bagged,
+    "random_split_trees": _random_split,
     "kfold_scores": lambda s, d: evaluation.k_fold(_all_rows(s, d), "vec_id", _logistic, 3),
     "holdout_cv": lambda s, d: evaluation.repeated_holdout(_all_rows(s, d), "vec_id", _logistic, 3),
     "param_sweep": _sweep,
