@@ -8,11 +8,13 @@ per code and day.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import array_to_vector
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, StructField, StructType
 
 from cohortlens.functions.columns import days_between, is_present
 from cohortlens.operators.ordering import with_row_number
@@ -152,8 +154,50 @@ def dense_rows(features: DataFrame, width: int, entity: str = "patient_id",
 
 def vector_rows(features: DataFrame, width: int, entity: str = "patient_id",
                 idx: str = "idx") -> DataFrame:
-    """One sparse ML vector of ``width`` per entity."""
-    dense = dense_rows(features, width, entity, idx).withColumn("__dense", array_to_vector("features"))
-    # the assembler keeps the smaller of the dense and the sparse form
-    packed = VectorAssembler(inputCols=["__dense"], outputCol="__vector").transform(dense)
-    return packed.select(entity, F.col("__vector").alias("features"))
+    """One sparse ML vector of ``width`` per entity; its size in memory follows its values, not the width.
+
+    The sorted ids and values of an entity become the vector's own arrays,
+    batch by batch, with no dense form in between. A null value is 0; ids that
+    are null count for nothing, an entity with no other gets an empty vector. An id
+    outside the width or twice in one entity fails.
+    """
+    at = F.col(idx).cast("bigint")
+    cell = F.when(at.isNotNull(), F.struct(at.alias("i"), F.coalesce(F.col("value").cast("double"), F.lit(0.0)).alias("v")))
+    cells = features.groupBy(entity).agg(F.sort_array(F.collect_list(cell)).alias("cells"))
+    ids = F.transform("cells", lambda c: c["i"])
+    outside = F.when(F.array_min(ids) < 0, F.array_min(ids)).when(F.array_max(ids) >= width, F.array_max(ids))
+    fault = F.when(outside.isNotNull(), F.concat(F.lit("feature id beyond the width: "), outside.cast("string"))).when(
+        F.size(F.array_distinct(ids)) < F.size(ids), F.lit("feature id twice in one entity"))
+    checked = F.when(fault.isNotNull(), F.raise_error(fault).cast("array<int>")).otherwise(ids.cast("array<int>"))
+    arrays = cells.select(entity, checked.alias("indices"), F.transform("cells", lambda c: c["v"]).alias("values"))
+    schema = StructType([arrays.schema[entity], StructField("features", VectorUDT())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = batch.num_rows
+            # the stored form of a sparse vector: kind 0, size, ids, values
+            vectors = pa.StructArray.from_arrays(
+                [pa.array(np.zeros(rows, np.int8)), pa.array(np.full(rows, width, np.int32)), batch.column("indices"), batch.column("values")],
+                names=["type", "size", "indices", "values"])
+            yield pa.RecordBatch.from_arrays([batch.column(entity), vectors], names=[entity, "features"])
+
+    return arrays.mapInArrow(run, schema)
+
+
+def vector_cells(rows: DataFrame, entity: str = "patient_id", column: str = "features") -> DataFrame:
+    """(entity, idx, value) of the values that a vector column stores; a dense vector stores all of its positions.
+
+    Reads the stored arrays as they are, so sparse vectors of any width stay small. Null vectors give no rows.
+    """
+    schema = StructType([rows.schema[entity], StructField("indices", ArrayType(IntegerType())), StructField("values", ArrayType(DoubleType()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            stored = batch.column(column)
+            yield pa.RecordBatch.from_arrays([batch.column(entity), *[stored.field(n) for n in ("indices", "values")]],
+                                             names=[entity, "indices", "values"])
+
+    stored = rows.where(F.col(column).isNotNull()).select(entity, column).mapInArrow(run, schema)
+    ids = F.coalesce("indices", F.sequence(F.lit(0), F.size("values") - 1))
+    cells = F.explode(F.arrays_zip(ids.alias("idx"), F.col("values").alias("value"))).alias("c")
+    return stored.where(F.size("values") > 0).select(entity, cells).select(entity, "c.idx", "c.value")

@@ -90,6 +90,12 @@ def _sparse(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("patient_id", F.round(F.aggregate("f", F.lit(0.0), lambda a, v: a + v), 6).alias("total"))
 
 
+def _positions(spark: SparkSession, d: str) -> DataFrame:
+    """Every value a patient's sparse vector stores, by its position."""
+    found = _scaled(spark, d)
+    return _rounded(features.vector_cells(features.vector_rows(found, _width(found))), "value")
+
+
 def _feature_tuples(spark: SparkSession, d: str) -> DataFrame:
     found = features.feature_tuples(t.diagnostics(spark, d), t.medications(spark, d), t.labs(spark, d))
     return _rounded(found, "value")
@@ -152,6 +158,7 @@ QUERIES = {
     "dead_events_semi": lambda s, d: cohort.dead_events(*_both(s, d)),
     "cohort_views": _cohort_views,
     "sparse_feature_rows": _sparse,
+    "sparse_vector_cells": _positions,
     "event_cohorts": lambda s, d: cohort.with_cohort(*_both(s, d)).groupBy("cohort", "patient_id").agg(
         F.count(F.lit(1)).alias("n_events")),
     "last_event": lambda s, d: cohort.last_event(t.clinical_events(s, d)),
@@ -208,6 +215,8 @@ ORACLES = {
         JOIN cohorts c ON e.patient_id = c.patient_id GROUP BY 1, 2"""),
     "sparse_feature_rows": with_tables("scaled", """
         SELECT patient_id, round(sum(value), 6) AS total FROM scaled GROUP BY patient_id"""),
+    "sparse_vector_cells": with_tables("scaled", """
+        SELECT patient_id, CAST(idx AS INT) AS idx, round(value, 9) AS value FROM scaled"""),
     "event_cohorts": with_tables("cohorts", """
         SELECT cohort, e.patient_id, count(*) AS n_events FROM clinical_events e
         JOIN cohorts c ON e.patient_id = c.patient_id GROUP BY 1, 2"""),

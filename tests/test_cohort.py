@@ -82,6 +82,31 @@ def test_dense_rows(spark):
     assert features.vector_rows(rows, 3).first()["features"].size == 3
 
 
+def test_vector_rows_store_ids_and_values(spark):
+    wide = 2_000_000_000
+    rows = spark.createDataFrame([(1, wide - 1, 5.0), (1, 0, 1.0), (2, 7, None), (3, None, 2.0), (4, 9, -1.0)],
+                                 "patient_id long, idx long, value double")
+    vectors = features.vector_rows(rows, wide)
+    found = {r[0]: r[1] for r in vectors.collect()}
+    assert {k: (v.size, list(v.indices), list(v.values)) for k, v in found.items()} == {
+        1: (wide, [0, wide - 1], [1.0, 5.0]), 2: (wide, [7], [0.0]), 3: (wide, [], []), 4: (wide, [9], [-1.0])}
+    cells = features.vector_cells(vectors).collect()
+    assert sorted(tuple(r) for r in cells) == [(1, 0, 1.0), (1, wide - 1, 5.0), (2, 7, 0.0), (4, 9, -1.0)]
+    assert features.vector_rows(rows.limit(0), 5).count() == 0
+    for bad in ([(1, 5, 1.0)], [(1, -1, 1.0)], [(1, -1, 1.0), (1, 2, 1.0)], [(1, 2, 1.0), (1, 2, 3.0)]):
+        with pytest.raises(Exception, match="feature id"):
+            features.vector_rows(spark.createDataFrame(bad, rows.schema), 5).collect()
+
+
+def test_vectors_feed_the_learners(spark):
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.stat import Summarizer
+    rows = spark.createDataFrame([(1, 2, 5.0), (2, 0, 1.0), (2, 1, 3.0)], "patient_id long, idx long, value double")
+    vectors = features.vector_rows(rows, 3)
+    assert {r[0]: r[1] for r in vectors.select("patient_id", vector_to_array("features")).collect()} == {1: [0.0, 0.0, 5.0], 2: [1.0, 3.0, 0.0]}
+    assert list(vectors.select(Summarizer.mean(F.col("features"))).first()[0]) == [0.5, 1.5, 2.5]
+
+
 def test_submission_keeps_ids(spark):
     scored = spark.createDataFrame([(7, 0.25)], "patient_id long, probability double")
     assert svmlight.submission(scored).collect() == [(7, 0.25)]
