@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
 from cohortlens.operators.thinning import BUY, FLIPS, HOLD, SELL, thin_signals
+from cohortlens.session import checkpointed
 
 
 def by_symbol(key: str = "symbol", date: str = "trade_date") -> WindowSpec:
@@ -120,12 +121,14 @@ def ledger(orders: DataFrame, prices: DataFrame, start_value: float = 1_000_000.
     """Cash, equity and total per account and day.
 
     ``orders`` has account, symbol, trade_date, side, shares. A day's orders net
-    per account and symbol before the running sums, so days bound each window.
+    per account and symbol before the running sums, so days bound each window;
+    these nets are stored, so orders and prices are read once each.
     """
-    net = (orders.groupBy("account", "symbol", "trade_date")
-           .agg(F.sum(signed(F.col("side"), F.col("shares"))).alias("shares")))
-    span = net.groupBy("account", "symbol").agg(F.min("trade_date").alias("first_day")).join(
-        net.groupBy("account").agg(F.max("trade_date").alias("last_day")), "account")
+    net = checkpointed(orders.groupBy("account", "symbol", "trade_date")
+                       .agg(F.sum(signed(F.col("side"), F.col("shares"))).alias("shares")))
+    # one row per account and symbol by now; an account's days end with its last order in any symbol
+    span = net.groupBy("account", "symbol").agg(F.min("trade_date").alias("first_day"), F.max("trade_date").alias("last")).select(
+        "account", "symbol", "first_day", F.max("last").over(Window.partitionBy("account")).alias("last_day"))
     held_days = (prices.join(span, "symbol")
                  .where(F.col("trade_date").between(F.col("first_day"), F.col("last_day")))
                  .select("account", "symbol", "trade_date", "price"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlens.operators import (
     clustering, evaluation, kernels, ordering, profile, random_trees, sampling, supervised as sv, timeseries as ts, transforms)
-from cohortlens.plans import tables as t
+from cohortlens.plans import tables as t, workloads
 from cohortlens.sources import models, svmlight
 from cohortlens.session import staging_path
 
@@ -161,7 +161,9 @@ def _bagged(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _random_split(spark: SparkSession, d: str) -> DataFrame:
-    rows = _price_features(spark, d)
+    """Trees on the symbols' price ratios and the market's RSI."""
+    found = workloads.price_features(t.prices(spark, d), t.MARKET).dropna()
+    rows = found.withColumn("features", F.array("r30", "r200", "rsi")).withColumn("day_key", F.concat_ws(":", "symbol", "trade_date"))
     return random_trees.random_split_trees(rows, rows, "day_key", trees=15, leaf_rows=50)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlens.operators import timeseries as ts
-from cohortlens.plans import tables as t
+from cohortlens.plans import tables as t, workloads
 from cohortlens.plans.tables import MARKET, with_tables
 from cohortlens.sources.prices import price_panel
 
@@ -50,7 +50,20 @@ def _ema_ratio(spark: SparkSession, d: str) -> DataFrame:
         F.try_divide("price", f"ema_{s}").alias(f"ratio_{s}") for s in SPANS]), 6, *[f"ratio_{s}" for s in SPANS])
 
 
+def _strategy(spark: SparkSession, d: str) -> DataFrame:
+    """The ten-day change as signal, every order booked, beside buy-and-hold."""
+    change = lambda prices: prices.select("symbol", "trade_date", ts.backward_change("price", 10, ts.by_symbol()).alias("score"))
+    found = workloads.trading_strategy(t.prices(spark, d), change, START, None)
+    return _round(found, 9, "strategy", "benchmark").select("symbol", "trade_date", "strategy", "benchmark")
+
+
+def _market_rsi(spark: SparkSession, d: str) -> DataFrame:
+    return _round(workloads.price_features(t.prices(spark, d), MARKET).select("symbol", "trade_date", "rsi"), 6, "rsi")
+
+
 QUERIES = {
+    "strategy_curves": _strategy,
+    "market_rsi_feature": _market_rsi,
     "price_panel": _panel,
     "calendar_days": _range,
     "roc_10_day": lambda s, d: _round(t.prices(s, d).select(
@@ -90,7 +103,31 @@ _DAYS = """
         , span AS (SELECT symbol, min(trade_date) AS first_day, max(trade_date) AS last_day
                    FROM order_list GROUP BY symbol)"""
 
+_BOOKED = _DAYS + """
+        , net AS (SELECT symbol, trade_date, sum(CASE side WHEN 'BUY' THEN shares WHEN 'SELL' THEN -shares
+                                                 ELSE 0 END) AS s FROM order_list GROUP BY 1, 2),
+        days AS (SELECT p.symbol, p.trade_date, p.price, coalesce(n.s, 0) AS s
+                 FROM prices p JOIN span USING (symbol) LEFT JOIN net n USING (symbol, trade_date)
+                 WHERE p.trade_date BETWEEN first_day AND last_day),
+        run AS (SELECT *, 100000 - sum(s * price) OVER w AS cash, price * sum(s) OVER w AS equity
+                FROM days WINDOW w AS (PARTITION BY symbol ORDER BY trade_date))"""
+
+_RSI = """
+        SELECT symbol, trade_date, round(CASE WHEN ix < 14 THEN NULL WHEN loss = 0 THEN 100
+                                              ELSE 100 - 100 / (1 + gain / loss) END, 6) AS rsi
+        FROM (SELECT symbol, trade_date, ix,
+                     sum(greatest(coalesce(move, 0), 0)) OVER w AS gain,
+                     sum(greatest(coalesce(-move, 0), 0)) OVER w AS loss
+              FROM (SELECT *, price - lag(price) OVER (PARTITION BY symbol ORDER BY ix) AS move FROM numbered)
+              WINDOW w AS (PARTITION BY symbol ORDER BY ix ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING))"""
+
 ORACLES = {
+    "strategy_curves": with_tables("order_list numbered prices", _BOOKED + """
+        , hold AS (SELECT symbol, trade_date, price * 500 + (100000 - 500 * first(price) OVER (PARTITION BY symbol ORDER BY ix)) AS held
+                   FROM numbered)
+        SELECT symbol, trade_date, round(round(cash + equity, 4) / first(round(cash + equity, 4)) OVER w, 9) AS strategy,
+               round(held / first(held) OVER w, 9) AS benchmark
+        FROM hold JOIN run USING (symbol, trade_date) WINDOW w AS (PARTITION BY symbol ORDER BY trade_date)"""),
     "price_panel": with_tables("prices", """
         SELECT trade_date, s.symbol, p.price
         FROM (SELECT trade_date FROM prices WHERE symbol = 'ALL'
@@ -110,14 +147,10 @@ ORACLES = {
         FROM numbered"""),
     "ema_30": _ema_sql(", ".join(f"round(e{s}, 6) AS ema_{s}" for s in SPANS)),
     "price_ema_ratio": _ema_sql(", ".join(f"round(price / e{s}, 6) AS ratio_{s}" for s in SPANS)),
-    "rsi_14": with_tables("numbered", """
-        SELECT symbol, trade_date, round(CASE WHEN ix < 14 THEN NULL WHEN loss = 0 THEN 100
-                                              ELSE 100 - 100 / (1 + gain / loss) END, 6) AS rsi
-        FROM (SELECT symbol, trade_date, ix,
-                     sum(greatest(coalesce(move, 0), 0)) OVER w AS gain,
-                     sum(greatest(coalesce(-move, 0), 0)) OVER w AS loss
-              FROM (SELECT *, price - lag(price) OVER (PARTITION BY symbol ORDER BY ix) AS move FROM numbered)
-              WINDOW w AS (PARTITION BY symbol ORDER BY ix ROWS BETWEEN 14 PRECEDING AND 1 PRECEDING))"""),
+    "rsi_14": with_tables("numbered", _RSI),
+    "market_rsi_feature": with_tables("numbered", f"""
+        SELECT n.symbol, n.trade_date, m.rsi FROM numbered n
+        LEFT JOIN ({_RSI}) m ON m.symbol = '{MARKET}' AND m.trade_date = n.trade_date"""),
     "thinned_signals": with_tables("thinned", "SELECT symbol, trade_date, action FROM thinned"),
     "order_shares": with_tables("moves", """
         SELECT symbol, trade_date, action, CAST(held AS INT) AS held, CAST(change AS INT) AS change,
@@ -125,14 +158,7 @@ ORACLES = {
     "order_list": with_tables("order_list", """
         SELECT symbol, trade_date, side, CAST(shares AS BIGINT) AS shares, CAST(seq AS INT) AS seq
         FROM order_list"""),
-    "ledger": with_tables("order_list prices", _DAYS + """
-        , net AS (SELECT symbol, trade_date, sum(CASE side WHEN 'BUY' THEN shares WHEN 'SELL' THEN -shares
-                                                 ELSE 0 END) AS s FROM order_list GROUP BY 1, 2),
-        days AS (SELECT p.symbol, p.trade_date, p.price, coalesce(n.s, 0) AS s
-                 FROM prices p JOIN span USING (symbol) LEFT JOIN net n USING (symbol, trade_date)
-                 WHERE p.trade_date BETWEEN first_day AND last_day),
-        run AS (SELECT *, 100000 - sum(s * price) OVER w AS cash, price * sum(s) OVER w AS equity
-                FROM days WINDOW w AS (PARTITION BY symbol ORDER BY trade_date))
+    "ledger": with_tables("order_list prices", _BOOKED + """
         SELECT symbol AS account, trade_date, round(cash, 3) AS cash, round(equity, 3) AS equity,
                round(cash + equity, 4) AS total_value FROM run"""),
     "ledger_leverage_cap": with_tables("order_list prices", _DAYS + """

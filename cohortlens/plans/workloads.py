@@ -66,37 +66,54 @@ def patient_similarity(records: DataFrame, patients: DataFrame, patient_id: int,
     return {
         "jaccard": graph.jaccard_one_vs_all(pairs, patient_id, patients),
         "pairs": similar,
-        "walk": graph.ranked_patients(graph.random_walk(edges, patient_id, steps), patients, patient_id),
+        "walk": graph.ranked_patients(graph.push_walk(edges, patient_id, steps), patients, patient_id),
         "clusters": clustering.power_iteration(similar, k),
     }
 
 
 def trading_strategy(prices: DataFrame, signal: Callable[[DataFrame], DataFrame] | None = None,
-                     start_value: float = 100_000.0, max_leverage: float = 3.0) -> DataFrame:
+                     start_value: float = 100_000.0, max_leverage: float | None = 3.0) -> DataFrame:
     """Signals to trades to an equity curve beside buy-and-hold, both rebased.
 
     ``signal`` maps prices to (symbol, trade_date, score); the default is the
-    prediction of bagged trees on price/EMA ratios and RSI.
+    prediction of bagged trees on price/EMA ratios and RSI. Without a
+    ``max_leverage`` every order is booked, by the plain ledger. Both curves
+    start at 1 on the symbol's first order.
     """
     scores = (signal or predicted_returns)(prices)
     actions = checkpointed(scores.select("symbol", "trade_date", ts.action(F.col("score")).alias("action")))
     calendar = prices.join(actions.select("symbol", "trade_date"), ["symbol", "trade_date"], "left_semi")
     orders = ts.order_list(ts.thin_signals(actions), calendar).withColumn("account", F.col("symbol"))
-    curve = (ts.capped_ledger(orders, calendar, start_value, max_leverage)
-             # the day's last order closes the day
-             .groupBy("account", "trade_date").agg(F.max_by("total_value", "seq").alias("strategy_value"))
-             .withColumnRenamed("account", "symbol"))
+    if max_leverage is None:
+        curve = ts.ledger(orders, calendar, start_value).select(
+            F.col("account").alias("symbol"), "trade_date", F.col("total_value").alias("strategy_value"))
+    else:
+        curve = (ts.capped_ledger(orders, calendar, start_value, max_leverage)
+                 # the day's last order closes the day
+                 .groupBy("account", "trade_date").agg(F.max_by("total_value", "seq").alias("strategy_value"))
+                 .withColumnRenamed("account", "symbol"))
     both = ts.buy_and_hold(calendar, start_value=start_value).join(curve, ["symbol", "trade_date"])
     return ts.rebase(ts.rebase(both, "strategy_value", "strategy"), "buy_hold_value", "benchmark")
 
 
-def predicted_returns(prices: DataFrame, trees: int = 15) -> DataFrame:
-    """(symbol, trade_date, score): ten-day returns predicted by bagged trees."""
-    found = ts.rsi(ts.ema(prices, [30, 200]))
-    rows = checkpointed(found.select(
-        "symbol", "trade_date", F.try_divide("price", "ema_30").alias("r30"),
-        F.try_divide("price", "ema_200").alias("r200"), "rsi",
-        ts.forward_return("price", 10, ts.by_symbol()).alias("target")))
+def price_features(prices: DataFrame, market: str | None = None) -> DataFrame:
+    """(symbol, trade_date, r30, r200, rsi, target): price over its averages, RSI, and the ten-day return ahead.
+
+    With ``market``, the RSI of that symbol on the same day stands for every
+    symbol; days on which it has none give null.
+    """
+    found = ts.ema(prices, [30, 200]).select(
+        "symbol", "trade_date", "price", F.try_divide("price", "ema_30").alias("r30"),
+        F.try_divide("price", "ema_200").alias("r200"), ts.forward_return("price", 10, ts.by_symbol()).alias("target"))
+    if market is None:
+        return ts.rsi(found).select("symbol", "trade_date", "r30", "r200", "rsi", "target")
+    index = ts.rsi(prices.where(F.col("symbol") == market)).select("trade_date", "rsi")
+    return found.join(index, "trade_date", "left").select("symbol", "trade_date", "r30", "r200", "rsi", "target")
+
+
+def predicted_returns(prices: DataFrame, trees: int = 15, market: str | None = None) -> DataFrame:
+    """(symbol, trade_date, score): ten-day returns predicted by bagged trees on ``price_features``."""
+    rows = checkpointed(price_features(prices, market))
     usable = supervised.with_vector(rows.dropna(subset=["r30", "r200", "rsi"]).withColumn(
         "features", F.array("r30", "r200", "rsi"))).withColumn("day_key", F.struct("symbol", "trade_date"))
     scored = supervised.bagged_trees(usable.where(F.col("target").isNotNull()), usable, "day_key", trees)

@@ -158,6 +158,18 @@ def test_plain_ledger(spark):
         (900.0, 100.0, 1000.0), (900.0, 110.0, 1010.0), (948.0, 72.0, 1020.0)]
 
 
+def test_plain_ledger_reads_its_inputs_once(spark, tmp_path):
+    days = [dt.date(2020, 1, 1) + dt.timedelta(n) for n in range(4)]
+    spark.createDataFrame([("A", "S", days[0], "BUY", 5), ("A", "T", days[2], "BUY", 1), ("A", "S", days[1], "SELL", 5)],
+                          "account string, symbol string, trade_date date, side string, shares long").write.parquet(str(tmp_path / "orders"))
+    spark.createDataFrame([(s, d, 2.0) for s in "ST" for d in days], "symbol string, trade_date date, price double").write.parquet(str(tmp_path / "prices"))
+    orders, prices = (spark.read.parquet(str(tmp_path / name)) for name in ("orders", "prices"))
+    found = ts.ledger(orders, prices, 100.0)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("parquet") == 1 and plan.count("LogicalRDD") == 2
+    assert [(r["cash"], r["equity"]) for r in found.orderBy("trade_date").collect()] == [(90.0, 10.0), (100.0, 0.0), (98.0, 2.0)]
+
+
 def test_panel_keeps_market_days_only(spark):
     market = series(spark, [1, 2, 3], "MKT")
     late = series(spark, [5, 6, 7, 8, 9], "X").where("trade_date <> date'2000-01-02'")
