@@ -149,7 +149,24 @@ def _lab_text(spark: SparkSession, d: str) -> DataFrame:
                  F.to_date(F.max("date")).alias("last_day")))
 
 
+def _medication_text(spark: SparkSession, d: str) -> DataFrame:
+    """Medication orders as they arrive in files: mixed case, ISO instants, some of them missing."""
+    at = F.when(F.col("l_linenumber") < 7, F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    raw = t.table(spark, d, "lineitem").select(
+        F.concat(F.lit("M"), F.col("l_suppkey").cast("string")).alias("member"), at.alias("at"),
+        F.concat(F.lit("Drug "), F.col("l_returnflag"), F.col("l_linestatus")).alias("medicine"))
+    parsed = phenotype.parse_medications(raw, "member", "at", "medicine")
+    return (parsed.groupBy("patient_id", "medicine")
+            .agg(F.count(F.lit(1)).alias("n"), F.count("date").alias("dated"), F.to_date(F.min("date")).alias("first_day")))
+
+
+def _phenotype_purity(spark: SparkSession, d: str) -> DataFrame:
+    return workloads.phenotype_purity(t.diagnostics(spark, d), t.medications(spark, d), t.labs(spark, d), t.RULES)
+
+
 QUERIES = {
+    "parsed_medications": _medication_text,
+    "phenotype_purity": _phenotype_purity,
     "cohort_event_count_stats": _stats(cohort.event_count_stats),
     "cohort_encounter_stats": _stats(cohort.encounter_stats),
     "cohort_record_length": _stats(cohort.record_length_stats),
@@ -194,6 +211,11 @@ _LINE = """
         FROM scaled GROUP BY patient_id"""
 
 ORACLES = {
+    "parsed_medications": """
+        SELECT 'm' || CAST(l_suppkey AS VARCHAR) AS patient_id, lower('Drug ' || l_returnflag || l_linestatus) AS medicine, count(*) AS n,
+               count(CASE WHEN l_linenumber <> 7 THEN 1 END) AS dated,
+               CAST(min(CASE WHEN l_linenumber <> 7 THEN l_shipdate END) AS DATE) AS first_day
+        FROM lineitem GROUP BY 1, 2""",
     "cohort_event_count_stats": _stats_sql("count(e.event_id)"),
     "cohort_encounter_stats": _stats_sql("count(DISTINCT e.etimestamp)"),
     "cohort_record_length": _stats_sql("date_diff('day', min(e.etimestamp), max(e.etimestamp))"),

@@ -243,6 +243,7 @@ QUERIES = {
     "adaboost": lambda s, d: sv.adaboost(*_halves(s, d), "vec_id", rounds=5),
     "adaboost_real": lambda s, d: sv.adaboost(*_halves(s, d), "vec_id", rounds=3, variant="real"),
     "adaboost_gentle": lambda s, d: sv.adaboost(*_halves(s, d), "vec_id", rounds=3, variant="gentle"),
+    "adaboost_m1": lambda s, d: sv.adaboost(*_halves(s, d), "vec_id", rounds=5, variant="m1"),
     "mlp": _classify(lambda: sv.network(N, [8], maxIter=30)),
     "sgd_ensemble": _sgd,
     "bagged_trees": _bagged,
