@@ -6,7 +6,7 @@ Predictions keep the row key: (key, label, prediction, probability of class 1).
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -75,6 +75,26 @@ def one_vs_rest(classifier) -> OneVsRest:
     return OneVsRest(classifier=classifier, featuresCol="vector")
 
 
+def nearest_mean(train: DataFrame, columns: Sequence[str], label: str = "label",
+                 pulls: Sequence[float] = ()) -> Callable[[DataFrame], DataFrame]:
+    """Predictor of the class whose mean over ``columns`` is nearest; ties go to the smallest label.
+
+    Only one row per class reaches the driver. ``pulls`` multiply the squared
+    distances to the classes in the order of their labels; missing ones are 1.
+    Null values and labels do not count in means; a row with a null value gets
+    a null prediction.
+    """
+    means = train.where(F.col(label).isNotNull()).groupBy(label).agg(*[F.avg(c).alias(c) for c in columns]).orderBy(label).collect()
+    if not means:
+        raise ValueError("no labelled row to learn from")
+    pulls = [*pulls, *[1.0] * (len(means) - len(pulls))]
+    far = F.array(*[pull * sum(((F.col(c) - F.lit(row[c])) * (F.col(c) - F.lit(row[c])) for c in columns), F.lit(0.0))
+                    for pull, row in zip(pulls, means)])
+    classes = F.array(*[F.lit(row[label]) for row in means])
+    nearest_class = F.get(classes, (F.array_position(far, F.array_min(far)) - 1).cast("int"))
+    return lambda df: df.withColumn("prediction", nearest_class)
+
+
 # --- kernels --------------------------------------------------------------
 
 def polynomial_features(df: DataFrame, degree: int) -> DataFrame:

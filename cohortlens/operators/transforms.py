@@ -12,7 +12,7 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, Vec
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cohortlens.functions.columns import indicators
+from cohortlens.functions.columns import indicators, uniform_of
 from cohortlens.operators.passes import mapped, matrix, moments, summed
 from cohortlens.session import checkpointed
 
@@ -133,9 +133,17 @@ def reconstruction_errors(df: DataFrame, projection: Projection, sizes: Sequence
         [(int(n), float(e)) for n, e in zip(sizes, errors)], "components int, error double")
 
 
+def normal_draws(seed: int, rows: int, columns: int) -> np.ndarray:
+    """Standard normal numbers that any engine can repeat: two MD5 draws of (row, column) each, as radius and angle."""
+    def draw(what: str) -> np.ndarray:
+        return np.array([[uniform_of(seed, what, i, j) for j in range(columns)] for i in range(rows)])
+
+    return np.sqrt(-2 * np.log(1 - draw("radius"))) * np.cos(2 * np.pi * draw("angle"))
+
+
 def random_projection(n_features: int, components: int, seed: int) -> Projection:
     """Seeded Gaussian projection, scaled to keep lengths on average."""
-    weights = np.random.default_rng(seed).normal(size=(n_features, components)) / np.sqrt(components)
+    weights = normal_draws(seed, n_features, components) / np.sqrt(components)
     return Projection(np.zeros(n_features), weights, weights.T)
 
 

@@ -291,3 +291,25 @@ def test_phenotype_purity_workload(spark, sf_dir):
         tables.RULES, nmf_rounds=5).collect()
     assert {r["method"] for r in found} == {"kmeans", "mixture", "nmf"}
     assert all(1 / 3 <= r["purity"] <= 1 for r in found)
+
+
+def test_nearest_mean_with_ties_pulls_and_nulls(spark):
+    train = spark.createDataFrame([(0, 1.0), (0, 3.0), (1, 5.0), (1, None), (None, 4.0)], "label int, x double")
+    rows = spark.createDataFrame([(3.4,), (3.5,), (3.6,), (None,)], "x double")
+    assert [r.prediction for r in sv.nearest_mean(train, ["x"])(rows).collect()] == [0, 0, 1, None]
+    assert [r.prediction for r in sv.nearest_mean(train, ["x"], pulls=[1.0, 2.0])(rows).collect()] == [0, 0, 0, None]
+    with pytest.raises(ValueError):
+        sv.nearest_mean(train.where("label > 1"), ["x"])
+
+
+def test_normal_draws_repeat_and_look_normal():
+    draws = transforms.normal_draws(3, 200, 50)
+    assert (draws == transforms.normal_draws(3, 200, 50)).all() and (draws != transforms.normal_draws(4, 200, 50)).any()
+    assert abs(draws.mean()) < 0.05 and abs(draws.std() - 1) < 0.05
+
+
+def test_uniform_of_equals_the_column(spark):
+    from cohortlens.functions.columns import uniform, uniform_of
+
+    rows = spark.createDataFrame([(1, "a"), (2, "é")], "i int, s string")
+    assert [r.u for r in rows.select(uniform(5, "i", "s").alias("u")).collect()] == [uniform_of(5, 1, "a"), uniform_of(5, 2, "é")]
