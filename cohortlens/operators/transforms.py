@@ -13,6 +13,8 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlens.functions.columns import indicators, uniform_of
+from cohortlens.operators.features import vector_rows
+from cohortlens.operators.ordering import with_row_number
 from cohortlens.operators.passes import mapped, matrix, moments, summed
 from cohortlens.session import checkpointed
 
@@ -60,6 +62,24 @@ def one_hot(df: DataFrame, factor: str, levels: Sequence | None = None,
     return df.select("*", *indicators(factor, levels, factor))
 
 
+def one_hot_vectors(df: DataFrame, key: str, factors: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """((key, features), (factor, level, idx)): sparse 0/1 vectors of any number of levels.
+
+    Levels are numbered over all factors, in the order of factors and levels,
+    by one distributed count; the dictionary is a table and never reaches the
+    driver, so that a factor may have as many levels as rows. A null has no
+    position. Keys must be unique; every row has a vector, if need be an empty one.
+    """
+    long = df.select(key, F.explode(F.array(*[
+        F.struct(F.lit(i).alias("place"), F.lit(c).alias("factor"), F.col(c).cast("string").alias("level"))
+        for i, c in enumerate(factors)])).alias("c")).select(key, "c.*")
+    levels = long.where(F.col("level").isNotNull()).select("place", "factor", "level").distinct()
+    numbered = with_row_number(levels, ["place", "level"], "idx").withColumn("idx", F.col("idx") - 1)
+    dictionary = checkpointed(numbered.select("place", "factor", "level", "idx"))
+    cells = long.join(dictionary.select("place", "level", "idx"), ["place", "level"], "left").withColumn("value", F.lit(1.0))
+    return vector_rows(cells, dictionary.count(), key), dictionary.select("factor", "level", "idx")
+
+
 def tag_union(parts: Mapping[str, DataFrame]) -> DataFrame:
     """Union with a ``split`` tag, so that all parts share one encoding."""
     out = None

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cohortlens.functions import columns as fx
-from cohortlens.operators import evaluation, ordering, profile, sampling, supervised, transforms
+from cohortlens.operators import evaluation, features, ordering, profile, sampling, supervised, transforms
 from cohortlens.plans import tables as t
 from cohortlens.plans.tables import with_tables
 
@@ -196,6 +196,14 @@ def _arrays(spark: SparkSession, d: str) -> DataFrame:
     return _round(found, 6, "dot", "product", "difference", "quotient")
 
 
+def _one_hot_wide(spark: SparkSession, d: str) -> DataFrame:
+    """Orders by priority and customer as sparse vectors, read back as cells."""
+    rows = t.table(spark, d, "orders").select("o_orderkey", "o_orderpriority", "o_custkey")
+    vectors, levels = transforms.one_hot_vectors(rows, "o_orderkey", ["o_orderpriority", "o_custkey"])
+    cells = features.vector_cells(vectors, "o_orderkey").join(levels, "idx")
+    return cells.select("o_orderkey", F.col("idx").cast("int").alias("idx"), "factor", "level", "value")
+
+
 QUERIES = {
     "confusion_matrix": lambda s, d: _round(profile.contingency(t.clustered(s, d), "cluster", "label"), 9, "share"),
     "cluster_purity": lambda s, d: _round(profile.purity(t.clustered(s, d), "cluster", "label"), 9, "purity"),
@@ -213,6 +221,7 @@ QUERIES = {
     "standardized": _standardised,
     "min_max_scaled": _min_max,
     "one_hot": _one_hot,
+    "one_hot_wide": _one_hot_wide,
     "classification_metrics": _metrics,
     "roc_points": _roc,
     "roc_area": lambda s, d: _round(evaluation.roc_area(t.scored(s, d), "score", "y"), 9, "auc"),
@@ -331,6 +340,15 @@ ORACLES = {
                round((month - lm) / CAST(hm - lm AS DOUBLE), 9) AS month,
                CASE WHEN year < 1999 THEN 'train' ELSE 'test' END AS split FROM mixed, e"""),
     "one_hot": with_tables("mixed", _MIXED_HOT),
+    "one_hot_wide": """
+        WITH long AS (
+          SELECT o_orderkey, 0 AS place, 'o_orderpriority' AS factor, o_orderpriority AS level FROM orders
+          UNION ALL
+          SELECT o_orderkey, 1, 'o_custkey', CAST(o_custkey AS VARCHAR) FROM orders),
+        levels AS (SELECT *, row_number() OVER (ORDER BY place, level) - 1 AS idx
+                   FROM (SELECT DISTINCT place, factor, level FROM long WHERE level IS NOT NULL))
+        SELECT o_orderkey, CAST(idx AS INT) AS idx, factor, level, CAST(1 AS DOUBLE) AS value
+        FROM long JOIN levels USING (place, factor, level)""",
     "classification_metrics": with_tables("scored", f"""
         SELECT round(accuracy, 9) AS accuracy, round((recall + specificity) / 2, 9) AS auc,
                round(precision, 9) AS precision, round(recall, 9) AS recall,

@@ -83,6 +83,16 @@ def _ticker_files(spark: SparkSession, d: str) -> DataFrame:
     return wide.select("trade_date", *[F.round(n, 6).alias(n) for n in ("ALL", "N1", "N2")])
 
 
+def _ticker_folder(spark: SparkSession, d: str) -> DataFrame:
+    """Every symbol on every day of the market, from files written in one job and read in one scan."""
+    folder = staging_path(spark, "ticker-folder")
+    prices.write_ticker_folder(t.prices(spark, d), folder)
+    long = prices.read_ticker_folder(spark, folder)
+    names = [r["symbol"] for r in long.select("symbol").distinct().collect()]
+    panel = prices.price_panel(prices.daily(long), names, t.MARKET)
+    return panel.select("symbol", "trade_date", F.round("price", 6).alias("price"))
+
+
 def _matrix_file(spark: SparkSession, d: str) -> DataFrame:
     path = staging_path(spark, "matrix")
     rows = t.feature_rows(spark, d)
@@ -111,6 +121,7 @@ QUERIES = {
     "csv_drop_leading": _dropped,
     "text_value_list": _value_list,
     "ticker_files": _ticker_files,
+    "ticker_folder": _ticker_folder,
     "csv_feature_matrix": _matrix_file,
     "svmlight_file": _svmlight_file,
 }
@@ -137,6 +148,10 @@ ORACLES = {
         SELECT m.trade_date, round(m.price, 6) AS "ALL", round(a.price, 6) AS "N1", round(b.price, 6) AS "N2"
         FROM prices m LEFT JOIN prices a ON a.symbol = 'N1' AND a.trade_date = m.trade_date
         LEFT JOIN prices b ON b.symbol = 'N2' AND b.trade_date = m.trade_date WHERE m.symbol = 'ALL'"""),
+    "ticker_folder": with_tables("prices", """
+        SELECT s.symbol, m.trade_date, round(p.price, 6) AS price
+        FROM prices m JOIN (SELECT DISTINCT symbol FROM prices) s ON true
+        LEFT JOIN prices p ON p.symbol = s.symbol AND p.trade_date = m.trade_date WHERE m.symbol = 'ALL'"""),
     "csv_feature_matrix": """
         SELECT CAST(label AS DOUBLE) AS label,
                round(list_sum(CAST(embedding AS DOUBLE[])), 6) AS total FROM embeddings""",

@@ -18,6 +18,25 @@ def read_ticker_files(spark: SparkSession, folder: str, symbols: Sequence[str],
                       F.col(price_column).try_cast("double").alias("price")).dropna()
 
 
+def write_ticker_folder(prices: DataFrame, folder: str, price_column: str = "Adj Close") -> None:
+    """One CSV folder ``file=<SYMBOL>.csv`` per symbol, all in one job: rows are dealt by symbol and year first."""
+    rows = prices.select(F.concat("symbol", F.lit(".csv")).alias("file"), F.col("trade_date").alias("Date"),
+                         F.col("price").alias(price_column))
+    (rows.repartition("file", F.year("Date")).write.partitionBy("file").option("header", True)
+     .option("dateFormat", "yyyy-MM-dd").csv(folder))
+
+
+def read_ticker_folder(spark: SparkSession, folder: str, price_column: str = "Adj Close") -> DataFrame:
+    """All that ``write_ticker_folder`` wrote, in one scan -> long (symbol, trade_date, price).
+
+    The symbol is the partition's value, so a filter on it prunes the other
+    symbols' files. Rows without a readable date or price do not count.
+    """
+    raw = spark.read.schema(f"Date string, `{price_column}` string, file string").csv(folder, header=True)
+    return raw.select(F.regexp_replace("file", r"\.csv$", "").alias("symbol"), parse_day("Date").alias("trade_date"),
+                      F.col(price_column).try_cast("double").alias("price")).dropna()
+
+
 def daily(prices: DataFrame) -> DataFrame:
     """One row per (symbol, day): the calendar then bounds every symbol's rows."""
     return prices.groupBy("symbol", "trade_date").agg(F.avg("price").alias("price"))

@@ -153,3 +153,16 @@ def test_metrics_without_predictions_of_a_class(spark):
     df = spark.createDataFrame([(0, 1), (0, 0)], "prediction int, label int")
     found = evaluation.binary_metrics(df).first()
     assert found["precision"] is None and found["recall"] == 0.0 and found["specificity"] == 1.0
+
+
+def test_one_hot_vectors_of_wide_factors_with_nulls(spark):
+    from cohortlens.operators import features, transforms
+
+    rows = spark.createDataFrame([(1, "b", "x"), (2, "a", None), (3, None, None), (4, "b", "y")], "k int, f string, g string")
+    vectors, levels = transforms.one_hot_vectors(rows, "k", ["f", "g"])
+    assert sorted(tuple(r) for r in levels.collect()) == [("f", "a", 0), ("f", "b", 1), ("g", "x", 2), ("g", "y", 3)]
+    found = {r.k: (r.features.size, [int(i) for i in r.features.indices]) for r in vectors.collect()}
+    assert found == {1: (4, [1, 2]), 2: (4, [0]), 3: (4, []), 4: (4, [1, 3])}
+    assert features.vector_cells(vectors, "k").count() == 5
+    empty = transforms.one_hot_vectors(rows.where("k > 9"), "k", ["f"])
+    assert empty[0].count() == 0 and empty[1].count() == 0

@@ -192,3 +192,11 @@ def test_capped_ledger_refuses_two_symbols(spark):
     prices = spark.createDataFrame([("A", day, 10.0), ("B", day, 20.0)], "symbol string, trade_date date, price double")
     with pytest.raises(Exception, match="one symbol per account"):
         ts.capped_ledger(orders, prices, 10_000.0).collect()
+
+
+def test_ticker_folder_round_trip_prunes_symbols(spark, tmp_path):
+    rows = series(spark, [1.5, 2.5], "A").unionByName(series(spark, [3.0], "B.C"))
+    price_sources.write_ticker_folder(rows, str(tmp_path / "all"))
+    read = price_sources.read_ticker_folder(spark, str(tmp_path / "all"))
+    assert sorted(map(tuple, read.collect())) == sorted(map(tuple, rows.collect()))
+    assert read.columns == ["symbol", "trade_date", "price"]
