@@ -55,15 +55,21 @@ class Fingerprint:
         return total
 
 
-def fingerprints(docs: DataFrame, primes=PRIMES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """(doc_id, n_bytes, fp, text_sha256) of every document; null text counts as empty."""
+def _cut(chunk_bytes: int):
+    """The numbered chunks of the bytes in ``data``; empty bytes are one empty chunk."""
+    last = F.greatest(F.ceil(F.length("data") / chunk_bytes), F.lit(1)).cast("int") - 1
+    return F.transform(F.sequence(F.lit(0), last), lambda k: F.substring(F.col("data"), k * chunk_bytes + 1, chunk_bytes))
+
+
+def _whole(texts: DataFrame, primes, chunk_bytes: int) -> DataFrame:
+    """Marks of texts that are hashed where they lie."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mark = Fingerprint(primes, BASES, chunk_bytes)
         for batch in batches:
             size, fp, sha = [], [], []
             for text in batch.column(1):
-                data = text.as_py().encode()
+                data = text.as_py()
                 high, low = mark.of(data)
                 size.append(len(data))
                 fp.append(high << 31 | low)
@@ -72,19 +78,50 @@ def fingerprints(docs: DataFrame, primes=PRIMES, chunk_bytes: int = CHUNK_BYTES)
                 [batch.column(0), pa.array(size, pa.int64()), pa.array(fp, pa.int64()), pa.array(sha, pa.string())],
                 ["doc_id", "n_bytes", "fp", "text_sha256"])
 
-    plain = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().alias("text"))
-    return plain.mapInArrow(run, "doc_id bigint, n_bytes bigint, fp bigint, text_sha256 string")
+    return texts.mapInArrow(run, "doc_id bigint, n_bytes bigint, fp bigint, text_sha256 string")
+
+
+def _combined(texts: DataFrame, primes, chunk_bytes: int) -> DataFrame:
+    """Marks of texts of several chunks: chunks are dealt over all tasks, hashed, shifted by the bytes after them and added up."""
+    size = F.length("data").cast("bigint")
+    chunks = (texts.select("doc_id", size.alias("n_bytes"), F.sha2("data", 256).alias("text_sha256"),
+                           F.posexplode(_cut(chunk_bytes)).alias("chunk_no", "chunk"))
+              .withColumn("after", F.greatest(F.col("n_bytes") - (F.col("chunk_no") + 1).cast("bigint") * chunk_bytes, F.lit(0)))
+              .repartition("doc_id", "chunk_no"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mark = Fingerprint(primes, BASES, chunk_bytes)
+        for batch in batches:
+            shifted = [[combine(h, 0, after, b, p) for h, b, p in zip(mark.chunk_hashes(np.frombuffer(chunk, np.uint8)), BASES, primes)]
+                       for chunk, after in zip(batch.column("chunk").to_pylist(), batch.column("after").to_pylist())]
+            parts = [pa.array([pair[i] for pair in shifted], pa.int64()) for i in range(2)]
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("doc_id", "n_bytes", "text_sha256")], *parts],
+                                             ["doc_id", "n_bytes", "text_sha256", "high", "low"])
+
+    hashed = chunks.mapInArrow(run, "doc_id bigint, n_bytes bigint, text_sha256 string, high bigint, low bigint")
+    high, low = [F.sum(c) % p for c, p in zip(("high", "low"), primes)]
+    return (hashed.groupBy("doc_id", "n_bytes", "text_sha256").agg(high.alias("high"), low.alias("low"))
+            .select("doc_id", "n_bytes", F.shiftleft("high", 31).bitwiseOR(F.col("low")).alias("fp"), "text_sha256"))
+
+
+def fingerprints(docs: DataFrame, primes=PRIMES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+    """(doc_id, n_bytes, fp, text_sha256) of every document; null text counts as empty.
+
+    A text of one chunk is hashed where it lies. The chunks of a longer one are
+    rows of their own, hashed in parallel, whose fingerprints are combined by
+    length-shifted arithmetic in an aggregate; any order gives the same sum.
+    """
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().cast("binary").alias("data"))
+    short = F.length("data") <= chunk_bytes
+    return _whole(texts.where(short), primes, chunk_bytes).unionByName(_combined(texts.where(~short), primes, chunk_bytes))
 
 
 def _chunks(docs: DataFrame, wanted: DataFrame, chunk_bytes: int) -> DataFrame:
     """The numbered chunks of the wanted documents' bytes."""
-    data = text_or_empty().cast("binary")
-    last = F.greatest(F.ceil(F.length("data") / chunk_bytes), F.lit(1)).cast("int") - 1
-    cut = F.transform(F.sequence(F.lit(0), last), lambda k: F.substring(F.col("data"), k * chunk_bytes + 1, chunk_bytes))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), data.alias("data"))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_or_empty().cast("binary").alias("data"))
     # the wanted ids grow with the corpus: never broadcast
     return (texts.join(wanted.hint("merge"), "doc_id")
-            .select(*wanted.columns, F.posexplode(cut).alias("chunk_no", "chunk")))
+            .select(*wanted.columns, F.posexplode(_cut(chunk_bytes)).alias("chunk_no", "chunk")))
 
 
 def equal_texts(docs: DataFrame, primes=PRIMES, chunk_bytes: int = CHUNK_BYTES,

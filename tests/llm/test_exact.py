@@ -34,5 +34,20 @@ def test_groups(spark, primes, chunk):
     assert {tuple(r) for r in got} == want and len(got) == len(TEXTS)
 
 
+def test_chunks_hashed_apart_give_the_fingerprint_of_the_whole(spark):
+    rng = np.random.default_rng(2)
+    texts = ["", None, "short", "é" * 200, "".join(map(chr, rng.integers(32, 900, 5000))), "z" * (1 << 20), "z" * 64, "z" * 65]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    got = {r.doc_id: r for r in exact.fingerprints(docs, chunk_bytes=64).collect()}
+    assert len(got) == len(texts)
+    for i, text in enumerate(texts):
+        data = (text or "").encode()
+        plain = [0, 0]
+        for byte in data:
+            plain = [(h * b + byte) % p for h, b, p in zip(plain, exact.BASES, exact.PRIMES)]
+        assert (got[i].n_bytes, got[i].fp) == (len(data), plain[0] << 31 | plain[1])
+        assert got[i].text_sha256 == hashlib.sha256(data).hexdigest()
+
+
 def test_empty_table(spark):
     assert exact.equal_texts(spark.createDataFrame([], "doc_id bigint, text string")).count() == 0
