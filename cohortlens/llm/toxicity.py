@@ -6,6 +6,10 @@ power of the stretch it spans. A gap or an inserted character lengthens the
 stretch but keeps the subsequence, so an altered insult stays close to the plain
 one. Landmark words span the feature space; a text is read as sentences, a
 sentence as its most toxic word.
+
+Learning takes as witnesses of a toxic text the word of highest margin, where
+that word is likelier in toxic texts than chance allows or close to such words,
+so that texts labelled by mistake teach nothing.
 """
 
 from __future__ import annotations
@@ -26,11 +30,15 @@ DECAY = 0.5
 SYMBOLS = 32
 #: Longer words are read in pieces of so many characters that overlap by half.
 PIECE = 24
-#: Bounds of the training sample: texts of each label, and sentences of a text.
+#: Bounds of the training sample: texts of each label, sentences of a clean and of a toxic text, characters of a sentence.
 TEXTS_PER_LABEL = 2_000
 SENTENCES_PER_TEXT = 40
+SENTENCES_PER_TOXIC_TEXT = 1_000
+SENTENCE_CHARACTERS = 400
 LANDMARKS = 192
 CACHED_WORDS = 500_000
+#: Standard errors by which a word must be likelier in toxic texts to be taken for their cause.
+BOUND = 2.0
 CUT = 0.3
 _SENTENCE = regex.compile(r"[^.!?\n]+")
 _NOT_LETTER = regex.compile(r"\P{L}+")
@@ -201,11 +209,17 @@ def train(labelled: list[tuple[str, int]], landmarks: int = LANDMARKS, rounds: i
     n1, n0 = max(len(toxic), 1), max(len(clean), 1)
     usable = lambda w: ORDER <= len(w) + 1 and len(w) >= 3
     odds = {w: np.log((c / n1 + 1e-4) / (seen[1][w] / n0 + 1e-4)) * min(c, 5) for w, c in seen[0].items() if usable(w)}
+
+    def credible(word: str) -> bool:
+        """Whether the lower bound of the word's log ratio between toxic and clean texts is above zero."""
+        c1, c0 = seen[0][word], seen[1][word] + 0.5
+        return c1 >= 2 and np.log(c1 / n1 * n0 / c0) > BOUND * np.sqrt(1 / c1 + 1 / c0)
+
     if not odds or not clean:
         return ToxicityModel(np.zeros(SYMBOLS ** ORDER, np.float32), -1.0, 1.0, 0.0)
     suspects = sorted(odds, key=lambda w: (-odds[w], w))[:landmarks * 2 // 3]
     common = [w for w, _ in sorted(seen[1].items(), key=lambda x: (-x[1], x[0])) if usable(w)][:landmarks - len(suspects)]
-    chosen = [w[:PIECE] for w in dict.fromkeys(suspects + common)]
+    chosen = list(dict.fromkeys(p for w in suspects + common for p in pieces(w)))
     spans = [features(w) for w in chosen]
     columns = np.unique(np.concatenate([index for index, _ in spans]))
     column = np.full(SYMBOLS ** ORDER, -1, dtype=np.int32)
@@ -218,9 +232,11 @@ def train(labelled: list[tuple[str, int]], landmarks: int = LANDMARKS, rounds: i
     root = vectors[:, held] / np.sqrt(values[held])
 
     def mapped(words: list[str]) -> np.ndarray:
+        """Rows of the pieces of all words, one after the other."""
+        words = [p for w in words for p in pieces(w)]
         out = np.zeros((len(words), len(columns)), dtype=np.float32)
         for row, word in enumerate(words):
-            index, weight = features(word[:PIECE])
+            index, weight = features(word)
             place = column[index]
             out[row, place[place >= 0]] = weight[place >= 0]
         return out @ dense.T @ root
@@ -235,12 +251,13 @@ def train(labelled: list[tuple[str, int]], landmarks: int = LANDMARKS, rounds: i
             words = [w for s in bag for w in s if w in margin]
             if words:
                 witness[max(words, key=lambda w: (margin[w], w))] += 1
-        # a witness that only ever stands for its text alone is more likely a chance word
-        positives = [w for w in sorted(witness) if seen[0][w] >= 2 and odds[w] > 0] or sorted(witness)
+        # a word no likelier in toxic texts than chance allows is no witness, unless the last machine finds it close to one
+        positives = [w for w in sorted(witness) if credible(w) or turn and margin[w] > 0] or sorted(witness)
         negatives = list(dict.fromkeys(clean_words[:3000] + hardest))
         x1, x0 = mapped(positives), mapped(negatives)
-        c0 = np.sqrt(np.asarray([seen[1][w] for w in negatives], dtype=np.float64))
-        c1 = np.asarray([float(witness[w]) for w in positives])
+        # every piece of a clean word is clean; the pieces of a witness share its weight
+        c0 = np.sqrt(np.asarray([seen[1][w] for w in negatives for _ in pieces(w)], dtype=np.float64))
+        c1 = np.asarray([witness[w] / len(pieces(w)) for w in positives for _ in pieces(w)])
         x, y = np.r_[x1, x0], np.r_[np.ones(len(x1), bool), np.zeros(len(x0), bool)]
         cost = np.r_[c1 / c1.sum(), c0 / c0.sum()] * 200
         weights, bias = _machine(x, y, cost)
@@ -272,7 +289,12 @@ def _sigmoid(margin: np.ndarray, label: np.ndarray) -> tuple[float, float]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, learn: Column) -> list[tuple[str, int]]:
-    """A bounded sample of labelled texts, at most SENTENCES_PER_TEXT sentences each from a hashed place on."""
+    """A bounded sample of labelled texts.
+
+    Of a text with more sentences than the bound of its label, those of the
+    lowest hashes of (doc_id, place) are taken, from all over the text. A
+    sentence of more than SENTENCE_CHARACTERS counts as several.
+    """
     known = labels.where(learn & F.col("toxic").isNotNull()).select("doc_id", F.col("toxic").cast("int").alias("toxic"))
     sizes = {r[0]: r[1] for r in known.groupBy("toxic").count().collect()}
     draw = F.pmod(F.xxhash64("doc_id", F.lit("toxic")), F.lit(1 << 30)) / float(1 << 30)
@@ -282,13 +304,11 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column) -> list[tuple[str,
     # at most about TEXTS_PER_LABEL ids of each label, whatever the corpus
     drawn = F.broadcast(known.where(draw < rate))
     known = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(drawn, "doc_id")
-    parts = F.split("text", "(?<=[.!?\n])")
-    rest = F.greatest(F.size("parts") - SENTENCES_PER_TEXT, F.lit(0)) + 1
-    place = F.pmod(F.xxhash64("doc_id", F.lit("place")), rest).cast("int") + 1
-    # a toxic text is taken whole up to a bound: its toxic sentence may be anywhere
-    rows = (known.withColumn("parts", parts)
-            .select("doc_id", "toxic", F.substring(F.concat_ws("", F.when(F.col("toxic") == 1, F.col("parts"))
-                    .otherwise(F.slice("parts", place, SENTENCES_PER_TEXT))), 1, 20_000).alias("text")).collect())
+    parts = F.regexp_extract_all("text", F.lit(rf"[^.!?\n]{{1,{SENTENCE_CHARACTERS}}}[.!?\n]*"), F.lit(0))
+    marked = F.transform(parts, lambda s, at: F.struct(F.xxhash64("doc_id", at).alias("h"), at.alias("at"), s.alias("s")))
+    bound = F.when(F.col("toxic") == 1, SENTENCES_PER_TOXIC_TEXT).otherwise(SENTENCES_PER_TEXT)
+    drawn_parts = F.array_sort(F.transform(F.slice(F.array_sort(marked), F.lit(1), bound), lambda x: F.struct(x["at"], x["s"])))
+    rows = known.select("doc_id", "toxic", F.array_join(F.transform(drawn_parts, lambda x: x["s"]), " ").alias("text")).collect()
     return [(r["text"], r["toxic"]) for r in sorted(rows, key=lambda r: r["doc_id"])]
 
 

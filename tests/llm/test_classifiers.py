@@ -3,6 +3,7 @@ import pathlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from cohortlens.llm import langid, toxicity
 from cohortlens.llm.queries import held_out, op2_toxicity, op7_language_id
@@ -92,6 +93,26 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean(caught) >= 0.6 and np.mean(clean) <= 0.1
 
 
+def test_toxicity_sample_reads_whole_texts(spark):
+    tail = " ".join(f"sentence number {i}." for i in range(5000)) + " you worthless clown."
+    rows = [(1, tail, "x"), (2, "one. two", "x"), (3, None, "x"), (4, "w" * 1000, "x"), (5, "", "x")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic string")
+    labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1), (4, 1), (5, 0)], "doc_id bigint, toxic int")
+    got = dict(zip((1, 2, 4, 5), toxicity.sample(docs, labels, F.lit(True))))
+    numbers = [int(w.strip(".")) for w in got[1][0].split() if w.strip(".").isdigit()]
+    assert got[1][0].count(".") == toxicity.SENTENCES_PER_TEXT and max(numbers) > 3000 and min(numbers) < 2000
+    assert got[2] == ("one.  two", 1) and got[5] == ("", 0)
+    assert got[4][0].replace(" ", "") == "w" * 1000 and len(got[4][0].split()) == -(-1000 // toxicity.SENTENCE_CHARACTERS)
+
+
+def test_toxicity_learns_nothing_from_a_wrong_label():
+    insults = [("you stupid worthless clown", 1), ("what a worthless clown", 1), ("stupid thing to say", 1)] * 6
+    clean = [("the weather is nice today", 0), ("we walk to the river bank", 0), ("houses and trees stand there", 0)] * 20
+    model = toxicity.train(insults + clean + [("the weather is nice today", 1)])
+    scores = toxicity.Scorer(model).score(["the weather is nice", "stxupid clo wn", "a worthlesss person", "x" * 500])
+    assert scores[2] >= toxicity.CUT > max(scores[0], scores[3])
+
+
 def test_toxicity_of_odd_texts(odd):
     texts = [("you are a stupid loser", 1), ("stupid idiot go", 1), ("a loser and an idiot", 1)] * 5
     texts += [("the weather is nice today", 0), ("we walk to the river", 0), ("houses and trees stand there", 0)] * 5
