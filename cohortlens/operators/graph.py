@@ -10,8 +10,10 @@ from cohortlens.operators.ordering import with_row_number
 from cohortlens.session import checkpointed
 
 CODE_KINDS = ("diagnostic", "lab", "medication")
-#: Prefix rows of one code and band that one task joins.
+#: Prefix rows of one code that one task joins.
 HEAVY_ROWS = 20_000
+#: Sets up to this size are compared where they meet; larger ones by signature first.
+WHOLE_CODES = 128
 EDGES_PER_SPLIT = 1_000_000
 ROUNDS_PER_CHECKPOINT = 5
 SIGNATURE_WORDS = 4
@@ -119,84 +121,93 @@ def similar_sets(distinct: DataFrame, min_similarity: float, heavy_rows: int = H
 
     Exact prefix-filtered join. Two sets of sizes a and b reaching similarity t
     share at least o = ceil(t/(1+t) * (a+b)) codes, hence one among the rarest
-    a-o+1 of the one and b-o+1 of the other. Only those prefixes are joined,
-    within bands of comparable size. The most common code is last in its set,
-    so it is joined on only where one shared code already makes a result.
-
-    Bounds leave few pairs to intersect: the bits in which the signatures
-    differ, and the number of shared prefix codes plus what can still follow
-    the last of them outside one of the prefixes.
-
-    A code in more than ``heavy_rows`` prefixes of a band is met in a grid: its
-    rows are cut by the hash of their set into blocks of about that size, and
-    each cell of the grid joins one block of either side.
+    a-o+1 of the one and b-o+1 of the other. Only those prefixes are joined.
+    The most common code is last in its set, so it is joined on only where one
+    shared code already makes a result.
+
+    A row of a set of at most ``WHOLE_CODES`` codes carries the codes that
+    follow its own, so two such sets are compared where they meet: at their
+    first shared code the followers tell the whole number, and only pairs that
+    pass are written. Larger sets carry a signature instead, which keeps rows
+    short; its differing bits, and the number of shared prefix codes plus what
+    can still follow the last of them outside one of the prefixes, leave few
+    pairs to intersect.
+
+    Both sides read one dealing of the rows by code. A code in more than
+    ``heavy_rows`` prefixes is met in a grid: its rows are cut by the hash of
+    their set into blocks of about that size, and each cell of the grid joins
+    one block of either side.
     """
     if not 0 < min_similarity <= 1:
         raise ValueError("min_similarity must lie in (0, 1]")
     t = float(min_similarity)
-    words = range(SIGNATURE_WORDS)
+    words = [f"w{w}" for w in range(SIGNATURE_WORDS)]
 
     def overlap_needed(a: Column, b: Column) -> Column:
         return F.greatest(F.ceil(F.lit(t / (1 + t)) * (a + b) - 1e-9), F.lit(1))
 
-    # bands [2^k, 2^(k+1)): a set meets partners from its own band down to t*size
-    def band(size: Column) -> Column:
-        return F.length(F.bin(size)) - 1
-
-    def side(name: str, sets: DataFrame, keep: Column) -> DataFrame:
-        prefix = F.slice("tokens", F.lit(1), keep.cast("int"))
-        return sets.select(
-            F.col("set_id").alias(f"{name}_id"), F.col("size").alias(f"{name}_size"), "band",
-            *[F.col(f"w{w}").alias(f"{name}_w{w}") for w in words],
-            (F.col("size") - keep).cast("int").alias(f"{name}_rest"),
-            F.posexplode(prefix).alias(f"{name}_pos", "token"))
-
     size = F.col("size")
+    whole = size <= WHOLE_CODES
     smallest = F.greatest(F.ceil(F.lit(t) * size - 1e-9), F.lit(1)).cast("int")
-    signed = checkpointed(distinct.select("set_id", "tokens", "size",
-                                          *[_signature_word(w).alias(f"w{w}") for w in words]))
-    # partners of the b side are at least as large, so o is least at equal size
-    index = side("b", signed.withColumn("band", band(size)), size - overlap_needed(size, size) + 1)
-    # the a side takes one prefix for each band of smaller or equal partners
-    reach = (signed.withColumn("band", F.explode(F.sequence(band(smallest), band(size))))
-             .withColumn("partner", F.greatest(F.call_function("shiftleft", F.lit(1), F.col("band")), smallest)))
-    probe = side("a", reach, size - overlap_needed(size, F.col("partner")) + 1)
-
-    a, b = F.col("a_size"), F.col("b_size")
-    smaller = (b < a) | ((b == a) & (F.col("b_id") < F.col("a_id")))
-    needed = overlap_needed(a, b)
-    differing = sum((F.bit_count(F.col(f"a_w{w}").bitwiseXOR(F.col(f"b_w{w}"))) for w in words), F.lit(0))
-    possible = (a + b - differing) / 2 >= needed
-    group = ["token", "band"]
-    heavy = checkpointed(index.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / heavy_rows).cast("int").alias("blocks"))
+    keep = (size - overlap_needed(size, smallest) + 1).cast("int")
+    sets = checkpointed(distinct.select("set_id", "tokens", "size"))
+    signed = sets.select("set_id", "size", "tokens", keep.alias("keep"),
+                         *[F.when(~whole, _signature_word(w)).alias(name) for w, name in enumerate(words)])
+    followers = F.when(whole, F.slice("tokens", F.col("pos") + 2, F.greatest(size - F.col("pos") - 1, F.lit(0))))
+    rows = (signed.select("*", F.posexplode(F.slice("tokens", F.lit(1), F.col("keep"))).alias("pos", "token"))
+            .select("token", "set_id", "size", "pos", (size - F.col("keep")).cast("int").alias("rest"),
+                    F.transform(followers, lambda x: x.cast("int")).alias("after"), *words))
+    # at most one in ``heavy_rows`` of the rows
+    heavy = checkpointed(rows.groupBy("token").agg(F.ceil(F.count(F.lit(1)) / heavy_rows).cast("int").alias("blocks"))
                          .where("blocks > 1"))
 
-    def in_grid(rows: DataFrame, own: str, own_id: str, other: str) -> DataFrame:
-        blocks = F.coalesce("blocks", F.lit(1))
-        return (rows.join(heavy, group, "left")
-                .withColumn(own, F.pmod(F.xxhash64(own_id), blocks).cast("int"))
-                .withColumn(other, F.explode(F.sequence(F.lit(0), blocks - 1))).drop("blocks"))
+    def side(name: str, df: DataFrame) -> DataFrame:
+        return df.select("token", *[F.col(c).alias(f"{name}_{c}") for c in df.columns if c not in ("token", "a_block", "b_block")],
+                         *[c for c in df.columns if c in ("a_block", "b_block")])
+
+    def in_grid(own: str, other: str) -> DataFrame:
+        found = rows.join(F.broadcast(heavy), "token")
+        return (found.withColumn(own, F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
+                .withColumn(other, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks"))
 
-    cells = in_grid(probe, "a_block", "a_id", "b_block").join(in_grid(index, "b_block", "b_id", "a_block"), [*group, "a_block", "b_block"])
-    met = (cells.where(smaller & (b >= F.lit(t) * a - 1e-9) & possible)
-           .groupBy("a_id", "b_id")
-           .agg(F.count(F.lit(1)).alias("n_met"), F.max(a).alias("a_size"), F.max(b).alias("b_size"),
+    a, b = F.col("a_size"), F.col("b_size")
+    smaller = (b < a) | ((b == a) & (F.col("b_set_id") < F.col("a_set_id")))
+    needed = overlap_needed(a, b)
+    both_whole = (a <= WHOLE_CODES) & (b <= WHOLE_CODES)
+    in_reach = (a - F.col("a_pos") >= needed) & (b - F.col("b_pos") >= needed)
+    shared_from_here = F.size(F.array_intersect("a_after", "b_after")) + 1
+    differing = sum((F.bit_count(F.col(f"a_{w}").bitwiseXOR(F.col(f"b_{w}"))) for w in words), F.lit(0))
+    possible = F.coalesce((a + b - differing) / 2 >= needed, F.lit(True))
+    passes = smaller & (b >= F.lit(t) * a - 1e-9) & F.when(both_whole, in_reach & (shared_from_here >= needed)).otherwise(possible)
+
+    light = rows if heavy.isEmpty() else rows.join(F.broadcast(heavy.select("token")), "token", "left_anti")
+    dealt = light.repartition("token")
+    cells = side("a", dealt).join(side("b", dealt).hint("merge"), "token").where(passes)
+    if light is not rows:
+        grid = side("a", in_grid("a_block", "b_block")).join(side("b", in_grid("b_block", "a_block")), ["token", "a_block", "b_block"])
+        cells = cells.unionByName(grid.where(passes).select(*cells.columns))
+    met = (cells.groupBy("a_set_id", "b_set_id")
+           .agg(F.max(F.when(both_whole, shared_from_here)).alias("n_shared"),
+                F.count(F.lit(1)).alias("n_met"), F.max(a).alias("a_size"), F.max(b).alias("b_size"),
                 F.max(F.greatest("a_rest", "b_rest")).alias("rest"),
                 F.max("a_pos").alias("a_last"), F.max("b_pos").alias("b_last")))
+    met = checkpointed(met)
+
     # shared codes outside a prefix come after all others, and from the first of
     # them on all lie outside that same prefix
     left = F.least(a - F.col("a_last") - 1, b - F.col("b_last") - 1, F.col("rest"))
-    open_pairs = met.where(F.col("n_met") + left >= needed).select("a_id", "b_id")
-    shared = F.size(F.array_intersect("a_tokens", "b_tokens"))
-    sizes = F.size("a_tokens") + F.size("b_tokens")
-    similarity = shared / (sizes - shared)
-    return (open_pairs
-            .join(signed.select(F.col("set_id").alias("a_id"), F.col("tokens").alias("a_tokens")), "a_id")
-            .join(signed.select(F.col("set_id").alias("b_id"), F.col("tokens").alias("b_tokens")), "b_id")
+    open_pairs = met.where(F.col("n_shared").isNull() & (F.col("n_met") + left >= needed)).drop("n_shared")
+    counted = (open_pairs
+               .join(sets.select(F.col("set_id").alias("a_set_id"), F.col("tokens").alias("a_tokens")), "a_set_id")
+               .join(sets.select(F.col("set_id").alias("b_set_id"), F.col("tokens").alias("b_tokens")), "b_set_id")
+               .withColumn("n_shared", F.size(F.array_intersect("a_tokens", "b_tokens"))))
+    columns = ["a_set_id", "b_set_id", "a_size", "b_size", "n_shared"]
+    similarity = F.col("n_shared") / (a + b - F.col("n_shared"))
+    return (met.where(F.col("n_shared").isNotNull()).select(*columns).unionByName(counted.select(*columns))
             # the count decides; the ratio is only worked out for pairs that pass
-            .where((shared >= overlap_needed(F.size("a_tokens"), F.size("b_tokens"))) & (similarity >= t))
-            .select(F.least("a_id", "b_id").alias("patient_a"), F.greatest("a_id", "b_id").alias("patient_b"),
-                    shared.alias("n_shared"), similarity.alias("similarity")))
+            .where((F.col("n_shared") >= needed) & (similarity >= t))
+            .select(F.least("a_set_id", "b_set_id").alias("patient_a"), F.greatest("a_set_id", "b_set_id").alias("patient_b"),
+                    "n_shared", similarity.alias("similarity")))
 
 
 def jaccard_sets(pairs: DataFrame, min_similarity: float, heavy_rows: int = HEAVY_ROWS) -> tuple[DataFrame, DataFrame]:

@@ -52,6 +52,31 @@ def test_pairs_match_brute_force(spark, threshold):
     assert all(abs(got[k] - want[k]) < 1e-12 for k in want)
 
 
+@pytest.mark.parametrize("threshold", [0.03, 0.3])
+def test_pairs_of_small_and_large_sets_match_brute_force(spark, threshold, monkeypatch):
+    monkeypatch.setattr(graph, "WHOLE_CODES", 8, raising=False)
+    rng = random.Random(5)
+    sets = {p: frozenset(rng.sample(range(60), rng.choice([1, 3, 7, 8, 9, 20, 40]))) for p in range(90)}
+    pairs = spark.createDataFrame([(p, c) for p, codes in sets.items() for c in codes], "patient_id long, code long")
+    want = {(a, b): (len(sets[a] & sets[b]), len(sets[a] | sets[b])) for a, b in itertools.combinations(sets, 2)}
+    want = {k: (n, n / u) for k, (n, u) in want.items() if n / u >= threshold}
+    for heavy_rows in (4, 1000):
+        found = {(r["patient_a"], r["patient_b"]): (r["n_shared"], r["similarity"])
+                 for r in graph.jaccard_pairs(pairs, threshold, heavy_rows).collect()}
+        assert found == want
+
+
+def test_only_similar_pairs_of_sets_are_written(spark, monkeypatch):
+    stored, store = [], graph.checkpointed
+    monkeypatch.setattr(graph, "checkpointed", lambda df: stored.append(store(df)) or stored[-1])
+    rng = random.Random(9)
+    rows = [(p, c) for p in range(300) for c in rng.sample(range(400), 40)]
+    distinct = graph.distinct_sets(graph.code_sets(spark.createDataFrame(rows, "patient_id long, code long")))
+    similar = graph.similar_sets(distinct, 0.08).count()
+    written = [df.count() for df in stored if "b_set_id" in df.columns]
+    assert 0 < similar < 300 * 299 // 4 and written == [similar]
+
+
 def test_pairs_of_equal_patients_are_complete(spark):
     sets = {1: {"a", "b"}, 2: {"a", "b"}, 3: {"a", "b"}, 4: {"b", "c"}}
     found = {(r[0], r[1]) for r in graph.jaccard_pairs(pairs_frame(spark, sets), 0.1).collect()}
