@@ -24,6 +24,9 @@ from cohortlens.session import checkpointed
 BLOCK_ROWS = 20_000
 #: The most pivots; every task holds them.
 MAX_PIVOTS = 2048
+#: Rows whose distances to all pivots a task holds at once, and visits it writes at once.
+PLAN_ROWS = 1024
+VISIT_ROWS = 8192
 _CELLS = 500_000
 #: Rounding of a distance, as a share of it: bounds are widened by that much.
 _SLACK = 1e-9
@@ -84,9 +87,11 @@ def partitioned(train: DataFrame, key: str, pivots: int | None = None, seed: int
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
-                far = distances(matrix(batch["features"]), centres)
-                home = far.argmin(axis=1)
-                yield batch.assign(pivot=home.astype(np.int32), spread=far[np.arange(len(far)), home])
+                for at in range(0, len(batch), PLAN_ROWS):
+                    some = batch.iloc[at:at + PLAN_ROWS]
+                    far = distances(matrix(some["features"]), centres)
+                    home = far.argmin(axis=1)
+                    yield some.assign(pivot=home.astype(np.int32), spread=far[np.arange(len(far)), home])
 
     kind = train.schema[key].dataType.simpleString()
     rows = checkpointed(train.mapInPandas(assign, f"{key} {kind}, features array<double>, label double, pivot int, spread double"))
@@ -101,14 +106,17 @@ def visits(test: DataFrame, pivots: Pivots, key: str, k: int, limited: bool) ->
     def plan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch) and len(pivots.count):
-                for at in range(0, len(batch), 1024):
-                    some = batch.iloc[at:at + 1024]
+                for at in range(0, len(batch), PLAN_ROWS):
+                    some = batch.iloc[at:at + PLAN_ROWS]
                     far, mask = pivots.first(matrix(some["features"]), k)
                     if limited:
                         mask = pivots.reachable(far, some["limit"].to_numpy(dtype=float)) & ~mask
-                    row, pivot = np.nonzero(mask)
-                    yield pd.DataFrame({key: some[key].to_numpy()[row], "features": some["features"].to_numpy()[row],
-                                        "pivot": pivot.astype(np.int32)})
+                    ids, arrays = some[key].to_numpy(), some["features"].to_numpy()
+                    rows, visited = np.nonzero(mask)
+                    # a row may visit all pivots: its features are copied for few visits at a time
+                    for begin in range(0, len(rows), VISIT_ROWS):
+                        row, pivot = rows[begin:begin + VISIT_ROWS], visited[begin:begin + VISIT_ROWS]
+                        yield pd.DataFrame({key: ids[row], "features": arrays[row], "pivot": pivot.astype(np.int32)})
 
     kind = test.schema[key].dataType.simpleString()
     return test.mapInPandas(plan, f"{key} {kind}, features array<double>, pivot int")

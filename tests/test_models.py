@@ -1,7 +1,9 @@
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from cohortlens.functions.columns import uniform
 from cohortlens.operators import clustering, evaluation, kernels, neighbours, passes, supervised as sv, transforms
@@ -313,3 +315,21 @@ def test_uniform_of_equals_the_column(spark):
 
     rows = spark.createDataFrame([(1, "a"), (2, "é")], "i int, s string")
     assert [r.u for r in rows.select(uniform(5, "i", "s").alias("u")).collect()] == [uniform_of(5, 1, "a"), uniform_of(5, 2, "é")]
+
+
+def test_visits_of_many_pivots_leave_in_small_frames():
+    class Rows:
+        schema = StructType([StructField("id", LongType())])
+
+        def mapInPandas(self, plan, schema):
+            return plan
+
+    rng = np.random.default_rng(0)
+    pivots = neighbours.Pivots(rng.normal(size=(600, 4)), np.full(600, 3), np.zeros(600), np.full(600, 50.0))
+    rows = pd.DataFrame({"id": np.arange(40), "features": list(rng.normal(size=(40, 4))), "limit": np.full(40, 9.0)})
+    frames = list(neighbours.visits(Rows(), pivots, "id", 5, True)(iter([rows])))
+    assert max(len(f) for f in frames) <= 8192
+    found = pd.concat(frames)
+    # two partitions hold five rows; all others are visited afterwards, each once
+    assert len(found) == 40 * 598 and not found.duplicated(["id", "pivot"]).any()
+    assert all((f == rows["features"][i]).all() for i, f in zip(found["id"], found["features"]))
