@@ -8,7 +8,7 @@ from cohortlens.operators import (
     clustering, evaluation, kernels, ordering, profile, random_trees, sampling, supervised as sv, timeseries as ts, transforms)
 from cohortlens.plans import tables as t, workloads
 from cohortlens.sources import models, svmlight
-from cohortlens.session import staging_path
+from cohortlens.session import checkpointed, staging_path
 
 N = 64
 SGD_STEPS = 20
@@ -35,7 +35,8 @@ def _classify(estimator):
 
 
 def _mixed_halves(spark: SparkSession, d: str, numbers=("nation", "balance", "year", "month")):
-    rows = t.mixed(spark, d)
+    # stored: every fit reads the rows several times, and their join would run each time
+    rows = checkpointed(t.mixed(spark, d))
     encoding = transforms.encoder(["segment", "priority", "status"], list(numbers), "vector").fit(rows)
     tagged = sampling.random_split(encoding.transform(rows), "row_id", [0.7, 0.3])
     return tagged.where(F.col("part") == 0), tagged.where(F.col("part") == 1)
@@ -186,7 +187,7 @@ def _sweep(spark: SparkSession, d: str) -> DataFrame:
 
 def _ablation(spark: SparkSession, d: str) -> DataFrame:
     numbers = ["nation", "balance", "month"]
-    rows = sampling.random_split(t.mixed(spark, d), "row_id", [0.7, 0.3])
+    rows = sampling.random_split(checkpointed(t.mixed(spark, d)), "row_id", [0.7, 0.3])
 
     def fit(names, train):
         encoding = transforms.encoder([], names, "vector").fit(train)

@@ -8,7 +8,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from cohortlens.functions.columns import uniform
 from cohortlens.operators import clustering, evaluation, kernels, neighbours, passes, supervised as sv, transforms
 from cohortlens.operators.neighbours import nearest
-from cohortlens.plans import tables, workloads
+from cohortlens.plans import model_queries, tables, workloads
 from cohortlens.session import checkpointed, shared_dir
 from cohortlens.sources import delimited, models, svmlight
 
@@ -333,3 +333,17 @@ def test_visits_of_many_pivots_leave_in_small_frames():
     # two partitions hold five rows; all others are visited afterwards, each once
     assert len(found) == 40 * 598 and not found.duplicated(["id", "pivot"]).any()
     assert all((f == rows["features"][i]).all() for i, f in zip(found["id"], found["features"]))
+
+
+@pytest.mark.parametrize("query", ["feature_ablation", "param_sweep"])
+def test_rows_of_many_fits_are_joined_once(spark, tmp_path, monkeypatch, query):
+    spark.range(40).selectExpr("id AS o_orderkey", "id % 4 AS o_custkey", "'1-URGENT' AS o_orderpriority", "'F' AS o_orderstatus",
+                               "date'1995-01-01' AS o_orderdate", "id * 10000.0D AS o_totalprice").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(4).selectExpr("id AS c_custkey", "'AUTO' AS c_mktsegment", "id AS c_nationkey", "id * 1.0D AS c_acctbal").write.parquet(
+        f"{tmp_path}/customer.parquet")
+    seen = []
+    for name in ("feature_ablation", "parameter_sweep"):
+        monkeypatch.setattr(evaluation, name, lambda values, train, test, fit: seen.extend([train, test]))
+    model_queries.QUERIES[query](spark, str(tmp_path))
+    assert sum(df.count() for df in seen) == 40
+    assert all("Join" not in df._jdf.queryExecution().optimizedPlan().toString() for df in seen)
