@@ -124,13 +124,15 @@ def adaboost(train: DataFrame, test: DataFrame, key: str, rounds: int = 50, vari
     """Boosted trees on a 0/1 label: ``discrete``, ``real``, ``gentle`` or ``m1``.
 
     Each round reweights rows by one column expression; train and test carry
-    their running score, checkpointed every few rounds.
+    their running score, checkpointed every few rounds. A round reads its rows
+    several times, so they are kept until the next round has its own.
     """
     sign = F.when(F.col("label") == 1, 1.0).otherwise(-1.0)
     n = train.count()
     rows = train.select(key, "vector", "label", F.lit(0.0).alias("score"), F.lit(1.0 / n).alias("weight"))
     target = test.select(key, "vector", "label", F.lit(0.0).alias("score"))
-    rows, target = checkpointed(rows), checkpointed(target)
+    rows, target = checkpointed(rows).persist(), checkpointed(target)
+    kept = rows
 
     for step in range(1, rounds + 1):
         if variant == "gentle":
@@ -159,15 +161,20 @@ def adaboost(train: DataFrame, test: DataFrame, key: str, rounds: int = 50, vari
         gain = F.exp(-vote * sign) if variant != "m1" else F.exp(
             F.when(vote * sign < 0, F.abs(vote)).otherwise(0.0))
         rows = model.transform(rows).select(key, "vector", "label", (F.col("score") + vote).alias("score"),
-                                            (F.col("weight") * gain).alias("weight"))
+                                            (F.col("weight") * gain).alias("weight")).persist()
         total = rows.agg(F.sum("weight")).first()[0]
+        kept.unpersist()
+        kept = rows
         rows = rows.withColumn("weight", F.col("weight") / F.lit(total))
         target = model.transform(target).select(key, "vector", "label",
                                                 (F.col("score") + vote).alias("score"))
         if step % BOOST_ROUNDS_PER_CHECKPOINT == 0:
-            rows, target = checkpointed(rows), checkpointed(target)
+            rows, target = checkpointed(rows).persist(), checkpointed(target)
+            kept.unpersist()
+            kept = rows
         if variant in ("discrete", "m1") and miss == 0:
             break
+    kept.unpersist()
     return target.select(key, F.col("label").cast("double").alias("label"),
                          F.when(F.col("score") > 0, 1.0).otherwise(0.0).alias("prediction"),
                          sigmoid(2 * F.col("score")).alias("probability"))

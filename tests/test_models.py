@@ -347,3 +347,13 @@ def test_rows_of_many_fits_are_joined_once(spark, tmp_path, monkeypatch, query):
     model_queries.QUERIES[query](spark, str(tmp_path))
     assert sum(df.count() for df in seen) == 40
     assert all("Join" not in df._jdf.queryExecution().optimizedPlan().toString() for df in seen)
+
+
+def test_boosting_keeps_the_rows_of_a_round(spark, monkeypatch):
+    df = sv.with_vector(points(spark, 60)[0])
+    kept, fit = [], sv.DecisionTreeClassifier.fit
+    # the last plan steps above the kept rows are only the new weights
+    monkeypatch.setattr(sv.DecisionTreeClassifier, "fit", lambda tree, rows: kept.append(
+        "InMemoryRelation" in rows._jdf.queryExecution().withCachedData().toString()) or fit(tree, rows))
+    assert sv.adaboost(df, df, "id", rounds=3, variant="real").count() == 60
+    assert kept == [True] * 3
