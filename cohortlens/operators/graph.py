@@ -12,6 +12,8 @@ from cohortlens.session import checkpointed
 CODE_KINDS = ("diagnostic", "lab", "medication")
 #: Prefix rows of one code that one task joins.
 HEAVY_ROWS = 20_000
+#: Prefix rows dealt by code at a time; about a gigabyte of shuffle files for sets of up to ``WHOLE_CODES`` codes.
+ROWS_PER_PASS = 10_000_000
 #: Sets up to this size are compared where they meet; larger ones by signature first.
 WHOLE_CODES = 128
 EDGES_PER_SPLIT = 1_000_000
@@ -116,7 +118,8 @@ def _signature_word(word: int) -> Column:
     return F.aggregate("tokens", F.lit(0).cast("bigint"), put)
 
 
-def similar_sets(distinct: DataFrame, min_similarity: float, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+def similar_sets(distinct: DataFrame, min_similarity: float, heavy_rows: int = HEAVY_ROWS,
+                 rows_per_pass: int = ROWS_PER_PASS) -> DataFrame:
     """All pairs of distinct sets with Jaccard similarity >= ``min_similarity`` > 0.
 
     Exact prefix-filtered join. Two sets of sizes a and b reaching similarity t
@@ -137,6 +140,10 @@ def similar_sets(distinct: DataFrame, min_similarity: float, heavy_rows: int = H
     ``heavy_rows`` prefixes is met in a grid: its rows are cut by the hash of
     their set into blocks of about that size, and each cell of the grid joins
     one block of either side.
+
+    Codes are dealt in passes of about ``rows_per_pass`` rows, each of which
+    stores what it met per pair, so the shuffle files of one pass at a time lie
+    on disk.
     """
     if not 0 < min_similarity <= 1:
         raise ValueError("min_similarity must lie in (0, 1]")
@@ -165,8 +172,8 @@ def similar_sets(distinct: DataFrame, min_similarity: float, heavy_rows: int = H
         return df.select("token", *[F.col(c).alias(f"{name}_{c}") for c in df.columns if c not in ("token", "a_block", "b_block")],
                          *[c for c in df.columns if c in ("a_block", "b_block")])
 
-    def in_grid(own: str, other: str) -> DataFrame:
-        found = rows.join(F.broadcast(heavy), "token")
+    def in_grid(part: DataFrame, own: str, other: str) -> DataFrame:
+        found = part.join(F.broadcast(heavy), "token")
         return (found.withColumn(own, F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int"))
                 .withColumn(other, F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).drop("blocks"))
 
@@ -180,18 +187,30 @@ def similar_sets(distinct: DataFrame, min_similarity: float, heavy_rows: int = H
     possible = F.coalesce((a + b - differing) / 2 >= needed, F.lit(True))
     passes = smaller & (b >= F.lit(t) * a - 1e-9) & F.when(both_whole, in_reach & (shared_from_here >= needed)).otherwise(possible)
 
-    light = rows if heavy.isEmpty() else rows.join(F.broadcast(heavy.select("token")), "token", "left_anti")
-    dealt = light.repartition("token")
-    cells = side("a", dealt).join(side("b", dealt).hint("merge"), "token").where(passes)
-    if light is not rows:
-        grid = side("a", in_grid("a_block", "b_block")).join(side("b", in_grid("b_block", "a_block")), ["token", "a_block", "b_block"])
-        cells = cells.unionByName(grid.where(passes).select(*cells.columns))
-    met = (cells.groupBy("a_set_id", "b_set_id")
-           .agg(F.max(F.when(both_whole, shared_from_here)).alias("n_shared"),
-                F.count(F.lit(1)).alias("n_met"), F.max(a).alias("a_size"), F.max(b).alias("b_size"),
-                F.max(F.greatest("a_rest", "b_rest")).alias("rest"),
-                F.max("a_pos").alias("a_last"), F.max("b_pos").alias("b_last")))
-    met = checkpointed(met)
+    def meet(part: DataFrame) -> DataFrame:
+        light = part if no_heavy else part.join(F.broadcast(heavy.select("token")), "token", "left_anti")
+        dealt = light.repartition("token")
+        cells = side("a", dealt).join(side("b", dealt).hint("merge"), "token").where(passes)
+        if not no_heavy:
+            grid = side("a", in_grid(part, "a_block", "b_block")).join(side("b", in_grid(part, "b_block", "a_block")), ["token", "a_block", "b_block"])
+            cells = cells.unionByName(grid.where(passes).select(*cells.columns))
+        return (cells.groupBy("a_set_id", "b_set_id")
+                .agg(F.max(F.when(both_whole, shared_from_here)).alias("n_shared"),
+                     F.count(F.lit(1)).alias("n_met"), F.max(a).alias("a_size"), F.max(b).alias("b_size"),
+                     F.max(F.greatest("a_rest", "b_rest")).alias("rest"),
+                     F.max("a_pos").alias("a_last"), F.max("b_pos").alias("b_last")))
+
+    no_heavy = heavy.isEmpty()
+    n_rows = signed.agg(F.sum("keep")).first()[0] or 0
+    turns = max(1, -(-n_rows // rows_per_pass))
+    met = None
+    for turn in range(turns):
+        part = rows if turns == 1 else rows.where(F.pmod(F.xxhash64("token"), F.lit(turns)) == turn)
+        one = checkpointed(meet(part))
+        met = one if met is None else met.unionByName(one)
+    if turns > 1:
+        highest = ("n_shared", "a_size", "b_size", "rest", "a_last", "b_last")
+        met = checkpointed(met.groupBy("a_set_id", "b_set_id").agg(F.sum("n_met").alias("n_met"), *[F.max(c).alias(c) for c in highest]))
 
     # shared codes outside a prefix come after all others, and from the first of
     # them on all lie outside that same prefix

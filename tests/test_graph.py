@@ -228,3 +228,32 @@ def test_similarity_workload(spark):
     found = patient_similarity(records(spark), people(spark), 1, 0.2, steps=2, k=2)
     assert {(r[0], r[1]) for r in found["pairs"].collect()} == {(1, 2), (1, 3)}
     assert found["jaccard"].count() == 2 and found["walk"].count() == 2
+
+
+def test_checkpoints_leave_no_shuffle_files_behind(spark):
+    from cohortlens.session import SHUFFLE_CLEANUP_CONF, checkpointed
+
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled() -> set[str]:
+        return {name for name in manager.getAllFiles().mkString(",").split(",") if "/shuffle_" in name}
+
+    before = shuffled()
+    kept = checkpointed(spark.range(10_000).repartition(7, "id").groupBy((F.col("id") % 100).alias("k")).count())
+    assert not shuffled() - before
+    assert kept.count() == 100 and spark.conf.get(SHUFFLE_CLEANUP_CONF, None) in (None, "false")
+
+
+@pytest.mark.parametrize("heavy_rows", [20_000, 5])
+def test_similar_sets_in_passes(spark, heavy_rows):
+    rng = random.Random(4)
+    rows = [(n, sorted(rng.sample(range(60), rng.randint(1, 12)))) for n in range(80)]
+    rows += [(100 + n, sorted(rng.sample(range(400), 150))) for n in range(6)]
+    sets = spark.createDataFrame([(n, codes, len(codes)) for n, codes in rows], "set_id long, tokens array<long>, size int")
+    found = graph.similar_sets(sets, 0.2, heavy_rows, rows_per_pass=100).collect()
+    expected = {}
+    for (x, one), (y, two) in itertools.combinations(rows, 2):
+        shared = len(set(one) & set(two))
+        if shared / len(set(one) | set(two)) >= 0.2:
+            expected[x, y] = shared
+    assert {(r["patient_a"], r["patient_b"]): r["n_shared"] for r in found} == expected and len(found) == len(expected)
