@@ -17,6 +17,10 @@ ROWS_PER_PASS = 10_000_000
 #: Sets up to this size are compared where they meet; larger ones by signature first.
 WHOLE_CODES = 128
 EDGES_PER_SPLIT = 1_000_000
+#: A vertex with more edges out is pushed to its receivers' tasks; there is at most one for so many edges.
+HEAVY_EDGES = 10_000
+#: Links that one task of a push round holds.
+LINKS_PER_TASK = 1_000_000
 ROUNDS_PER_CHECKPOINT = 5
 SIGNATURE_WORDS = 4
 
@@ -311,7 +315,7 @@ def random_walk(edges: DataFrame, source: int, steps: int = 100, restart: float
 
 def push_walk(edges: DataFrame, source: int, steps: int = 100, restart: float = 0.15,
               tolerance: float = 1e-6, vertices: DataFrame | None = None,
-              edges_per_split: int = EDGES_PER_SPLIT) -> DataFrame:
+              edges_per_split: int = HEAVY_EDGES) -> DataFrame:
     """(id, rank, residual) of the walk of ``random_walk``, by pushing residuals.
 
     All mass starts as residual of ``source``. In a round every vertex whose
@@ -323,17 +327,25 @@ def push_walk(edges: DataFrame, source: int, steps: int = 100, restart: float =
     after ``steps + 1``. No rank exceeds that of ``steps`` full rounds, and all
     ranks together fall short of it by at most ``tolerance``.
 
+    Links lie by their source, and a round shuffles what their tasks have summed
+    per receiver. The links of a vertex with more than ``edges_per_split`` edges lie
+    by their receivers instead, and its value is sent to all tasks; so neither a
+    hub nor the many receivers of a hub move one row per edge.
+
     Repeated edges count as often as they occur; a null end drops the edge. A
     vertex without edges out keeps its share, the rest of its residual is gone;
     a source in no edge and not in ``vertices`` gives zeros.
     """
     ends = checkpointed(edges.select("src", "dst").dropna())
     degree = ends.groupBy("src").agg(F.count(F.lit(1)).alias("degree"))
-    links = (ends.join(degree, "src")
-             .withColumn("piece", F.pmod(F.xxhash64("dst"), F.ceil(F.col("degree") / edges_per_split)).cast("int"))
-             .select("src", "piece", "dst"))
-    links = links.repartition("src", "piece").persist()
-    per_edge = tolerance / 2 / max(ends.count(), 1)
+    n_edges = ends.count()
+    pieces = max(ends.sparkSession.sparkContext.defaultParallelism, -(-n_edges // LINKS_PER_TASK))
+    heavy = F.col("degree") > edges_per_split
+    # at most one in ``edges_per_split`` of the edges
+    hubs = checkpointed(degree.where(heavy).select("src"))
+    links = ends.join(F.broadcast(hubs), "src", "left_anti").repartition(pieces, "src").sortWithinPartitions("src").persist()
+    hub_links = ends.join(F.broadcast(hubs), "src").select("src", "dst").repartition(pieces, "dst").persist()
+    per_edge = tolerance / 2 / max(n_edges, 1)
 
     known = ends.select(F.explode(F.array("src", "dst")).alias("id")).distinct()
     if vertices is not None:
@@ -344,14 +356,13 @@ def push_walk(edges: DataFrame, source: int, steps: int = 100, restart: float =
     held: list[DataFrame] = []
     sends = F.col("residual") > per_edge * F.col("degree")
     for step in range(1, steps + 2):
-        pieces = F.ceil(F.col("degree") / edges_per_split).cast("int")
-        sent = (state.where(sends & (F.col("degree") > 0))
-                .select(F.col("id").alias("src"), ((1.0 - restart) * F.col("residual") / F.col("degree")).alias("sent"),
-                        F.explode(F.sequence(F.lit(0), pieces - 1)).alias("piece")))
+        sent = state.where(sends & (F.col("degree") > 0)).select(
+            F.col("id").alias("src"), ((1.0 - restart) * F.col("residual") / F.col("degree")).alias("sent"), heavy.alias("heavy"))
+        pushed = [links.join(sent.where(~F.col("heavy")).hint("merge"), "src"), hub_links.join(F.broadcast(sent.where("heavy")), "src")]
         kept = state.select("id", "degree", (F.col("rank") + F.when(sends, restart * F.col("residual")).otherwise(0.0)).alias("rank"),
                             F.when(sends, 0.0).otherwise(F.col("residual")).alias("residual"))
-        received = links.join(sent, ["src", "piece"]).select(
-            F.col("dst").alias("id"), F.lit(None).cast("bigint").alias("degree"), F.lit(0.0).alias("rank"), F.col("sent").alias("residual"))
+        light, hub = (p.groupBy(F.col("dst").alias("id")).agg(F.sum("sent").alias("residual")) for p in pushed)
+        received = light.unionByName(hub).select("id", F.lit(None).cast("bigint").alias("degree"), F.lit(0.0).alias("rank"), "residual")
         # what is kept and what arrives meet in one aggregate; arriving mass is summed before the shuffle
         state = kept.unionByName(received).groupBy("id").agg(
             F.max("degree").alias("degree"), F.sum("rank").alias("rank"), F.sum("residual").alias("residual"))
@@ -367,6 +378,7 @@ def push_walk(edges: DataFrame, source: int, steps: int = 100, restart: float =
             state = state.persist()
             held.append(state)
     links.unpersist()
+    hub_links.unpersist()
     return state.select("id", "rank", "residual")
 
 

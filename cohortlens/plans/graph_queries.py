@@ -16,7 +16,7 @@ TOLERANCE = 1e-4
 
 def _source(spark: SparkSession, d: str) -> int:
     """The first patient that has a code."""
-    return t.patient_codes(spark, d).agg(F.min("patient_id")).first()[0]
+    return t.clinical_events(spark, d).agg(F.min("patient_id")).first()[0]
 
 
 def _one_vs_all(spark: SparkSession, d: str) -> DataFrame:

@@ -257,3 +257,14 @@ def test_similar_sets_in_passes(spark, heavy_rows):
         if shared / len(set(one) | set(two)) >= 0.2:
             expected[x, y] = shared
     assert {(r["patient_a"], r["patient_b"]): r["n_shared"] for r in found} == expected and len(found) == len(expected)
+
+
+def test_push_walk_moves_no_row_per_edge_of_a_hub(spark):
+    # every leaf is joined to one hub: without the hub's own way a round shuffles a row per leaf and direction
+    pairs = [(0, leaf) for leaf in range(1, 40)] + [(leaf, 0) for leaf in range(1, 40)] + [(1, 2), (2, 1), (1, 2)]
+    frame = spark.createDataFrame(pairs, "src long, dst long")
+    plain, split = ({r["id"]: (r["rank"], r["residual"]) for r in graph.push_walk(frame, 1, steps=6, tolerance=1e-15, edges_per_split=n).collect()}
+                    for n in (1000, 3))
+    assert plain.keys() == split.keys() and len(plain) == 40
+    assert all(plain[v] == pytest.approx(split[v]) for v in plain)
+    assert graph.HEAVY_EDGES <= 10_000
