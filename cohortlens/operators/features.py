@@ -20,6 +20,8 @@ from cohortlens.functions.columns import days_between, is_present
 from cohortlens.operators.ordering import with_row_number
 
 WINDOW_DAYS = 2000
+#: Rows of daily totals that one task joins with the index dates and sums per code.
+ROWS_PER_TASK = 500_000
 
 
 def in_window(days: Column, longest: int = WINDOW_DAYS) -> Column:
@@ -56,9 +58,14 @@ def _measure(how: str) -> Column:
 
 
 def window_features(events: DataFrame, index: DataFrame, how: str = "count",
-                    longest: int = WINDOW_DAYS) -> DataFrame:
-    """(patient, code, value) over the observation window."""
-    totals = daily_totals(events).join(index.select("patient_id", "index_date"), "patient_id")
+                    longest: int = WINDOW_DAYS, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """(patient, code, value) over the observation window.
+
+    A task holds its rows' sort and the tables of both sums at once, so totals
+    are dealt to as many tasks as the events ask for, whatever their stored size.
+    """
+    tasks = max(1, -(-events.where(is_present("value")).count() // rows_per_task))
+    totals = daily_totals(events).repartition(tasks, "patient_id").join(index.select("patient_id", "index_date"), "patient_id")
     inside = totals.where(in_window(days_between("index_date", "etimestamp"), longest))
     return inside.groupBy("patient_id", "event_id").agg(_measure(how).alias("value"))
 

@@ -170,3 +170,12 @@ def test_feature_beyond_the_width_fails(spark):
     assert features.dense_rows(rows, 6).first()["features"] == [0.0] * 5 + [2.0]
     with pytest.raises(Exception, match="beyond the width"):
         features.dense_rows(rows, 5).collect()
+
+
+def test_window_features_deal_totals_by_rows(spark):
+    rows = [(p, f"LAB{p % 3}", dt.date(2020, 1, 1 + day), 1.0) for p in range(40) for day in range(5)]
+    events = spark.createDataFrame(rows, "patient_id long, event_id string, etimestamp date, value double")
+    index = spark.createDataFrame([(p, dt.date(2020, 1, 20), 0) for p in range(40)], "patient_id long, index_date date, label int")
+    found = features.window_features(events, index, "sum", rows_per_task=10)
+    assert "REPARTITION_BY_NUM" in found._jdf.queryExecution().toString()
+    assert {(r["patient_id"], r["value"]) for r in found.collect()} == {(p, 5.0) for p in range(40)}
