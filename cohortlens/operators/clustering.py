@@ -17,8 +17,6 @@ from cohortlens.session import checkpointed
 
 NMF_EPS = 2e-15
 ROUNDS_PER_CHECKPOINT = 10
-#: Links of the power iteration that one task holds.
-LINKS_PER_TASK = 500_000
 
 
 def _vectors(df: DataFrame, source: str) -> DataFrame:
@@ -181,9 +179,6 @@ def power_iteration_sets(members: DataFrame, similar: DataFrame, k: int = 3, max
     if not total:
         return members.select(F.col("patient_id").alias("id"), F.lit(0).alias("cluster"), F.lit(0).alias("rounds"),
                               F.lit(True).alias("converged")).limit(0)
-    # dealt once by the end that sends; a round shuffles one value per set and what arrives, never the links
-    pieces = max(links.sparkSession.sparkContext.defaultParallelism, -(-links.count() // LINKS_PER_TASK))
-    links = links.repartition(pieces, "dst").persist()
     state = sets.withColumn("v", F.col("degree") / total)
     change, done, rounds = None, False, 0
     while rounds < max_rounds and not done:
@@ -197,7 +192,6 @@ def power_iteration_sets(members: DataFrame, similar: DataFrame, k: int = 3, max
         done = change is not None and abs(change - moved) < max(tolerance / patients, 1e-8)
         change = moved
         state = state.select("set_id", "degree", "n", (F.col("v") / size).alias("v"))
-    links.unpersist()
     vectors = state.withColumn("features", F.array(F.col("v") * patients))
     model = KMeans(k=k, seed=seed, weightCol="n", featuresCol="vector").fit(vectors.withColumn("vector", array_to_vector("features")))
     found = model.transform(vectors.withColumn("vector", array_to_vector("features"))).select("set_id", F.col("prediction").alias("cluster"))
