@@ -89,6 +89,14 @@ def mixture_bic(df: DataFrame, ks: Sequence[int], max_rounds: int = 20, seed: in
     return df.sparkSession.createDataFrame(out, "k int, bic double").orderBy(F.desc("bic"))
 
 
+def _packed(rows: np.ndarray) -> list[bytes]:
+    return [row.tobytes() for row in np.ascontiguousarray(rows)]
+
+
+def _unpacked(column: pd.Series) -> np.ndarray:
+    return np.frombuffer(b"".join(column), dtype=float).reshape(len(column), -1)
+
+
 def nmf(df: DataFrame, key: str, k: int = 3, rounds: int = 100, seed: int = 0,
         source: str = "features") -> tuple[DataFrame, np.ndarray, list[float]]:
     """Non-negative factors by multiplicative updates: (rows with ``w``, H, losses).
@@ -96,11 +104,20 @@ def nmf(df: DataFrame, key: str, k: int = 3, rounds: int = 100, seed: int = 0,
     W stays distributed next to its row; H (k x features) is the only model
     state. A row's W depends on that row and the H of the rounds since the last
     checkpoint alone, so each round is a single pass without a shuffle of rows:
-    it replays those rounds and adds up W'V and W'W.
+    it replays those rounds and adds up W'V and W'W. Rows are stored as the bytes
+    of their numbers, so that a round copies them to its task as they are.
     """
     start = F.array(*[uniform(seed + i, key) + 1e-6 for i in range(k)])
-    rows = checkpointed(df.select(key, F.col(source).alias("v"), start.alias("w")))
-    width = len(rows.first()["v"])
+    plain = df.select(key, F.col(source).alias("v"), start.alias("w"))
+    name = f"`{key}` {plain.schema[key].dataType.simpleString()}"
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield batch.assign(v=_packed(matrix(batch["v"])), w=_packed(matrix(batch["w"])))
+
+    rows = checkpointed(plain.mapInPandas(pack, f"{name}, v binary, w binary"))
+    width = len(rows.first()["v"]) // 8
     h = np.random.default_rng(seed).random((k, width)) + 1e-6
     history: list[np.ndarray] = []
     losses: list[float] = []
@@ -114,8 +131,8 @@ def nmf(df: DataFrame, key: str, k: int = 3, rounds: int = 100, seed: int = 0,
         history.append(h)
 
         def part(batch: pd.DataFrame, factors: list[np.ndarray] = list(history)) -> np.ndarray:
-            v = matrix(batch["v"])
-            w = replay(v, matrix(batch["w"]), factors)
+            v = _unpacked(batch["v"])
+            w = replay(v, _unpacked(batch["w"]), factors)
             loss = ((v - w @ factors[-1]) ** 2).sum()
             return np.column_stack([w.T @ v, w.T @ w, np.full((k, 1), loss / k)])
 
@@ -130,12 +147,18 @@ def nmf(df: DataFrame, key: str, k: int = 3, rounds: int = 100, seed: int = 0,
                         factors: list[np.ndarray] = list(history)) -> Iterator[pd.DataFrame]:
                 for batch in batches:
                     if len(batch):
-                        w = replay(matrix(batch["v"]), matrix(batch["w"]), factors)
-                        yield batch.assign(w=list(w))
+                        w = replay(_unpacked(batch["v"]), _unpacked(batch["w"]), factors)
+                        yield batch.assign(w=_packed(w))
 
             rows = checkpointed(rows.mapInPandas(advance, schema))
             history = []
-    return rows.select(key, "w"), h, losses
+
+    def unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                yield batch.assign(w=list(_unpacked(batch["w"])))
+
+    return rows.select(key, "w").mapInPandas(unpack, f"{name}, w array<double>"), h, losses
 
 
 def nmf_clusters(df: DataFrame, key: str, k: int = 3, rounds: int = 100, seed: int = 0,

@@ -48,7 +48,8 @@ def phenotype_purity(diagnostics: DataFrame, medications: DataFrame, labs: DataF
     found = {
         "kmeans": clustering.kmeans(reduced, k),
         "mixture": clustering.gaussian_mixture(reduced, k),
-        "nmf": clustering.nmf_clusters(rows, "patient_id", k, nmf_rounds).join(labels, "patient_id"),
+        # the stored rows hold the labels, which are not worked out again
+        "nmf": clustering.nmf_clusters(rows, "patient_id", k, nmf_rounds).join(rows.select("patient_id", "label"), "patient_id"),
     }
     out = None
     for name, df in found.items():

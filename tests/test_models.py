@@ -82,6 +82,20 @@ def test_nmf_follows_the_multiplicative_updates(spark):
     assert np.allclose([rows[i] for i in range(90)], w) and np.allclose(h, g)
 
 
+def test_nmf_rounds_read_packed_rows(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(clustering, "checkpointed", lambda df: stored.append(df.schema) or checkpointed(df))
+    rng = np.random.default_rng(4)
+    v = rng.integers(0, 5, (40, 6))
+    df = spark.createDataFrame([(f"k{i}", [int(c) for c in row]) for i, row in enumerate(v)], "`the key` string, features array<int>")
+    for rounds in (0, 12):
+        found, _, _ = clustering.nmf(df, "the key", 2, rounds=rounds)
+        assert found.dtypes == [("the key", "string"), ("w", "array<double>")]
+        got = {r["the key"]: r["w"] for r in found.collect()}
+        assert sorted(got) == sorted(f"k{i}" for i in range(40)) and all(len(w) == 2 for w in got.values())
+    assert stored and all(s["v"].dataType.simpleString() == s["w"].dataType.simpleString() == "binary" for s in stored)
+
+
 def test_clusterings_label_every_row(spark):
     df, _, _ = points(spark)
     for found in (clustering.kmeans(df, 2), clustering.gaussian_mixture(df, 2)):
@@ -290,7 +304,9 @@ def test_checkpoints_go_to_the_named_folder(spark):
 def test_phenotype_purity_workload(spark, sf_dir):
     found = workloads.phenotype_purity(
         tables.diagnostics(spark, sf_dir), tables.medications(spark, sf_dir), tables.labs(spark, sf_dir),
-        tables.RULES, nmf_rounds=5).collect()
+        tables.RULES, nmf_rounds=5)
+    assert not found.inputFiles()  # the labels come from the stored rows, no table is read for them again
+    found = found.collect()
     assert {r["method"] for r in found} == {"kmeans", "mixture", "nmf"}
     assert all(1 / 3 <= r["purity"] <= 1 for r in found)
 
