@@ -1,6 +1,7 @@
 """Repeated strings against brute force, and suffix arrays against sorting."""
 import hashlib
 import random
+import sys
 
 import numpy as np
 import pytest
@@ -26,6 +27,39 @@ def test_suffix_array_and_prefixes(seed):
         assert got[b] == n
 
 
+@pytest.mark.parametrize("symbols", [3, 250, 5000])
+def test_suffix_array_takes_no_step_per_symbol(symbols):
+    rng = np.random.default_rng(symbols)
+    core, parts = rng.integers(2, symbols, 400), []
+    for _ in range(60):  # near copies, as the segments of a core are
+        near = core.copy()
+        near[rng.integers(0, 400)] = 1
+        parts += [near, [1]]
+    s = np.concatenate([*parts, [0]]).astype(np.int32)
+    lines = 0
+
+    def count(frame, event, arg):
+        nonlocal lines
+        lines += event == "line"
+        return count if frame.f_code.co_filename == suffix.__file__ else None
+
+    sys.settrace(count)
+    try:
+        sa = suffix.suffix_array(s)
+    finally:
+        sys.settrace(None)
+    text = s.tolist()
+    assert sa.tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+    assert lines < len(s)
+
+
+def test_suffix_array_of_long_runs():
+    for body in (np.full(700, 7), np.tile([3, 5], 300), np.r_[np.full(300, 2), np.full(300, 9), np.full(300, 2)], np.arange(1, 6000)):
+        s = np.r_[body, 0].astype(np.int32)
+        text = s.tolist()
+        assert suffix.suffix_array(s).tolist() == sorted(range(len(text)), key=lambda i: text[i:])
+
+
 def brute(texts, length):
     seen = {}
     data = [(t or "").encode() for t in texts]
