@@ -11,9 +11,11 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, functions as F
 
@@ -21,6 +23,9 @@ from cohortlens.operators.passes import matrix
 from cohortlens.operators.supervised import fit_predict, linear_svm
 from cohortlens.session import checkpointed
 
+#: Costs fitted at a time, each with its own cached blocks of the training rows.
+PARALLEL_FITS = 4
+
 
 @dataclass
 class TensorSketch:
@@ -86,15 +91,20 @@ def polynomial_svc_sweep(train: DataFrame, test: DataFrame, key: str, inputs: in
     """(degree, cost, rows, errors): test errors of a linear machine on the sketch for every degree and cost.
 
     The cost weighs the sum of hinge losses, so the penalty is 1 / (cost * rows).
-    Each degree's features are worked out once.
+    Each degree's features are worked out once. Its costs are fitted
+    ``PARALLEL_FITS`` at a time, since every step of a solver is a short job.
     """
     rows, out = train.count(), None
     for degree in degrees:
         sketch = TensorSketch(degree, inputs, width, gamma)
         halves = [checkpointed(polynomial_sketch(half.drop("vector"), sketch).select(key, "label", "vector")) for half in (train, test)]
-        for cost in costs:
+
+        def judged(cost: float) -> DataFrame:
             found = fit_predict(linear_svm(maxIter=rounds, regParam=1 / (cost * max(rows, 1))), *halves, key)
-            row = found.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("label") != F.col("prediction")).alias("errors")).select(
+            return found.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("label") != F.col("prediction")).alias("errors")).select(
                 F.lit(degree).alias("degree"), F.lit(float(cost)).alias("cost"), "rows", "errors")
-            out = row if out is None else out.unionByName(row)
+
+        with ThreadPool(PARALLEL_FITS) as pool:
+            for row in pool.map(inheritable_thread_target(train.sparkSession)(judged), costs):
+                out = row if out is None else out.unionByName(row)
     return out

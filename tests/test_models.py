@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -232,6 +234,19 @@ def test_polynomial_sweep_separates_rings(spark):
     assert errors[(2, 100.0)][0] <= 4 and all(rows == 80 for _, rows in errors.values())
 
 
+def test_polynomial_sweep_fits_costs_together(spark, monkeypatch):
+    met, fit = threading.Barrier(2), kernels.fit_predict
+
+    def meeting(*args):
+        met.wait(60)  # breaks if no other fit begins
+        return fit(*args)
+
+    monkeypatch.setattr(kernels, "fit_predict", meeting)
+    df = spark.createDataFrame([(i, [i / 60, (i % 7) / 7], int(i >= 30)) for i in range(60)], "id long, features array<double>, label int")
+    found = kernels.polynomial_svc_sweep(df.where("id % 3 > 0"), df.where("id % 3 = 0"), "id", 2, [2, 3], [100.0, 0.001], 64)
+    assert [(r["degree"], r["cost"], r["rows"]) for r in found.collect()] == [(2, 100.0, 20), (2, 0.001, 20), (3, 100.0, 20), (3, 0.001, 20)]
+
+
 def test_validation_tables(spark):
     df = sv.with_vector(points(spark)[0])
     score = lambda train, test: sv.fit_predict(sv.logistic_regression(maxIter=5), train, test, "id")
