@@ -123,57 +123,65 @@ def adaboost(train: DataFrame, test: DataFrame, key: str, rounds: int = 50, vari
              rate: float = 1.0, max_depth: int = 1, seed: int = SEED) -> DataFrame:
     """Boosted trees on a 0/1 label: ``discrete``, ``real``, ``gentle`` or ``m1``.
 
-    Each round reweights rows by one column expression; train and test carry
-    their running score, checkpointed every few rounds. A round reads its rows
-    several times, so they are kept until the next round has its own.
+    Each round reweights rows by one column expression; train rows carry their
+    weight and test rows their running score, checkpointed every few rounds. A
+    round scores its rows once and keeps them with the tree's answer, from which
+    its error, its total weight and the rows of the next round are read. The
+    last round leaves no rows behind.
     """
     sign = F.when(F.col("label") == 1, 1.0).otherwise(-1.0)
     n = train.count()
-    rows = train.select(key, "vector", "label", F.lit(0.0).alias("score"), F.lit(1.0 / n).alias("weight"))
+    rows = train.select("vector", "label", F.lit(1.0 / n).alias("weight"))
     target = test.select(key, "vector", "label", F.lit(0.0).alias("score"))
     rows, target = checkpointed(rows).persist(), checkpointed(target)
     kept = rows
+    if variant == "real":
+        p = F.greatest(F.least(vector_to_array("__p")[1], F.lit(1 - 1e-6)), F.lit(1e-6))
+        answer = 0.5 * F.log(p / (1 - p))
+    else:
+        answer = F.col("__f")
 
     for step in range(1, rounds + 1):
         if variant == "gentle":
             tree = DecisionTreeRegressor(featuresCol="vector", labelCol="__y", weightCol="weight",
                                          maxDepth=max_depth, seed=seed + step, predictionCol="__f")
             model = tree.fit(rows.withColumn("__y", sign))
-            vote = F.col("__f")
         else:
             tree = DecisionTreeClassifier(featuresCol="vector", labelCol="label", weightCol="weight",
                                           maxDepth=max_depth, seed=seed + step, predictionCol="__f",
                                           probabilityCol="__p", rawPredictionCol="__r")
             model = tree.fit(rows)
-            if variant == "real":
-                p = F.greatest(F.least(vector_to_array("__p")[1], F.lit(1 - 1e-6)), F.lit(1e-6))
-                vote = 0.5 * F.log(p / (1 - p))
-            else:
-                miss = model.transform(rows).agg(
-                    (F.sum(F.when(F.col("__f") != F.col("label"), F.col("weight")).otherwise(0.0))
-                     / F.sum("weight")).alias("e")).first()["e"]
-                if miss >= 0.5 and variant == "m1":
-                    break
-                odds = math.log(max(1 - miss, 1e-10) / max(miss, 1e-10))
-                alpha = odds if variant == "m1" else odds / 2
-                vote = alpha * F.when(F.col("__f") == 1, 1.0).otherwise(-1.0)
+        scored = model.transform(rows).select("vector", "label", "weight", answer.alias("__answer"))
+        if step < rounds:
+            scored = scored.persist()
+        vote, miss = F.col("__answer"), None
+        if variant in ("discrete", "m1"):
+            miss = scored.agg(
+                (F.sum(F.when(F.col("__answer") != F.col("label"), F.col("weight")).otherwise(0.0))
+                 / F.sum("weight")).alias("e")).first()["e"]
+            if miss >= 0.5 and variant == "m1":
+                scored.unpersist()
+                break
+            odds = math.log(max(1 - miss, 1e-10) / max(miss, 1e-10))
+            alpha = odds if variant == "m1" else odds / 2
+            vote = alpha * F.when(F.col("__answer") == 1, 1.0).otherwise(-1.0)
         vote = rate * vote
+        target = model.transform(target).withColumn("__answer", answer).select(
+            key, "vector", "label", (F.col("score") + vote).alias("score"))
+        if step == rounds or miss == 0:
+            scored.unpersist()
+            break
         gain = F.exp(-vote * sign) if variant != "m1" else F.exp(
             F.when(vote * sign < 0, F.abs(vote)).otherwise(0.0))
-        rows = model.transform(rows).select(key, "vector", "label", (F.col("score") + vote).alias("score"),
-                                            (F.col("weight") * gain).alias("weight")).persist()
-        total = rows.agg(F.sum("weight")).first()[0]
+        weight = F.col("weight") * gain
+        total = scored.agg(F.sum(weight)).first()[0]
         kept.unpersist()
-        kept = rows
-        rows = rows.withColumn("weight", F.col("weight") / F.lit(total))
-        target = model.transform(target).select(key, "vector", "label",
-                                                (F.col("score") + vote).alias("score"))
+        kept = scored
+        rows = scored.select("vector", "label", (weight / F.lit(total)).alias("weight"))
         if step % BOOST_ROUNDS_PER_CHECKPOINT == 0:
             rows, target = checkpointed(rows).persist(), checkpointed(target)
             kept.unpersist()
             kept = rows
-        if variant in ("discrete", "m1") and miss == 0:
-            break
     kept.unpersist()
     return target.select(key, F.col("label").cast("double").alias("label"),
                          F.when(F.col("score") > 0, 1.0).otherwise(0.0).alias("prediction"),

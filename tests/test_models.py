@@ -10,8 +10,8 @@ from pyspark.sql.types import LongType, StructField, StructType
 from cohortlens.functions.columns import uniform
 from cohortlens.operators import clustering, evaluation, kernels, neighbours, passes, supervised as sv, transforms
 from cohortlens.operators.neighbours import nearest
-from cohortlens.plans import model_queries, tables, workloads
-from cohortlens.session import checkpointed, shared_dir
+from cohortlens.plans import exact_queries, model_queries, tables, workloads
+from cohortlens.session import SHUFFLE_CLEANUP_CONF, checkpointed, shared_dir
 from cohortlens.sources import delimited, models, svmlight
 
 
@@ -388,3 +388,65 @@ def test_boosting_keeps_the_rows_of_a_round(spark, monkeypatch):
         "InMemoryRelation" in rows._jdf.queryExecution().withCachedData().toString()) or fit(tree, rows))
     assert sv.adaboost(df, df, "id", rounds=3, variant="real").count() == 60
     assert kept == [True] * 3
+
+
+@pytest.mark.parametrize("variant", ["discrete", "real", "gentle", "m1"])
+def test_boosting_scores_the_rows_once_a_round(spark, monkeypatch, variant):
+    train, test = halves(spark)
+    model = type((sv.DecisionTreeRegressor(labelCol="label", featuresCol="vector") if variant == "gentle"
+                  else sv.DecisionTreeClassifier(featuresCol="vector")).fit(train))
+    scored, transform = [], model.transform
+    monkeypatch.setattr(model, "transform", lambda tree, df: scored.append("id" in df.columns) or transform(tree, df))
+    assert sv.adaboost(train, test, "id", rounds=3, variant=variant).count() == 80
+    # train rows carry no key; the others are the test rows
+    assert scored.count(False) == 3 and scored.count(True) == 3
+
+
+def test_rows_of_the_learners_are_dealt_evenly(spark, monkeypatch):
+    monkeypatch.setattr(exact_queries, "ROWS_PER_TASK", 100)
+    one = spark.range(400).coalesce(1)
+    size = lambda df: sorted(len(p) for p in df.rdd.glom().collect())
+    parts = size(exact_queries._dealt(one))
+    assert sum(parts) == 400 and len(parts) == 4 and parts[0] > 50
+    monkeypatch.setattr(exact_queries, "MOST_ROWS_PER_TASK", 40)
+    assert len(size(exact_queries._dealt(one))) == 10
+    assert size(exact_queries._dealt(spark.range(3))) == [3] and size(exact_queries._dealt(one.limit(0))) in ([], [0])
+
+
+def test_learners_are_fitted_several_at_a_time(spark, monkeypatch, tmp_path):
+    spark.range(50).selectExpr("id + 1.0D AS l_quantity", "int(id % 7) + 1 AS l_linenumber").write.parquet(f"{tmp_path}/lineitem.parquet")
+    meet = threading.Barrier(exact_queries.PARALLEL_FITS)
+
+    class Learner:
+        def fit(self, train):
+            meet.wait(60)  # broken, if they come one after the other
+            return self
+
+        def transform(self, test):
+            return test.withColumn("prediction", F.lit(1.0))
+
+    for name in ("linear_svm", "logistic_regression", "one_vs_rest", "decision_tree", "gradient_boosting", "network"):
+        monkeypatch.setattr(sv, name, lambda *a, **b: Learner())
+    both = lambda train, test, *a, **b: Learner().fit(train).transform(test)
+    monkeypatch.setattr(sv, "adaboost", both)
+    monkeypatch.setattr(sv, "bagged_trees", lambda train, test, key: test.withColumn("prediction", F.lit(1.0)))
+    found = exact_queries.QUERIES["band_majorities"](spark, str(tmp_path))
+    assert found.count() == 13 * 5 and found.select("learner").distinct().count() == 13 and found.where("prediction = 1").count() == 65
+
+
+def test_checkpoints_of_several_threads_leave_the_setting_as_it_was(spark):
+    before = spark.conf.get(SHUFFLE_CLEANUP_CONF, None)
+    stored, errors = [], []
+
+    def store(n):
+        try:
+            stored.append(checkpointed(spark.range(n).groupBy((F.col("id") % 3).alias("g")).count()).count())
+        except Exception as x:
+            errors.append(x)
+
+    threads = [threading.Thread(target=store, args=(100 + i,)) for i in range(6)]
+    for thread in threads:
+        thread.start()
+    for thread in threads:
+        thread.join()
+    assert not errors and stored == [3] * 6 and spark.conf.get(SHUFFLE_CLEANUP_CONF, None) == before
