@@ -1,3 +1,4 @@
+import math
 import threading
 
 import numpy as np
@@ -184,6 +185,51 @@ def test_neighbours_far_from_the_origin_are_exact(spark):
         assert np.allclose([found[(i, k + 1)]["distance"] for k in range(3)], d[best])
 
 
+@pytest.mark.parametrize("offset, scale", [(0.0, 1.0), (1e6, 1.0), (1e9, 1e-5), (0.0, 1e-30), (0.0, 1e20), (0.0, 1e160)])
+def test_pairs_by_products_are_those_of_direct_differences(offset, scale):
+    rng = np.random.default_rng(6)
+    x, y = (offset + scale * np.round(rng.normal(size=(n, 4)), 1) for n in (60, 5000))  # ties, more than one block of columns
+    y[::50] = x[0]
+    with np.errstate(over="ignore"):
+        far = neighbours.distances(x, y)
+    for n, limit in ((3, np.full(60, np.inf)), (8, np.sort(far, axis=1)[:, 11]), (5000, np.sort(far, axis=1)[:, 3])):
+        rows, columns, distance = neighbours.closest_pairs(x, y, n, limit)
+        got = [(i, j, d) for i, j, d in zip(rows, columns, distance) if d <= limit[i]]
+        assert got == [(i, j, far[i, j]) for i in range(60) for j in np.argsort(far[i], kind="stable")[:n] if far[i, j] <= limit[i]]
+
+
+def test_rows_that_reach_all_partitions_are_copied_once_a_group(spark, monkeypatch):
+    x = np.random.default_rng(7).normal(size=(900, 24))  # nothing can be ruled out
+    df = spark.createDataFrame([(i, r.tolist(), float(i % 2)) for i, r in enumerate(x)], "id bigint, features array<double>, label double")
+    train, test = df.where("id < 800"), df.where("id >= 800")
+    asked, compared = [], neighbours._compared
+    monkeypatch.setattr(neighbours, "_compared", lambda visits, *rest: asked.append(visits.count()) or compared(visits, *rest))
+    found = nearest(train, test, "id", 3, block_rows=200, pivots=40).collect()
+    assert asked[0] <= 200 and asked[1] <= 100 * 4
+    for r in found:
+        far = np.sqrt(((x[:800] - x[r["id"]]) ** 2).sum(axis=1))
+        assert r["neighbour"] == np.argsort(far, kind="stable")[r["rank"] - 1] and r["distance"] == pytest.approx(far[r["neighbour"]])
+    assert len(found) == 300
+
+
+def test_groups_of_partitions_hold_neighbours():
+    rng = np.random.default_rng(8)
+    places, count = np.repeat(np.arange(8.0), 30)[:, None] * 100 + rng.normal(size=(240, 3)), rng.integers(1, 20, 240)
+    groups = neighbours.Pivots(places, count, None, None).groups(math.ceil(count.sum() / 8))
+    assert len(np.unique(groups)) == 8 and np.bincount(groups, weights=count).max() < 2 * count.sum() / 8
+    assert np.median([np.ptp(places[groups == g], axis=0).max() for g in range(8)]) < 120
+    one = neighbours.Pivots(places[:1], np.array([500]), None, None)
+    assert list(one.groups(20)) == [0] and len(neighbours.Pivots(np.zeros((0, 0)), *[np.zeros(0)] * 3).groups(20)) == 0
+
+
+def test_rows_without_key_or_number_keep_their_first_neighbours(spark):
+    rows = [(i, [float(i), 0.0], 0.0) for i in range(20)]
+    train = spark.createDataFrame(rows, "id bigint, features array<double>, label double")
+    test = spark.createDataFrame([(None, [3.2, 0.0], 0.0), (50, [float("nan"), 0.0], 0.0), (51, [7.2, 0.0], 0.0)], train.schema)
+    found = {(r["id"], r["rank"]): r["neighbour"] for r in nearest(train, test, "id", 2, pivots=3).collect()}
+    assert len(found) == 6 and [found[(51, n)] for n in (1, 2)] == [7, 8] and [found[(None, n)] for n in (1, 2)] == [3, 4]
+
+
 def test_bootstrap_counts_have_no_ceiling(spark):
     from cohortlens.operators import sampling
 
